@@ -41,13 +41,6 @@ def picked(source: str, keys: str, direction: str, columns: str = RESULT_SQL, fi
     )
 
 
-def typed(df):
-    """Listing rows with the observation types, plus the two dimension keys."""
-    return P.conform_schema(df).select(
-        "*", F.lit(None).cast("string").alias("_none")
-    ).drop("_none")
-
-
 @query(
     "conform_schema",
     f"with {V.LISTING_CTE} select "

@@ -291,11 +291,55 @@ PAGE_RETAILER = "case page_id % 6 " + " ".join(
 ) + " end"
 
 
+def _number(k: int) -> str:
+    return f"(1000 + page_id * 3 + {k})"
+
+
+def _digits(k: int, plus: int = 0) -> str:
+    return f"cast({_number(k)} + {plus} as string)"
+
+
+def card_href(k: int) -> str:
+    """Product link of a page's k-th card, in the form of the page's retailer."""
+    n = _digits(k)
+    forms = {
+        "soriana": f"'/algo/' || {n} || '.html'",
+        "chedraui": f"'/prod-' || {n} || '/p?x=1'",
+        "farmacias-guadalajara": f"'/x-' || {_digits(k, 10000)} || '.html'",
+        "farmacias-del-ahorro": f"'/y' || {n} || '.html'",
+        "farmacias-san-pablo": f"'/z/p/000' || {n}",
+        "walmart": f"'/ip/s/' || {_digits(k, 10000000)}",
+    }
+    return "case page_id % 6 " + " ".join(f"when {i} then {forms[r.retailer_id]}" for i, r in enumerate(R.RETAILERS)) + " end"
+
+
+def _card_html(k: int) -> str:
+    n, href = _digits(k), card_href(k)
+    tile = (
+        f"'<div class=\"product-tile js-product-card\" data-pid=\"P' || {n} || '\"><img class=\"tile-image\" alt=\"Foto\">"
+        f"<a class=\"product-tile--link\" href=\"' || {href} || '\">Producto ' || {n} || '</a><span class=\"sales\">$' || {n} || "
+        f"'.50</span><span class=\"list\">antes <span class=\"value\">$' || {_digits(k, 10)} || '.00</span></span>"
+        "<span class=\"product-badge\">Nuevo</span></div>'"
+    )
+    card = (
+        f"'<div class=\"card\"><a href=\"' || {href} || '\" aria-label=\"Producto ' || {n} || '\"><b>Producto ' || {n} || "
+        f"'</b></a><p class=\"sellingPrice\">$' || {n} || '.50</p><p class=\"listPrice\">$' || {_digits(k, 10)} || "
+        f"'.00</p><span class=\"promo-tag\">Oferta 2x1</span><button>Agregar ' || "
+        f"case when page_id % 4 = {k} then 'envío' else 'pickup' end || '</button></div>'"
+    )
+    return f"case when page_id % 6 = 0 then {tile} else {card} end"
+
+
+# Every page carries its own markup, three cards behind it, and the first card once more.
+PAGE_HTML = "html || " + " || ".join(_card_html(k) for k in (1, 2, 3, 1))
+CAPTURES = {"page_id": "page_id", "url": "url", "retailer_id": PAGE_RETAILER, "html": PAGE_HTML}
+
+
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").selectExpr("page_id", "url", "html", f"{PAGE_RETAILER} as retailer_id")
+    return table(spark, sf_dir, "pages").selectExpr(*[f"{e} as {n}" for n, e in CAPTURES.items()])
 
 
-CAPTURES_CTE = f"captures as (select page_id, url, html, {PAGE_RETAILER} as retailer_id from pages)"
+CAPTURES_CTE = "captures as (select " + ", ".join(f"{e} as {n}" for n, e in CAPTURES.items()) + " from pages)"
 
 # Texts: documents as page bodies, some with a challenge or a store mentioned after them.
 PHRASES = [
