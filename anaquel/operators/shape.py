@@ -107,13 +107,13 @@ CARD_LENGTH = {"walmart": (21, None), "chedraui": (21, 2999), "farmacias-guadala
 
 def price_card(retailer_id: Column, text: Column) -> Column:
     """Does the text hold money and have a card's length?"""
-    size = F.when(F.lit(False), F.lit(False))
+    shortest = longest = F.when(F.lit(False), F.lit(0))
     for name, (low, high) in CARD_LENGTH.items():
-        fits = F.length(text) >= low
+        shortest = shortest.when(retailer_id == name, F.lit(low))
         if high:
-            fits = fits & (F.length(text) <= high)
-        size = size.when(retailer_id == name, fits)
-    return size.otherwise(F.lit(True)) & text.rlike(R.MONEY_LOOSE)
+            longest = longest.when(retailer_id == name, F.lit(high))
+    size = F.length(text)
+    return size.between(shortest.otherwise(0), longest.otherwise(2**31 - 1)) & text.rlike(R.MONEY_LOOSE)
 
 
 def price_card_filter(df: DataFrame, text: str = "text") -> DataFrame:

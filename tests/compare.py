@@ -60,10 +60,12 @@ def check(spark, con, name, query, sql, sf):
     seconds = time.time() - start
     if sql is None:
         return None, f"{len(got)} rows, no SQL", seconds
+    start = time.time()
     result = con.execute(sql)
     names = [d[0] for d in result.description]
     types = {d[0]: kind(str(d[1])) for d in result.description}
     want_names, want = rows_of(names, result.fetchall())
+    duck_seconds = time.time() - start
     got_names, got = rows_of(df.columns, got)
     if got_names != want_names:
         return False, f"columns {got_names} != {want_names}", seconds
@@ -75,7 +77,7 @@ def check(spark, con, name, query, sql, sf):
     bad = [(a, b) for a, b in zip(got, want) if a != b]
     if bad:
         return False, f"{len(bad)} of {len(got)} rows differ\n  {got_names}\n  spark {bad[0][0]}\n  duck  {bad[0][1]}", seconds
-    return True, f"{len(got)} rows", seconds
+    return True, f"{len(got)} rows (SQL {duck_seconds:.1f}s)", seconds
 
 
 def main(sf: str, wanted: list[str]) -> int:

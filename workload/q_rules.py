@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from anaquel import registry as R
@@ -556,25 +558,33 @@ def page_urls(spark, sf):
 
 
 # Brands.
-def brand_values(brands, order=None) -> str:
-    return ", ".join(f"({i}, {V.quote(b)})" for i, b in enumerate(order or brands))
+def brand_values(brands) -> str:
+    return ", ".join(f"({i}, {V.quote(b)})" for i, b in enumerate(brands))
 
 
-def word_match(text: str, brand: str) -> str:
-    """RE2 has no look-around: a brand stands between non-word characters or the ends."""
-    escaped = rf"regexp_replace(lower({brand}), '([.&-])', '\\\1', 'g')"
-    return rf"regexp_matches(lower({text}), '(^|[^\pL\pN_])' || {escaped} || '($|[^\pL\pN_])')"
+def word_case(text: str, brands, named=lambda b: b) -> str:
+    """First whole-word brand in list order; RE2 has no look-around, so the neighbours are spelled out."""
+    tests = []
+    for b in brands:
+        word = re.sub(r"([.&-])", r"\\\1", b.lower())
+        pattern = rf"(^|[^\pL\pN_]){word}($|[^\pL\pN_])"
+        tests.append(f"when regexp_matches(lower({text}), {V.quote(pattern)}) then {V.quote(named(b))}")
+    return "case " + " ".join(tests) + " end"
 
 
-def brand_sql(brands, text: str, match: str, order=None, result: str = "arg_min(b.brand, b.pos)") -> str:
+def substring_sql(brands) -> str:
     return (
-        f"with {V.CARDS_CTE}, brands(pos, brand) as (values {brand_values(brands, order)}), "
-        f"products as (select distinct {text} as t from cards), "
-        f"hits as (select t, {result} as brand from products join brands b on {match} group by t) "
-        f"select {KEYS}, c.product, h.brand as inferred from cards c left join hits h on h.t = {text}"
+        f"with {V.CARDS_CTE}, brands(pos, brand) as (values {brand_values(brands)}), "
+        "products as (select distinct product as t from cards), "
+        "hits as (select t, arg_min(b.brand, b.pos) as brand from products join brands b on contains(lower(t), lower(b.brand)) group by t) "
+        f"select {KEYS}, c.product, h.brand as inferred from cards c left join hits h on h.t = product"
     )
 
 
+def boundary_sql(text: str, brands, named=lambda b: b) -> str:
+    return f"with {V.CARDS_CTE} select {KEYS}, product, {word_case(text, brands, named)} as inferred from cards"
+
+
 def brand_frame(spark, sf, column):
     return V.cards(spark, sf).select(*KEY, "product", column.alias("inferred"))
 
@@ -583,40 +593,36 @@ SORIANA, WALMART, CHEDRAUI = R.BY_ID["soriana"], R.BY_ID["walmart"], R.BY_ID["ch
 GUADALAJARA, AHORRO, SAN_PABLO = (
     R.BY_ID["farmacias-guadalajara"], R.BY_ID["farmacias-del-ahorro"], R.BY_ID["farmacias-san-pablo"],
 )
-CONTAINS = "contains(lower(t), lower(b.brand))"
 
 
-@query("brand_substring_soriana", brand_sql(SORIANA.brands, "product", CONTAINS))
+@query("brand_substring_soriana", substring_sql(SORIANA.brands))
 def brand_substring_soriana(spark, sf):
     return brand_frame(spark, sf, B.brand_substring(F.col("product"), SORIANA.brands))
 
 
-@query("brand_substring_walmart", brand_sql(WALMART.brands, "product", CONTAINS))
+@query("brand_substring_walmart", substring_sql(WALMART.brands))
 def brand_substring_walmart(spark, sf):
     return brand_frame(spark, sf, B.brand_substring(F.col("product"), WALMART.brands))
 
 
-@query("brand_substring_chedraui", brand_sql(R.CHEDRAUI_PAGE_BRANDS, "product", CONTAINS))
+@query("brand_substring_chedraui", substring_sql(R.CHEDRAUI_PAGE_BRANDS))
 def brand_substring_chedraui(spark, sf):
     return brand_frame(spark, sf, B.brand_substring(F.col("product"), R.CHEDRAUI_PAGE_BRANDS))
 
 
-@query("brand_boundary_guadalajara", brand_sql(GUADALAJARA.brands, "text_lines", word_match("t", "b.brand")))
+@query("brand_boundary_guadalajara", boundary_sql("text_lines", GUADALAJARA.brands))
 def brand_boundary_guadalajara(spark, sf):
     return brand_frame(spark, sf, B.brand_boundary(X.clean_text(F.col("text_lines")), GUADALAJARA.brands))
 
 
-@query("brand_boundary_ahorro", brand_sql(AHORRO.brands, "product", word_match("t", "b.brand")))
+@query("brand_boundary_ahorro", boundary_sql("product", AHORRO.brands))
 def brand_boundary_ahorro(spark, sf):
     return brand_frame(spark, sf, B.infer_brand(AHORRO, F.col("product")))
 
 
 @query(
     "brand_boundary_san_pablo",
-    brand_sql(
-        SAN_PABLO.brands, "product", word_match("t", "b.brand"),
-        result="replace(arg_min(b.brand, b.pos), 'Sterimar', 'Stérimar')",
-    ),
+    boundary_sql("product", SAN_PABLO.brands, lambda b: "Stérimar" if b == "Sterimar" else b),
 )
 def brand_boundary_san_pablo(spark, sf):
     return brand_frame(spark, sf, B.infer_brand(SAN_PABLO, F.col("product")))
@@ -624,9 +630,7 @@ def brand_boundary_san_pablo(spark, sf):
 
 @query(
     "brand_longest",
-    brand_sql(
-        CHEDRAUI.brands, "product", word_match("t", "b.brand"), result="arg_min(b.brand, (-length(b.brand), b.pos))"
-    ),
+    boundary_sql("product", sorted(CHEDRAUI.brands, key=len, reverse=True)),
 )
 def brand_longest(spark, sf):
     return brand_frame(spark, sf, B.brand_longest(F.col("product"), CHEDRAUI.brands))
@@ -646,10 +650,9 @@ def brand_headline(spark, sf):
 
 @query(
     "brand_cascade",
-    f"with {V.CARDS_CTE}, brands(pos, brand) as (values {brand_values(AHORRO.brands)}), "
-    "own as (select *, case when page_number % 3 = 0 then brand_word when page_number % 3 = 1 then '  ' end as own from cards), "
-    f"hits as (select t, arg_min(b.brand, b.pos) as brand from (select distinct product as t from cards) join brands b on {word_match('t', 'b.brand')} group by t) "
-    f"select {KEYS}, coalesce(nullif(trim(own), ''), h.brand) as brand from own left join hits h on h.t = product",
+    f"with {V.CARDS_CTE}, "
+    "own as (select *, case when page_number % 3 = 0 then brand_word when page_number % 3 = 1 then '  ' end as own from cards) "
+    f"select {KEYS}, coalesce(nullif(trim(own), ''), {word_case('product', AHORRO.brands)}) as brand from own",
 )
 def brand_cascade(spark, sf):
     rows = V.cards(spark, sf).withColumns(
