@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution picks join strategies, merges small partitions and splits
 # hot ones from sizes seen at run time; no job sets a broadcast hint.
@@ -42,3 +42,13 @@ def work_dir(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="anaquel-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame that several later steps read to the shared folder, and read it from there.
+
+    This also ends its lineage: a lost executor costs a re-read, not a recomputation.
+    """
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
