@@ -1,10 +1,10 @@
-"""Money: tokens, parsing and the retailers' rules for current and regular price.
-
-Every rule returns a struct ``(current, regular)`` so that it is one projection.
-"""
+"""Money: tokens, parsing and the retailers' rules for current and regular price."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,92 +51,136 @@ def mxn_amount(text: Column) -> Column:
     return parse_money(first_match(text, R.MONEY_MXN))
 
 
-def _pair(current: Column, regular: Column) -> Column:
-    return F.struct(current.cast(MONEY).alias("current"), regular.cast(MONEY).alias("regular"))
+def _first(values: Column) -> Column:
+    return F.get(values, F.lit(0))
+
+
+def _second(values: Column) -> Column:
+    return F.get(values, F.lit(1))
+
+
+def _last(values: Column) -> Column:
+    return F.try_element_at(values, F.lit(-1))
+
 
+Parts = dict[str, Column]
 
-def _ordered(current: Column, regular: Column, zero_counts: bool) -> Column:
-    """Swap the two when current is above regular; some rules leave a zero alone."""
-    swap = current > regular
-    if not zero_counts:
-        swap = swap & (current != 0) & (regular != 0)
-    return _pair(F.when(swap, regular).otherwise(current), F.when(swap, current).otherwise(regular))
 
+@dataclass(frozen=True)
+class PriceRule:
+    """How a card's columns become current and regular price.
 
-def price_listed(price_texts: Column) -> Column:
-    """First distinct amount is current, second is regular."""
-    values = distinct_dollar_tokens(price_texts)
-    current = F.get(values, F.lit(0))
-    return _ordered(current, F.coalesce(F.get(values, F.lit(1)), current), zero_counts=False)
+    ``amounts`` reads the texts once into a few columns, ``choose`` picks the two prices from
+    those. Keeping the steps apart lets Spark evaluate each text pattern once per row. ``swap``
+    says when a current price above the regular one changes places with it.
+    """
 
+    reads: tuple[str, ...]
+    amounts: Callable[..., Parts]
+    choose: Callable[[Parts], tuple[Column, Column]]
+    swap: str = "always"  # or "nonzero" (a zero stays where it is) or "never"
 
-def price_labelled(text: Column) -> Column:
-    """Amounts behind their labels, else the first two amounts; never swapped."""
-    now = parse_money(first_match(text, R.PRICE_NOW))
-    before = parse_money(first_match(text, R.PRICE_BEFORE))
-    values = dollar_tokens(text)
-    first, second = F.get(values, F.lit(0)), F.get(values, F.lit(1))
-    unlabelled = F.coalesce(F.nullif(before, F.lit(0).cast(MONEY)), second, first)
-    regular = F.when(now.isNull(), unlabelled).otherwise(F.coalesce(before, now))
-    return _pair(F.coalesce(now, first), regular)
 
+def _listed(price_texts: Column) -> Parts:
+    return {"values": distinct_dollar_tokens(price_texts)}
 
-def price_selected(selling: Column, listed: Column, price_texts: Column, card_text: Column) -> Column:
-    """Dedicated price nodes first, then the distinct amounts of price nodes or of the whole card."""
-    texts = F.when(F.size(price_texts) > 0, price_texts).otherwise(F.array(card_text))
-    values = distinct_dollar_tokens(texts)
-    current = F.coalesce(parse_money(selling), F.get(values, F.lit(0)))
-    regular = F.coalesce(parse_money(listed), F.get(values, F.lit(1)), current)
-    return _ordered(current, regular, zero_counts=False)
 
+def _labelled(text: Column) -> Parts:
+    return {
+        "now": parse_money(first_match(text, R.PRICE_NOW)),
+        "before": parse_money(first_match(text, R.PRICE_BEFORE)),
+        "values": dollar_tokens(text),
+    }
 
-def price_first_last(text: Column) -> Column:
-    values = positive_amounts(text)
-    return _ordered(F.try_element_at(values, F.lit(-1)), F.get(values, F.lit(0)), zero_counts=True)
 
+def _choose_labelled(p: Parts) -> tuple[Column, Column]:
+    unlabelled = F.coalesce(F.nullif(p["before"], F.lit(0).cast(MONEY)), _second(p["values"]), _first(p["values"]))
+    regular = F.when(p["now"].isNull(), unlabelled).otherwise(F.coalesce(p["before"], p["now"]))
+    return F.coalesce(p["now"], _first(p["values"])), regular
 
-def price_card(final_text: Column, old_text: Column, card_text: Column) -> Column:
-    """Named price texts; current falls back to the last amount, regular to the largest."""
-    values = mxn_amounts(clean_text(card_text))
-    current = F.coalesce(mxn_amount(final_text), F.try_element_at(values, F.lit(-1)))
-    regular = F.coalesce(mxn_amount(old_text), F.array_max(values), current)
-    return _ordered(current, regular, zero_counts=True)
 
+def _selected(selling: Column, regular: Column, price_texts: Column, text: Column) -> Parts:
+    texts = F.when(F.size(price_texts) > 0, price_texts).otherwise(F.array(text))
+    return {
+        "selling": parse_money(selling),
+        "listed": parse_money(regular),
+        "values": distinct_dollar_tokens(texts),
+    }
 
-def price_min_max(text: Column) -> Column:
-    values = positive_amounts(text)
-    return _pair(F.array_min(values), F.array_max(values))
 
+def _choose_selected(p: Parts) -> tuple[Column, Column]:
+    current = F.coalesce(p["selling"], _first(p["values"]))
+    return current, F.coalesce(p["listed"], _second(p["values"]), current)
 
-def price_detail(main_text: Column, old_texts: Column, offer_price: Column) -> Column:
-    """Main price node with the largest old price; without the node, the structured offer."""
-    main = clean_text(main_text)
-    current = F.get(positive_amounts(main), F.lit(0))
+
+def _card(final_text: Column, old_text: Column, text: Column) -> Parts:
+    return {
+        "final": mxn_amount(final_text),
+        "old": mxn_amount(old_text),
+        "values": mxn_amounts(clean_text(text)),
+    }
+
+
+def _choose_card(p: Parts) -> tuple[Column, Column]:
+    current = F.coalesce(p["final"], _last(p["values"]))
+    return current, F.coalesce(p["old"], F.array_max(p["values"]), current)
+
+
+def _detail(price_text: Column, old_texts: Column, offer_price: Column) -> Parts:
     priced = F.filter(F.coalesce(old_texts, F.array().cast("array<string>")), lambda t: F.contains(t, F.lit("$")))
-    seen = F.flatten(F.concat(F.array(positive_amounts(main)), F.transform(priced, positive_amounts)))
-    offer = to_price(offer_price)
-    return _pair(
-        F.coalesce(current, offer),
-        F.when(current.isNotNull(), F.array_max(seen)).otherwise(offer),
-    )
+    return {
+        "main": positive_amounts(clean_text(price_text)),
+        "old": F.flatten(F.transform(priced, positive_amounts)),
+        "offer": to_price(offer_price),
+    }
+
+
+def _choose_detail(p: Parts) -> tuple[Column, Column]:
+    current = _first(p["main"])
+    largest = F.array_max(F.concat(p["main"], p["old"]))
+    return F.coalesce(current, p["offer"]), F.when(current.isNotNull(), largest).otherwise(p["offer"])
 
 
-def price_previous(current: Column, previous: Column) -> Column:
-    """Regular is the previous price, or current where that is absent or lower."""
-    now, before = to_price(current), to_price(previous)
-    return _pair(now, F.when(before.isNull() | (before < now), now).otherwise(before))
+def _previous(current_price: Column, previous_price: Column) -> Parts:
+    return {"now": to_price(current_price), "before": to_price(previous_price)}
 
 
-# What each rule reads: one job resolves them all (see operators.prices).
 RULES = {
-    "listed": price_listed,
-    "labelled": price_labelled,
-    "selected": price_selected,
-    "first_last": price_first_last,
-    "card": price_card,
-    "min_max": price_min_max,
-    "detail": price_detail,
-    "previous": price_previous,
+    # First distinct amount is current, second is regular.
+    "listed": PriceRule(
+        ("price_texts",),
+        _listed,
+        lambda p: (_first(p["values"]), F.coalesce(_second(p["values"]), _first(p["values"]))),
+        swap="nonzero",
+    ),
+    # Amounts behind their labels, else the first two amounts.
+    "labelled": PriceRule(("text",), _labelled, _choose_labelled, swap="never"),
+    # Dedicated price nodes first, then the distinct amounts of price nodes or of the whole card.
+    "selected": PriceRule(
+        ("selling", "regular", "price_texts", "text"), _selected, _choose_selected, swap="nonzero"
+    ),
+    # Regular stands before current.
+    "first_last": PriceRule(
+        ("text",), lambda t: {"values": positive_amounts(t)}, lambda p: (_last(p["values"]), _first(p["values"]))
+    ),
+    # Named price texts; current falls back to the last amount, regular to the largest.
+    "card": PriceRule(("final_text", "old_text", "text"), _card, _choose_card),
+    # Lowest and highest amount.
+    "min_max": PriceRule(
+        ("text",),
+        lambda t: {"values": positive_amounts(t)},
+        lambda p: (F.array_min(p["values"]), F.array_max(p["values"])),
+        swap="never",
+    ),
+    # Main price node with the largest old price; without the node, the structured offer.
+    "detail": PriceRule(("price_text", "old_texts", "offer_price"), _detail, _choose_detail, swap="never"),
+    # Regular is the previous price, or current where that is absent or lower.
+    "previous": PriceRule(
+        ("current_price", "previous_price"),
+        _previous,
+        lambda p: (p["now"], F.when(p["before"] >= p["now"], p["before"]).otherwise(p["now"])),
+        swap="never",
+    ),
 }
 
 

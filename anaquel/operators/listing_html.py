@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from anaquel import registry as R
+from anaquel.functions.brands import infer_brand
 from anaquel.functions.html import BOUNDARY, html_nodes
+from anaquel.functions.promotions import percent_computed
 from anaquel.functions.text import all_matches, blank_to_null, clean_text, first_match
 from anaquel.functions.urls import absolute_url, sku_detail
+from anaquel.operators.prices import resolve_prices
 from anaquel.operators.shape import product_link
-from anaquel.schema import MONEY
 
 ANCHOR = r"(?is)(<a\b[^>]*>.*?</a>)"
 HREF = r"""(?is)^<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
@@ -43,8 +45,6 @@ def count_product_links(captures: DataFrame, keys: list[str]) -> DataFrame:
 
 def top_pickup_links(cards: DataFrame, page: list[str], limit: int = 5) -> DataFrame:
     """First distinct product links per page whose card mentions pickup."""
-    from pyspark.sql import Window
-
     first = (
         cards.where(F.col("text").rlike(r"(?i)pickup|recoge|recoger|recogida"))
         .groupBy(*page, "href")
@@ -429,10 +429,6 @@ def extract_cards(captures: DataFrame, retailer_id: str, keys: list[str]) -> Dat
 
 def product_details(captures: DataFrame, keys: list[str]) -> DataFrame:
     """Detail pages to raw product fields: structured data first, then markup, then text."""
-    from anaquel.functions.brands import infer_brand
-    from anaquel.functions.money import price_detail
-    from anaquel.functions.promotions import percent_computed
-
     marked = captures.withColumn("_ld", json_ld_product(F.col("html")))
     page = html_nodes(marked, [*keys, "_ld"])
     root = F.struct(F.lit(-1).alias("pos"), (F.size("nodes") - 1).alias("last"))
@@ -476,17 +472,16 @@ def product_details(captures: DataFrame, keys: list[str]) -> DataFrame:
         old_texts.alias("old_texts"),
         F.array(*[sku_value(t) for t in sku_nodes]).alias("sku_values"),
     )
-    offer_price = F.get_json_object(ld["offers"], "$.price")
-    priced = read.withColumn("_price", price_detail(F.col("price_text"), F.col("old_texts"), offer_price))
-    current, regular = F.col("_price")["current"], F.col("_price")["regular"]
+    priced = resolve_prices(read.withColumn("offer_price", F.get_json_object(ld["offers"], "$.price")), "detail")
+    current, regular = F.col("price_current"), F.col("price_regular")
     retailer = R.BY_ID["farmacias-san-pablo"]
     return priced.select(
         *keys,
         sku_detail(ld, F.col("sku_values"), F.col("body_text"), F.col("url")).alias("sku"),
         F.coalesce(json_ld_brand(ld), infer_brand(retailer, F.col("product"), F.col("body_text"))).alias("brand"),
         "product",
-        current.cast(MONEY).alias("price_current"),
-        regular.cast(MONEY).alias("price_regular"),
+        "price_current",
+        "price_regular",
         percent_computed(current, regular, keep_zero=True).alias("promotion"),
         F.coalesce(F.col("price_text"), ld["offers"]).alias("price_raw"),
     )

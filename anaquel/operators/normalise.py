@@ -38,15 +38,23 @@ def normalise_listings(df: DataFrame) -> DataFrame:
     )
 
 
+def retailer_sku(retailer_id: str, url: Column, pid: Column) -> Column:
+    if retailer_id == "farmacias-guadalajara":
+        return sku_dash_html(url, pid)
+    if retailer_id == "farmacias-san-pablo":
+        return F.coalesce(clean_text(pid), sku_p_path(url))
+    if retailer_id in ("walmart", "chedraui"):
+        return sku_from_url(url)
+    return sku_from_url(url, pid)
+
+
 def assign_sku(df: DataFrame) -> DataFrame:
     """SKU by each retailer's own rule."""
-    url, pid = F.col("url"), F.col("data_pid")
-    sku = (
-        F.when(F.col("retailer_id") == "farmacias-guadalajara", sku_dash_html(url, pid))
-        .when(F.col("retailer_id") == "farmacias-san-pablo", F.coalesce(clean_text(pid), sku_p_path(url)))
-        .when(F.col("retailer_id").isin("walmart", "chedraui"), sku_from_url(url))
-        .otherwise(sku_from_url(url, pid))
-    )
+    sku = F.when(F.lit(False), F.lit(None).cast("string"))
+    for r in R.RETAILERS:
+        sku = sku.when(
+            F.col("retailer_id") == r.retailer_id, retailer_sku(r.retailer_id, F.col("url"), F.col("data_pid"))
+        )
     return df.withColumn("sku", sku)
 
 

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from anaquel import registry as R
 from anaquel.functions.brands import infer_brand
-from anaquel.functions.money import evidence_json, price_previous
+from anaquel.functions.money import evidence_json
 from anaquel.functions.promotions import offer_labels, percent_computed
 from anaquel.functions.text import blank_to_null, clean_text
 from anaquel.functions.urls import absolute_url
+from anaquel.operators.prices import resolve_prices
 from anaquel.schema import MONEY, PRODUCT_SEARCH_PAYLOAD, SEARCH_PAYLOAD
 
 
@@ -37,25 +38,31 @@ def map_search_items(items: DataFrame, keys: list[str]) -> DataFrame:
         clean_text(item["ecommTitle"]).alias("product"),
         clean_text(item["ecommUrlKey"]).alias("url_key"),
         clean_text(item["ecommBrand"]).alias("_brand"),
-        price_previous(item["currentPrice"], item["previousPrice"]).alias("_price"),
-        evidence_json(currentPrice=item["currentPrice"].try_cast("double"), previousPrice=item["previousPrice"].try_cast("double")).alias("price_raw"),
-    ).where("sku is not null and product is not null and url_key is not null and _price.current is not null")
-    current, regular = F.col("_price.current"), F.col("_price.regular")
-    return cleaned.select(
+        item["currentPrice"].alias("current_price"),
+        item["previousPrice"].alias("previous_price"),
+    )
+    priced = resolve_prices(cleaned, "previous").where(
+        "sku is not null and product is not null and url_key is not null and price_current is not null"
+    )
+    current, regular = F.col("price_current"), F.col("price_regular")
+    raw = evidence_json(
+        currentPrice=F.col("current_price").try_cast("double"), previousPrice=F.col("previous_price").try_cast("double")
+    )
+    return priced.select(
         *keys,
         "position",
         F.lit(retailer.display_name).alias("retailer"),
         "sku",
         F.coalesce(F.col("_brand"), infer_brand(retailer, F.col("product"))).alias("brand"),
         "product",
-        current.alias("price_current"),
-        regular.alias("price_regular"),
+        "price_current",
+        "price_regular",
         percent_computed(current, regular).alias("promotion"),
         F.lit(None).cast("boolean").alias("pickup_available"),
         F.lit(False).alias("store_context_verified"),
         F.lit("online_catalog_empathy_nacional").alias("store_context_method"),
         absolute_url(F.concat("url_key", F.lit(".html")), retailer.base_url).alias("url"),
-        "price_raw",
+        raw.alias("price_raw"),
     )
 
 

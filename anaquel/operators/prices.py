@@ -13,26 +13,27 @@ from anaquel.functions.promotions import (
     percent_text,
     shelf_labels,
 )
-
-# Columns that each rule reads from a card.
-RULE_INPUTS = {
-    "listed": ["price_texts"],
-    "labelled": ["text"],
-    "selected": ["selling", "regular", "price_texts", "text"],
-    "first_last": ["text"],
-    "card": ["final_text", "old_text", "text"],
-    "min_max": ["text"],
-    "detail": ["price_text", "old_texts", "offer_price"],
-    "previous": ["current_price", "previous_price"],
-}
+from anaquel.schema import MONEY
 
 
 def resolve_prices(df: DataFrame, rule: str) -> DataFrame:
     """Adds price_current and price_regular by the named rule."""
-    priced = df.withColumn("_price", RULES[rule](*[F.col(c) for c in RULE_INPUTS[rule]]))
-    return priced.withColumns(
-        {"price_current": F.col("_price.current"), "price_regular": F.col("_price.regular")}
-    ).drop("_price")
+    r = RULES[rule]
+    parts = {f"_{k}": v for k, v in r.amounts(*[F.col(c) for c in r.reads]).items()}
+    current, regular = r.choose({k[1:]: F.col(k) for k in parts})
+    chosen = df.withColumns(parts).withColumns({"_current": current.cast(MONEY), "_regular": regular.cast(MONEY)})
+    c, g = F.col("_current"), F.col("_regular")
+    swapped = c > g
+    if r.swap == "nonzero":
+        swapped = swapped & (c != 0) & (g != 0)
+    if r.swap == "never":
+        prices = {"price_current": c, "price_regular": g}
+    else:
+        prices = {
+            "price_current": F.when(swapped, g).otherwise(c),
+            "price_regular": F.when(swapped, c).otherwise(g),
+        }
+    return chosen.withColumns(prices).drop(*parts, "_current", "_regular")
 
 
 def extract_promotions(df: DataFrame, rule: str) -> DataFrame:

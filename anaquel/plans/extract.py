@@ -6,13 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anaquel import registry as R
+from anaquel.functions.brands import infer_brand
 from anaquel.functions.text import clean_text
 from anaquel.operators.dedup import dedup_in_page
-from anaquel.operators.listing_html import extract_cards
-from anaquel.operators.normalise import assign_sku, canonicalise_urls, infer_brands
+from anaquel.operators.listing_html import extract_cards, resolve_links
+from anaquel.operators.normalise import retailer_sku
 from anaquel.operators.prices import extract_promotions, resolve_prices
 from anaquel.operators.shape import pickup_only, require_fields
 from anaquel.operators.slices import union_retailers
+from anaquel.session import materialise
 
 # Price rule, promotion rule and provenance of each retailer's listing cards.
 CARD_FORMS = {
@@ -39,8 +41,12 @@ def observations_from_cards(cards: DataFrame, retailer_id: str, page: list[str])
     if retailer_id == "walmart":
         rows = pickup_only(rows)
     rows = extract_promotions(resolve_prices(rows, prices), promotions)
-    rows = infer_brands(assign_sku(canonicalise_urls(rows)))
-    with_store = R.BY_ID[retailer_id].store_hints
+    retailer = R.BY_ID[retailer_id]
+    rows = resolve_links(rows, retailer_id).withColumn(
+        "brand", F.coalesce(clean_text(F.col("brand")), infer_brand(retailer, F.col("product"), F.col("text")))
+    )
+    rows = rows.withColumn("sku", retailer_sku(retailer_id, F.col("url"), F.col("data_pid")))
+    with_store = retailer.store_hints
     available = F.lit(True) if with_store else F.lit(None).cast("boolean")
     return require_fields(rows).select(
         "retailer_id",
@@ -60,8 +66,12 @@ def observations_from_cards(cards: DataFrame, retailer_id: str, page: list[str])
 
 
 def observations_from_pages(captures: DataFrame, page: list[str]) -> DataFrame:
-    """All retailers' pages in one plan; ``page`` names the columns that identify a capture."""
+    """All retailers' pages to observations; ``page`` names the columns that identify a capture.
+
+    Cards are written once: parsing markup is the dear step, and five branches read its result.
+    """
     keys = ["retailer_id", *[c for c in page if c != "retailer_id"]]
+    cards = materialise(union_retailers([extract_cards(captures, r, keys) for r in CARD_FORMS]), "cards")
     return union_retailers(
-        [observations_from_cards(extract_cards(captures, r, keys), r, keys) for r in CARD_FORMS]
+        [observations_from_cards(cards.where(F.col("retailer_id") == r), r, keys) for r in CARD_FORMS]
     )
