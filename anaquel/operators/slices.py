@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from anaquel.schema import SLICE
+from anaquel.schema import SEQUENCE_COLUMNS, SLICE
+from anaquel.session import broadcast_if_small
 
 
 def _blank_as_null(c: str) -> Column:
@@ -25,8 +26,12 @@ def slice_keys(df: DataFrame) -> DataFrame:
 
 
 def replace_slice(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Existing rows outside the slices that the batch brings; an empty batch removes nothing."""
-    keys = slice_keys(incoming)
+    """Existing rows outside the slices that the batch brings; an empty batch removes nothing.
+
+    A batch brings few slices as a rule. Their number is checked, so that the existing rows need
+    not be shuffled to find out.
+    """
+    keys = broadcast_if_small(slice_keys(incoming))
     same = (
         existing["retailer"].eqNullSafe(keys["_retailer"])
         & existing["category_id"].eqNullSafe(keys["_category_id"])
@@ -74,12 +79,19 @@ def recover_gaps(primary: DataFrame, fallbacks: list[tuple[str, DataFrame]], pag
     return filled
 
 
+def _sorted(df: DataFrame, leading: list[str]) -> DataFrame:
+    """Nulls last. The columns after the leading ones settle ties, which also lets the range
+    partitioning of the sort split a value that many rows share."""
+    ties = [c for c in ["sku", "url", *SEQUENCE_COLUMNS] if c in df.columns]
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in leading + ties])
+
+
 def order_batch(df: DataFrame) -> DataFrame:
-    return df.orderBy(F.col("brand").asc_nulls_last(), F.col("product").asc_nulls_last())
+    return _sorted(df, ["brand", "product"])
 
 
 CONSOLIDATED_ORDER = ["retailer", "category_id", "brand", "product"]
 
 
 def order_consolidated(df: DataFrame) -> DataFrame:
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in CONSOLIDATED_ORDER])
+    return _sorted(df, CONSOLIDATED_ORDER)

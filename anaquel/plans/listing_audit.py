@@ -13,6 +13,7 @@ from anaquel.operators.paging import (
     stale_stop,
     target_reached_stop,
 )
+from anaquel.session import materialise
 
 
 def stop_pages(page_log: DataFrame, totals: DataFrame, slice_cols: list[str]) -> DataFrame:
@@ -27,7 +28,9 @@ def stop_pages(page_log: DataFrame, totals: DataFrame, slice_cols: list[str]) ->
 
 
 def listing_audit(page_log: DataFrame, totals: DataFrame, slice_cols: list[str]) -> DataFrame:
-    visited = keep_visited(page_log, stop_pages(page_log, totals, slice_cols), slice_cols)
+    """One row per listing. ``page_log`` is read several times, so it should be a table."""
+    stops = stop_pages(page_log, totals, slice_cols)
+    visited = materialise(keep_visited(page_log, stops, slice_cols), "visited")
     gaps = (
         internal_gaps(visited, slice_cols)
         .groupBy(*slice_cols)

@@ -6,9 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Adaptive execution picks join strategies, merges small partitions and splits
-# hot ones from sizes seen at run time; no job sets a broadcast hint.
+# hot ones from sizes seen at run time.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -52,3 +53,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = work_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Mark a narrow key frame for broadcast, but only after counting that it is small.
+
+    Beyond the limit the frame is returned as it is and the join shuffles.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

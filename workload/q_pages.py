@@ -41,7 +41,7 @@ def stale_stop(spark, sf):
     "where s.stop_page is null or l.page <= s.stop_page",
 )
 def visited_pages(spark, sf):
-    log = materialise(V.page_log(spark, sf), "page-log")
+    log = V.page_log(spark, sf)
     return W.keep_visited(log, W.stale_stop(log, S), S).select("slice", "page", "rows", "new")
 
 
@@ -69,7 +69,7 @@ PARTIAL = (
     f"with {LOG}, {PARTIAL} select f.slice, page_size, partial_page, stop_page from firsts f left join partial_stops p on f.slice = p.slice",
 )
 def partial_pages(spark, sf):
-    return W.partial_pages(materialise(V.page_log(spark, sf), "page-log"), S)
+    return W.partial_pages(V.page_log(spark, sf), S)
 
 
 @query(
@@ -79,7 +79,7 @@ def partial_pages(spark, sf):
     "select l.slice, page, expected_pages, case when page < expected_pages then page_size end as target_rows from page_log l join e on l.slice = e.slice",
 )
 def expected_pages(spark, sf):
-    log = materialise(V.page_log(spark, sf), "page-log")
+    log = V.page_log(spark, sf)
     return W.page_targets(log, V.totals(spark, sf), S).select("slice", "page", "expected_pages", "target_rows")
 
 
@@ -170,7 +170,7 @@ TARGET = (
 
 @query("target_reached_stop", f"with {LOG}, {TOTALS}, {TARGET} select slice, stop_page from target_stops")
 def target_reached_stop(spark, sf):
-    return W.target_reached_stop(materialise(V.page_log(spark, sf), "page-log"), V.totals(spark, sf), S)
+    return W.target_reached_stop(V.page_log(spark, sf), V.totals(spark, sf), S)
 
 
 STOPS = (
@@ -181,7 +181,7 @@ STOPS = (
 
 @query("stop_pages", f"with {LOG}, {TOTALS}, {STOPS} select slice, stop_page from stops")
 def stop_pages_query(spark, sf):
-    return stop_pages(materialise(V.page_log(spark, sf), "page-log"), V.totals(spark, sf), S)
+    return stop_pages(V.page_log(spark, sf), V.totals(spark, sf), S)
 
 
 @query(
@@ -197,7 +197,7 @@ def stop_pages_query(spark, sf):
     "case when gap_pages > 0 then 'ERROR' else 'OK' end as status from a left join totals t on a.slice = t.slice",
 )
 def listing_audit_query(spark, sf):
-    log = materialise(V.page_log(spark, sf), "page-log")
+    log = V.page_log(spark, sf)
     return listing_audit(log, V.totals(spark, sf), S)
 
 

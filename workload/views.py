@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anaquel import registry as R
-from anaquel.operators.paging import running_total
+from anaquel.operators.paging import new_rows_per_page, running_total
+from anaquel.session import materialise
 from anaquel.sources.dims import CONFIG
 
 SPARK, DUCK = "spark", "duck"
@@ -230,16 +231,19 @@ PAGES_CTE = (
 )
 
 
-def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rows_of_pages(events: DataFrame) -> DataFrame:
     """The product rows of each page."""
     return (
-        page_events(spark, sf_dir)
-        .where("rows > 0")
+        events.where("rows > 0")
         .selectExpr("slice", "page", "event_id", "explode(sequence(1, rows)) as position")
         .selectExpr("slice", "page", "position", "'k' || cast((event_id * 7 + position * 3) % 60 as string) as sku")
     )
 
 
+def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rows_of_pages(materialise(page_events(spark, sf_dir), "page-events"))
+
+
 PAGE_ROWS_CTE = (
     "page_rows as (select slice, page, position, 'k' || cast((event_id * 7 + position * 3) % 60 as string) as sku "
     "from page_events, unnest(generate_series(1, rows)) as t(position) where rows > 0)"
@@ -247,17 +251,16 @@ PAGE_ROWS_CTE = (
 
 
 def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per page: rows and keys that are new in the slice."""
-    from anaquel.operators.paging import new_rows_per_page
-
-    events = page_events(spark, sf_dir).select("slice", "page", F.col("rows").cast("bigint").alias("rows"))
-    new = new_rows_per_page(page_rows(spark, sf_dir), SLICE_KEY, F.col("sku")).select("slice", "page", "new")
-    return (
-        events.withColumn("new", F.lit(0).cast("bigint"))
-        .unionByName(new.withColumn("rows", F.lit(0).cast("bigint")))
+    """Per page: rows and keys that are new in the slice; written once, as a run's log is."""
+    events = materialise(page_events(spark, sf_dir), "page-events")
+    visited = events.select("slice", "page", F.col("rows").cast("bigint").alias("rows"), F.lit(0).cast("bigint").alias("new"))
+    new = new_rows_per_page(rows_of_pages(events), SLICE_KEY, F.col("sku"))
+    log = (
+        visited.unionByName(new.select("slice", "page", F.lit(0).cast("bigint").alias("rows"), "new"))
         .groupBy("slice", "page")
         .agg(F.sum("rows").alias("rows"), F.sum("new").alias("new"))
     )
+    return materialise(log, "page-log")
 
 
 PAGE_LOG_CTE = (
