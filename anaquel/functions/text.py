@@ -67,7 +67,7 @@ def title_case(c: Column) -> Column:
 
 def is_blank(c: Column) -> Column:
     """Null, empty or white space only."""
-    return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), SPACE_RUN, " ")) == ""
+    return ~F.coalesce(c, F.lit("")).rlike(r"(?U)[^\s\x1c-\x1f]")
 
 
 def fallback_title(title: Column, text: Column) -> Column:

@@ -151,7 +151,7 @@ def below(n: Column) -> Column:
 
 
 def attribute(n: Column, name: str) -> Column:
-    return blank_to_null(F.get(F.map_values(F.map_filter(n["attrs"], lambda k, v: k == name)), F.lit(0)))
+    return blank_to_null(n["attrs"][name])
 
 
 def class_has(n: Column, *parts: str) -> Column:

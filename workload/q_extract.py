@@ -220,8 +220,7 @@ KEYS = ", ".join(KEY)
 
 
 def details(spark, sf):
-    joined = V.table(spark, sf, "lineitem").join(V.table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    return joined.selectExpr(*[f"{e} as {n}" for n, e in details_columns().items()])
+    return V.line_parts(spark, sf).selectExpr(*[f"{e} as {n}" for n, e in details_columns().items()])
 
 
 @query(
@@ -276,8 +275,7 @@ SEARCH_KEY = ["run_id", "page_number", "position_in_run", "part_id"]
 
 
 def search(spark, sf):
-    joined = V.table(spark, sf, "lineitem").join(V.table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    return joined.selectExpr(*[f"{e} as {n}" for n, e in search_columns().items()])
+    return V.line_parts(spark, sf).selectExpr(*[f"{e} as {n}" for n, e in search_columns().items()])
 
 
 @query(
@@ -345,8 +343,7 @@ RANGES_CTE = (
 
 
 def ranges(spark, sf):
-    joined = V.table(spark, sf, "lineitem").join(V.table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    return joined.selectExpr(*[f"{e} as {n}" for n, e in ranges_columns().items()])
+    return V.line_parts(spark, sf).selectExpr(*[f"{e} as {n}" for n, e in ranges_columns().items()])
 
 
 # The offers un-nested: each line's three offers in document order, then the best one.

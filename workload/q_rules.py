@@ -460,7 +460,7 @@ URLS_CTE = "urls as (select " + ", ".join(f"{e} as {n}" for n, e in url_columns(
 
 
 def url_rows(spark, sf):
-    return V.table(spark, sf, "lineitem").selectExpr(*[f"{e} as {n}" for n, e in url_columns().items()])
+    return V.spread(V.table(spark, sf, "lineitem")).selectExpr(*[f"{e} as {n}" for n, e in url_columns().items()])
 
 
 PATH_SQL = r"regexp_replace(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)', 1), ';[^/]*$', '')"
@@ -763,8 +763,7 @@ EVIDENCE_CTE = (
 
 
 def evidence_rows(spark, sf):
-    joined = V.table(spark, sf, "lineitem").join(V.table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    return joined.selectExpr(*[f"{e} as {n}" for n, e in EVIDENCE.items()])
+    return V.line_parts(spark, sf).selectExpr(*[f"{e} as {n}" for n, e in EVIDENCE.items()])
 
 
 BODY, BLOB = folded("body_text"), folded("replace(state_blob, '%20', ' ')")

@@ -25,6 +25,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give heavy per-row work a partition per core where the scan has fewer.
+
+    A benchmark file holds one row group, which only one task can read. A table with more splits
+    than cores stays as it is, so nothing is moved at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def line_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines, parts = spread(table(spark, sf_dir, "lineitem")), table(spark, sf_dir, "part")
+    return lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+
+
 def quote(value) -> str:
     return "null" if value is None else "'" + str(value).replace("'", "''") + "'"
 
@@ -115,10 +130,7 @@ LISTING = {
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product observations."""
-    joined = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
-    )
-    return joined.selectExpr(*[f"{e} as {n}" for n, e in LISTING.items()])
+    return line_parts(spark, sf_dir).selectExpr(*[f"{e} as {n}" for n, e in LISTING.items()])
 
 
 LISTING_CTE = (
@@ -196,10 +208,7 @@ def cards_columns(engine: str) -> dict[str, str]:
 
 
 def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
-    )
-    return joined.selectExpr(*[f"{e} as {n}" for n, e in cards_columns(SPARK).items()])
+    return line_parts(spark, sf_dir).selectExpr(*[f"{e} as {n}" for n, e in cards_columns(SPARK).items()])
 
 
 CARDS_CTE = (
@@ -339,7 +348,7 @@ CAPTURES = {"page_id": "page_id", "url": "url", "retailer_id": PAGE_RETAILER, "h
 
 
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").selectExpr(*[f"{e} as {n}" for n, e in CAPTURES.items()])
+    return spread(table(spark, sf_dir, "pages")).selectExpr(*[f"{e} as {n}" for n, e in CAPTURES.items()])
 
 
 CAPTURES_CTE = "captures as (select " + ", ".join(f"{e} as {n}" for n, e in CAPTURES.items()) + " from pages)"
@@ -367,7 +376,7 @@ def texts_columns(engine: str) -> dict[str, str]:
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").selectExpr(*[f"{e} as {n}" for n, e in texts_columns(SPARK).items()])
+    return spread(table(spark, sf_dir, "documents")).selectExpr(*[f"{e} as {n}" for n, e in texts_columns(SPARK).items()])
 
 
 TEXTS_CTE = "texts as (select " + ", ".join(f"{e} as {n}" for n, e in texts_columns(DUCK).items()) + " from documents)"
