@@ -19,36 +19,35 @@ def _any_marker(text: Column, markers: list[str]) -> Column:
     return hit
 
 
-def is_blocked(
-    retailer: Retailer, status: Column, url: Column, title: Column, body: Column, html: Column
-) -> Column:
-    """Does the capture show a block page, by this retailer's signs?"""
-    markers = [m.lower() for m in retailer.block_markers]
+def screen_text(retailer: Retailer, title: Column, body: Column, html: Column) -> Column:
+    """The text in which a retailer's block markers are looked for, folded its way."""
     empty = F.lit("")
-    if retailer.block_text in ("folded_body", "decoded_body"):
-        fold = fold_decoded if retailer.block_text == "decoded_body" else fold_accents
-        text, markers = fold(body), [m.translate(_FOLD) for m in markers]
+    if retailer.block_text == "folded_body":
+        text = fold_accents(body)
+    elif retailer.block_text == "decoded_body":
+        text = fold_decoded(body)
     elif retailer.block_text == "spaced_html":
         text = lower_spaced(html)
     elif retailer.block_text == "title_and_body":
         text = F.lower(F.concat(F.coalesce(title, empty), F.lit("\n"), F.coalesce(body, empty)))
     else:
         text = F.lower(body)
-    blocked = _any_marker(F.coalesce(text, empty), markers)
+    return F.coalesce(text, empty)
+
+
+def is_blocked(retailer: Retailer, status: Column, url: Column, screen: Column) -> Column:
+    """Does a capture with this screen text show a block page, by this retailer's signs?"""
+    markers = [m.lower() for m in retailer.block_markers]
+    if retailer.block_text in ("folded_body", "decoded_body"):
+        markers = [m.translate(_FOLD) for m in markers]
+    blocked = _any_marker(screen, markers)
     if retailer.block_url:
-        blocked = blocked | F.contains(F.lower(F.coalesce(url, empty)), F.lit(retailer.block_url))
+        blocked = F.contains(F.lower(F.coalesce(url, F.lit(""))), F.lit(retailer.block_url)) | blocked
     if retailer.block_statuses:
         blocked = F.coalesce(status, F.lit(0)).isin(*retailer.block_statuses) | blocked
     return blocked
 
 
-def classify_block(retailer_id: Column, status: Column, url: Column, title: Column, body: Column, html: Column):
-    verdict = F.when(F.lit(False), F.lit(False))
-    for r in R.RETAILERS:
-        verdict = verdict.when(retailer_id == r.retailer_id, is_blocked(r, status, url, title, body, html))
-    return verdict
-
-
 def classify_http(retailer_id: Column, status: Column) -> Column:
     """OK, HTTP error, or no answer from the network."""
     offline = (retailer_id == "farmacias-del-ahorro") & ((status < 200) | (status >= 300))
@@ -84,58 +83,42 @@ def _near(text: Column, name: Column, hints: tuple[str, ...], reach: int) -> Col
     """A hint and the name within ``reach`` characters of each other, in either order."""
     words = "|".join(hints)
     quoted = F.concat(F.lit(r"\Q"), name, F.lit(r"\E"))
-    before = F.rlike(text, F.concat(F.lit(f"(?s)(?:{words}).{{0,{reach}}}"), quoted))
-    after = F.rlike(text, F.concat(F.lit("(?s)"), quoted, F.lit(f".{{0,{reach}}}(?:{words})")))
-    return before | after
+    either = F.concat(
+        F.lit(f"(?s)(?:{words}).{{0,{reach}}}"), quoted, F.lit("|"), quoted, F.lit(f".{{0,{reach}}}(?:{words})")
+    )
+    return F.rlike(text, either)
 
 
 def _holds(text: Column, value: Column) -> Column:
     return (value != "") & F.contains(text, value)
 
 
-def evidence_in_text(retailer: Retailer, text: Column, store: Column, postal: Column, store_id: Column) -> Column:
-    """Does the page text prove the configured store?"""
+def fold_for(retailer: Retailer, text: Column) -> Column:
+    """The folding under which a retailer's store names are compared."""
+    return fold_accents(text) if retailer.store_keyword else fold_decoded(text)
+
+
+def evidence_in_text(retailer: Retailer, page: Column, store: Column, postal: Column, store_id: Column) -> Column:
+    """Does the folded page text prove the configured store?"""
+    store, postal, store_id = (fold_for(retailer, c) for c in (store, postal, store_id))
     if retailer.store_keyword:
-        page = fold_accents(text)
-        keyword = F.lit(retailer.store_keyword)
-        detail = (
-            _holds(page, fold_accents(store_id))
-            | _holds(page, fold_accents(postal))
-            | F.contains(page, F.lit(retailer.store_full_name))
-        )
         words = "|".join(retailer.store_hints)
-        near = page.rlike(f"(?s)(?:{words}).{{0,140}}{retailer.store_keyword}") | page.rlike(
-            f"(?s){retailer.store_keyword}.{{0,140}}(?:{words})"
-        )
-        return F.contains(page, keyword) & (detail | near)
-    page, name = fold_decoded(text), fold_decoded(store)
-    proof = (
-        _holds(page, fold_decoded(postal))
-        | _holds(page, fold_decoded(store_id))
-        | _near(page, name, retailer.store_hints, 100)
-    )
-    return _holds(page, name) & proof
+        keyword = retailer.store_keyword
+        near = page.rlike(f"(?s)(?:{words}).{{0,140}}{keyword}|{keyword}.{{0,140}}(?:{words})")
+        detail = _holds(page, store_id) | _holds(page, postal) | F.contains(page, F.lit(retailer.store_full_name))
+        return F.contains(page, F.lit(keyword)) & (detail | near)
+    proof = _holds(page, postal) | _holds(page, store_id) | _near(page, store, retailer.store_hints, 100)
+    return _holds(page, store) & proof
 
 
-def evidence_in_state(retailer: Retailer, blob: Column, store: Column, postal: Column, store_id: Column) -> Column:
-    """At least two signs of the store in stored session state."""
+def evidence_in_state(retailer: Retailer, state: Column, store: Column, postal: Column, store_id: Column) -> Column:
+    """At least two signs of the store in folded session state."""
+    store, postal, store_id = (fold_for(retailer, c) for c in (store, postal, store_id))
     if retailer.store_keyword:
-        state = fold_accents(blob)
         named = F.contains(state, F.lit(retailer.store_keyword))
-        signs = [
-            named,
-            _holds(state, fold_accents(store_id)),
-            _holds(state, fold_accents(postal)),
-            F.contains(state, F.lit("selecto")),
-        ]
+        signs = [named, _holds(state, store_id), _holds(state, postal), F.contains(state, F.lit("selecto"))]
     else:
-        state = fold_decoded(blob)
         named = F.lit(True)
-        signs = [_holds(state, fold_decoded(v)) for v in (store, postal, store_id)]
+        signs = [_holds(state, v) for v in (store, postal, store_id)]
     hits = sum((s.cast("int") for s in signs), F.lit(0))
     return named & (hits >= 2)
-
-
-def verification_method(steps: list[tuple[Column, str]]) -> Column:
-    """Tag of the first proof that holds, in order; null when none does."""
-    return F.coalesce(*[F.when(proof, F.lit(tag)) for proof, tag in steps])

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from anaquel import registry as R
 from anaquel.functions import brands as B
-from anaquel.functions import classify as C
 from anaquel.functions import money as M
 from anaquel.functions import text as X
 from anaquel.functions import urls as U
 from anaquel.operators import normalise as N
 from anaquel.operators.prices import extract_promotions, resolve_prices
+from anaquel.operators.screening import classify_blocks, classify_outcomes, verify_stores
 from anaquel.operators.shape import pickup_only, price_card_filter, product_link_filter
 from workload import views as V
 from workload.registry import edge, query
@@ -721,8 +721,7 @@ def block_sql() -> str:
 
 @query("classify_block", f"with {V.TEXTS_CTE} select doc_id, retailer_id, {block_sql()} as blocked from texts")
 def classify_block(spark, sf):
-    cols = [F.col(c) for c in ("retailer_id", "status", "url", "title", "body_text", "html")]
-    return V.texts(spark, sf).select("doc_id", "retailer_id", C.classify_block(*cols).alias("blocked"))
+    return classify_blocks(V.texts(spark, sf)).select("doc_id", "retailer_id", "blocked")
 
 
 @query(
@@ -731,9 +730,7 @@ def classify_block(spark, sf):
     "then 'NETWORK_UNAVAILABLE' when status >= 400 then 'ERROR' else 'OK' end as outcome from texts",
 )
 def classify_http(spark, sf):
-    return V.texts(spark, sf).select(
-        "doc_id", C.classify_http(F.col("retailer_id"), F.col("status")).alias("outcome")
-    )
+    return classify_outcomes(V.texts(spark, sf)).select("doc_id", "outcome")
 
 
 # Store evidence: page text and session state derived from line items, for the two retailers with stores.
@@ -779,41 +776,41 @@ STATE_SQL = (
 )
 
 
-def by_store_retailer(function):
-    place = [F.col(c) for c in ("store", "postal_code", "store_id")]
-    return lambda text: F.when(
-        F.col("retailer_id") == "walmart", function(WALMART, F.col(text), *place)
-    ).otherwise(function(CHEDRAUI, F.col(text), *place))
+def proved(rows, source, column):
+    """Rows with the outcome of one proof alone."""
+    return verify_stores(rows.drop(*[c for c in ("body_text", "state_blob") if c != source])).withColumnRenamed(
+        "store_context_verified", column
+    )
 
 
 @query("store_evidence_text", f"with {EVIDENCE_CTE} select {KEYS}, {TEXT_SQL} as proved from evidence")
 def store_evidence_text(spark, sf):
-    return evidence_rows(spark, sf).select(*KEY, by_store_retailer(C.evidence_in_text)("body_text").alias("proved"))
+    return proved(evidence_rows(spark, sf), "body_text", "proved").select(*KEY, "proved")
 
 
 @query("store_evidence_state", f"with {EVIDENCE_CTE} select {KEYS}, {STATE_SQL} as proved from evidence")
 def store_evidence_state(spark, sf):
-    return evidence_rows(spark, sf).select(*KEY, by_store_retailer(C.evidence_in_state)("state_blob").alias("proved"))
+    return proved(evidence_rows(spark, sf), "state_blob", "proved").select(*KEY, "proved")
+
+
+# What a session saw after picking the store, and on a detail page.
+LATER = {
+    "after_ui_text": "case when part_id % 7 = 1 then 'sc toreo 11220' end",
+    "after_ui_state": "case when part_id % 7 = 2 then '{\"2344\": \"SC Toreo\"}' end",
+    "detail_text": "case when part_id % 7 = 3 then 'Recoger hoy en SC Toreo' end",
+    "detail_state": "case when part_id % 7 = 4 then '11220 SC Toreo' end",
+}
 
 
 @query(
     "store_verification",
     f"with {EVIDENCE_CTE}, tagged as (select *, case when {TEXT_SQL} then case when retailer_id = 'walmart' then 'category_text' else 'page_text' end "
-    f"when {STATE_SQL} then 'browser_state' end as store_context_method from evidence) "
+    f"when {STATE_SQL} then 'browser_state' when retailer_id = 'walmart' then case part_id % 7 when 1 then 'category_text_after_ui' "
+    "when 2 then 'browser_state_after_ui' when 3 then 'product_detail_pickup_store' when 4 then 'product_detail_browser_state' end end "
+    "as store_context_method from evidence) "
     f"select {KEYS}, store_context_method is not null as store_context_verified, store_context_method from tagged",
 )
 def store_verification(spark, sf):
-    rows = evidence_rows(spark, sf)
-    in_text = by_store_retailer(C.evidence_in_text)("body_text")
-    in_state = by_store_retailer(C.evidence_in_state)("state_blob")
-    method = C.verification_method(
-        [
-            (in_text & (F.col("retailer_id") == "walmart"), "category_text"),
-            (in_text, "page_text"),
-            (in_state, "browser_state"),
-        ]
-    )
-    tagged = rows.withColumn("store_context_method", method)
-    return tagged.select(
-        *KEY, F.col("store_context_method").isNotNull().alias("store_context_verified"), "store_context_method"
-    )
+    """Text, then state, then the text after the store was picked, then a detail page."""
+    rows = verify_stores(evidence_rows(spark, sf).withColumns({n: F.expr(e) for n, e in LATER.items()}))
+    return rows.select(*KEY, "store_context_verified", "store_context_method")
