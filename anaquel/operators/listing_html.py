@@ -306,7 +306,7 @@ def _with_actions(pair: Column) -> Column:
     )
     line = F.get(
         F.filter(
-            F.transform(F.split(text, r"\n+"), F.trim),
+            F.transform(F.split(text, r"\n+"), lambda x: F.trim(x)),
             lambda x: ~x.rlike(R.MONEY_AMOUNT)
             & ~x.rlike("(?i)Agregar|Comparar|Oferta|Favoritos")
             & (F.length(x) > 8),
