@@ -20,7 +20,8 @@ def running_total(
     """Inclusive running total of ``value`` within ``group`` in ``order``.
 
     ``block`` must not decrease along the order. The total is taken inside each block, and the
-    sums of the blocks before are added: the second step sees one row per block.
+    sums of the blocks before are added: the second step sees one row per block. ``df`` is read
+    twice, so a dear one should be written first (``session.materialise``).
     """
     tagged = df.withColumn("_block", block)
     sums = tagged.groupBy(*group, "_block").agg(F.sum(value).alias("_sum"))
@@ -57,6 +58,28 @@ def new_rows_per_page(rows: DataFrame, slice_cols: list[str], key: Column, page:
     )
 
 
+def link_growth(counts: DataFrame, slice_cols: list[str]) -> DataFrame:
+    """Turns the link total after each round of loading more into what the round added.
+
+    A total that shrinks adds nothing. Each total also meets the next round under a shifted
+    number, so no window is needed.
+    """
+    here = counts.select(*slice_cols, "page", F.col("links").alias("links"), F.lit(None).cast("bigint").alias("before"))
+    after = counts.select(
+        *slice_cols, (F.col("page") + 1).alias("page"), F.lit(None).cast("bigint").alias("links"), F.col("links").alias("before")
+    )
+    return (
+        here.unionByName(after)
+        .groupBy(*slice_cols, "page")
+        .agg(F.max("links").alias("rows"), F.max("before").alias("_before"))
+        .where(F.col("rows").isNotNull())
+        .select(
+            *slice_cols, "page", "rows",
+            F.greatest(F.col("rows") - F.coalesce("_before", F.lit(0)), F.lit(0)).alias("new"),
+        )
+    )
+
+
 def stale_stop(page_log: DataFrame, slice_cols: list[str], length: int = 2) -> DataFrame:
     """First page that ends ``length`` pages in a row without anything new."""
     spread = (

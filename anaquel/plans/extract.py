@@ -71,7 +71,8 @@ def observations_from_pages(captures: DataFrame, page: list[str]) -> DataFrame:
     Cards are written once: parsing markup is the dear step, and five branches read its result.
     """
     keys = ["retailer_id", *[c for c in page if c != "retailer_id"]]
-    cards = materialise(union_retailers([extract_cards(captures, r, keys) for r in CARD_FORMS]), "cards")
+    found = union_retailers([extract_cards(captures, r, keys) for r in CARD_FORMS])
+    cards = materialise(found, "cards", ("retailer_id",))
     return union_retailers(
         [observations_from_cards(cards.where(F.col("retailer_id") == r), r, keys) for r in CARD_FORMS]
     )

@@ -9,9 +9,14 @@ from anaquel.operators import dedup as D
 from anaquel.operators import listing_html as H
 from anaquel.operators import payloads as Q
 from anaquel.operators.slices import union_retailers
+from anaquel.operators.aggregates import slice_summary
+from anaquel.plans.category_batch import category_batch
 from anaquel.plans.extract import observations_from_pages
 from anaquel.schema import CAPTURE
+from anaquel.session import work_dir
 from anaquel.sources.captures import conform
+from anaquel.sources.consolidated import merge_batch, scan_consolidated
+from anaquel.sources.dims import dim_category, dim_location
 from workload import views as V
 from workload.registry import edge, query
 
@@ -139,6 +144,33 @@ def pages_to_observations(spark, sf):
     return edge(out.select("page_id", "retailer_id", "product", "sku", "price_current", "price_regular", "promotion", "url"))
 
 
+CATEGORY = "case retailer_id " + " ".join(
+    f"when {V.quote(r.retailer_id)} then {V.quote(next(c['category_id'] for c in V.dim_rows('dim_category') if c['retailer_id'] == r.retailer_id))}"
+    for r in R.RETAILERS
+) + " end"
+PLACE = "case retailer_id " + " ".join(
+    f"when {V.quote(r.retailer_id)} then {V.quote(r.location_id)}" for r in R.RETAILERS
+) + " end"
+
+
+@query(
+    "category_run",
+    f"with {expected_cards()}, {V.dim_cte('dim_category')}, {V.dim_cte('dim_location')}, "
+    f"kept as (select *, {CATEGORY} as category_id, {PLACE} as location_id from cards where retailer_id <> 'walmart' or action = 'pickup') "
+    "select case k.retailer_id " + " ".join(f"when {V.quote(r.retailer_id)} then {V.quote(r.display_name)}" for r in R.RETAILERS) + " end as retailer, "
+    "k.category_id, l.city, l.store, l.store_id, count(*) as products, count(*) as sku_complete, count(*) as price_complete, count(*) as url_complete "
+    "from kept k join dim_category d on d.retailer_id = k.retailer_id and d.category_id = k.category_id "
+    "join dim_location l on l.location_id = k.location_id group by all",
+)
+def category_run(spark, sf):
+    """Pages to the consolidated table and its summary, all retailers and categories at once."""
+    pages = V.captures(spark, sf).withColumns({"category_id": F.expr(CATEGORY), "location_id": F.expr(PLACE)})
+    rows = observations_from_pages(pages, ["page_id", "category_id", "location_id"])
+    table = work_dir(spark, "category-run")
+    merge_batch(spark, table, category_batch(rows, dim_category(spark), dim_location(spark)))
+    return slice_summary(scan_consolidated(spark, table))
+
+
 # Counters in page text and markup.
 @query(
     "displayed_total",

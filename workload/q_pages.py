@@ -10,6 +10,7 @@ from anaquel.operators import dedup as D
 from anaquel.operators import paging as W
 from anaquel.operators.aggregates import coverage_ratio
 from anaquel.operators.slices import recover_gaps
+from anaquel.plans.frontier import collect_listing, page_frontier
 from anaquel.plans.listing_audit import listing_audit, stop_pages
 from anaquel.session import materialise
 from workload import views as V
@@ -293,3 +294,79 @@ def browse_requests(spark, sf):
     return ranges.withColumn(
         "url", browse_url(F.expr("substring(slice, 2)"), F.col("start"), F.lit(R.RANGE_ROWS))
     )
+
+
+@query(
+    "link_growth",
+    f"with {V.PAGES_CTE}, c as (select slice, page, cast(floor(value) as bigint) as links from page_events) "
+    "select slice, page, links as rows, greatest(links - coalesce(lag(links) over (partition by slice order by page), 0), 0) as new from c",
+)
+def link_growth(spark, sf):
+    counts = V.page_events(spark, sf).selectExpr("slice", "page", "cast(floor(value) as bigint) as links")
+    return W.link_growth(materialise(counts, "links"), S)
+
+
+@query(
+    "stale_stop_links",
+    f"with {V.PAGES_CTE}, c as (select slice, page, cast(floor(value) as bigint) as links from page_events), "
+    "g as (select slice, page, greatest(links - coalesce(lag(links) over (partition by slice order by page), 0), 0) as new from c), "
+    "p as (select *, lag(new) over (partition by slice order by page) as before from g) "
+    "select slice, min(page) as stop_page from p where new = 0 and before = 0 group by slice",
+)
+def stale_stop_links(spark, sf):
+    """End of loading more: the link total has not grown twice in a row."""
+    counts = V.page_events(spark, sf).selectExpr("slice", "page", "cast(floor(value) as bigint) as links")
+    return W.stale_stop(W.link_growth(materialise(counts, "links"), S), S)
+
+
+# Products of a page are links with an address or cards with only a code.
+FOUND = ["case when position = 1 then 'u' || sku end as url", "case when position > 1 then sku end as code"]
+
+
+@query(
+    "stale_stop_discovery",
+    f"with {V.PAGES_CTE}, {V.PAGE_ROWS_CTE}, found as (select slice, page, coalesce('url ' || url, 'code ' || code) as k "
+    f"from (select slice, page, {', '.join(FOUND)} from page_rows)), "
+    "firsts as (select slice, k, min(page) as page from found group by all), "
+    "log as (select p.slice, p.page, count(f.k) as new from page_events p left join firsts f on p.slice = f.slice and p.page = f.page group by all), "
+    "b as (select *, lag(new) over (partition by slice order by page) as before from log) "
+    "select slice, min(page) as stop_page from b where new = 0 and before = 0 group by slice",
+)
+def stale_stop_discovery(spark, sf):
+    """Neither new addresses nor new codes on two pages in a row; pages without rows count."""
+    events = materialise(V.page_events(spark, sf), "page-events")
+    found = V.rows_of_pages(events).selectExpr("slice", "page", *FOUND)
+    key = F.coalesce(F.concat(F.lit("url "), "url"), F.concat(F.lit("code "), "code"))
+    new = W.new_rows_per_page(found, S, key)
+    empty = events.where("rows = 0").select("slice", "page", F.lit(0).cast("bigint").alias("rows"), F.lit(0).cast("bigint").alias("new"))
+    return W.stale_stop(new.unionByName(empty), S)
+
+
+@query(
+    "collect_listing",
+    f"with {LOG}, {STALE}, v as (select r.* from page_rows r left join stale s on r.slice = s.slice where s.stop_page is null or r.page <= s.stop_page) "
+    "select slice, page, position, sku from v qualify row_number() over (partition by slice, sku order by page, position) = 1",
+)
+def collect_listing_query(spark, sf):
+    events = materialise(V.page_events(spark, sf), "page-events")
+    stops = W.stale_stop(V.page_log(spark, sf), S)
+    rows = V.rows_of_pages(events).withColumn("position", F.col("position").cast("bigint"))
+    return collect_listing(rows, stops, S, "sku", ["page", "position"])
+
+
+LISTING_RETAILER = (
+    "case cast(substring(t.slice, 2) as int) % 3 when 0 then 'walmart' when 1 then 'farmacias-del-ahorro' else 'farmacias-san-pablo' end as retailer_id"
+)
+LISTING_URL = "'https://x.example/c/' || t.slice as url"
+
+
+@query(
+    "page_frontier",
+    f"with {LOG}, {TOTALS}, {SIZES}, l as (select t.slice, displayed_total, {LISTING_RETAILER}, {LISTING_URL}, "
+    "cast(coalesce(ceil(displayed_total / page_size), 1) as int) as expected from totals t left join sizes s on t.slice = s.slice) "
+    "select slice, cast(p as int) as page, url || case when p = 1 then '' else case retailer_id when 'walmart' then '?page=' when 'farmacias-del-ahorro' then '?p=' else '?currentPage=' end || p end as page_url "
+    "from l, unnest(generate_series(1, expected)) as u(p) where not exists (select 1 from page_log g where g.slice = l.slice and g.page = p and g.rows > 0)",
+)
+def page_frontier_query(spark, sf):
+    listings = V.totals(spark, sf).alias("t").selectExpr("t.slice", "displayed_total", LISTING_RETAILER, LISTING_URL)
+    return page_frontier(listings, V.page_log(spark, sf), S)
