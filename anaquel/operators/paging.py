@@ -187,13 +187,21 @@ def cursor_stop(progress: DataFrame, slice_cols: list[str]) -> DataFrame:
     return progress.where("done").groupBy(*slice_cols).agg(F.min("page").alias("stop_page"))
 
 
-def session_verified(pages: DataFrame, slice_cols: list[str], required: bool = True) -> DataFrame:
+def first_methods(pages: DataFrame, slice_cols: list[str]) -> DataFrame:
+    """What the first page of each slice proved."""
+    return pages.where(F.col("page") == 1).select(*slice_cols, F.col("direct_method").alias("_first_method"))
+
+
+def session_verified(
+    pages: DataFrame, slice_cols: list[str], required: bool = True, first: DataFrame | None = None
+) -> DataFrame:
     """Store verification carried through a session.
 
     The first page must prove the store, else the slice fails; later pages without their own
-    evidence inherit the first page's method, tagged ``session:``.
+    evidence inherit the first page's method, tagged ``session:``. ``first`` can bring the first
+    pages' methods ready-made.
     """
-    first = pages.where(F.col("page") == 1).select(*slice_cols, F.col("direct_method").alias("_first_method"))
+    first = first_methods(pages, slice_cols) if first is None else first
     joined = pages.join(first, slice_cols, "left")
     on_first = F.col("page") == 1
     direct, inherited = F.col("direct_method"), F.col("_first_method")

@@ -1,10 +1,12 @@
 """Screening of captures: block pages, HTTP outcome, proof of the configured store.
 
-Page texts are folded once into a column of their own; every test then reads that column.
+Page texts are folded into a column of their own, and the tests of a text bind it once: a filter on
+their outcome may be pushed below the folding without repeating it per test.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -24,12 +26,18 @@ def _per_retailer(choose, retailers=R.RETAILERS) -> Column:
     )
 
 
+def _bound(text: str, test: Callable[[Column], Column]) -> Column:
+    """A test over a text that is evaluated once, however often the test reads it."""
+    return F.exists(F.array(text), test)
+
+
 def classify_blocks(captures: DataFrame) -> DataFrame:
     """Adds ``blocked``, by each retailer's HTTP statuses, address and marker phrases."""
     title, body, html = F.col("title"), F.col("body_text"), F.col("html")
     screened = captures.withColumn("_screen", _per_retailer(lambda r: C.screen_text(r, title, body, html)))
     return screened.withColumn(
-        "blocked", _per_retailer(lambda r: C.is_blocked(r, F.col("status"), F.col("url"), F.col("_screen")))
+        "blocked",
+        _per_retailer(lambda r: _bound("_screen", lambda t: C.is_blocked(r, F.col("status"), F.col("url"), t))),
     ).drop("_screen")
 
 
@@ -56,6 +64,10 @@ STEPS = {
 }
 
 
+def _test(proof, retailer: R.Retailer, place: list[Column]) -> Callable[[Column], Column]:
+    return lambda text: proof(retailer, text, *place)
+
+
 def verify_stores(captures: DataFrame) -> DataFrame:
     """Adds the verification flag and its method: the tag of the first proof that holds.
 
@@ -70,7 +82,7 @@ def verify_stores(captures: DataFrame) -> DataFrame:
 
     def method(r) -> Column:
         found = [
-            F.when(proof(r, F.col(f"_{source}"), *place), F.lit(tag))
+            F.when(_bound(f"_{source}", _test(proof, r, place)), F.lit(tag))
             for source, proof, tag in STEPS[r.retailer_id]
             if source in sources
         ]

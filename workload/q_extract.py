@@ -11,14 +11,14 @@ from anaquel.operators import payloads as Q
 from anaquel.operators.slices import union_retailers
 from anaquel.operators.aggregates import slice_summary
 from anaquel.plans.category_batch import category_batch
-from anaquel.plans.extract import observations_from_pages
+from anaquel.plans.extract import observations_from_pages, observations_from_payloads
 from anaquel.schema import CAPTURE
 from anaquel.session import work_dir
 from anaquel.sources.captures import conform
 from anaquel.sources.consolidated import merge_batch, scan_consolidated
 from anaquel.sources.dims import dim_category, dim_location
 from workload import views as V
-from workload.registry import edge, query
+from workload.registry import SQL, edge, query
 
 PAGE = ["page_id", "retailer_id"]
 
@@ -127,20 +127,39 @@ def top_pickup_links(spark, sf):
     return H.top_pickup_links(cards, ["page_id"]).select("page_id", "href", "rank")
 
 
+# Product pages of the retailer whose rows come from them: one per part.
+PART_PAGES = {
+    "page_id": "1000000 + p_partkey",
+    "url": "'https://www.farmaciasanpablo.com.mx/x/p/00' || (700000 + p_partkey)",
+    "retailer_id": "'farmacias-san-pablo'",
+    "html": (
+        "'<h1>' || p_name || ' Afrin</h1><h3 class=\"priceTotal\">$' || (10 + p_size) || '.50</h3>' || "
+        "case when p_partkey % 3 = 0 then '' else '<del>$' || (20 + p_size) || '.00</del>' end"
+    ),
+}
+
+
+def with_part_pages(spark, sf):
+    parts = V.spread(V.table(spark, sf, "part")).selectExpr(*[f"{e} as {n}" for n, e in PART_PAGES.items()])
+    return V.captures(spark, sf).unionByName(parts)
+
+
 @query(
     "pages_to_observations",
     f"with {expected_cards()} select page_id, retailer_id, product, "
-    "case retailer_id when 'soriana' then 'P' || n when 'walmart' then cast(n + 9999000 + 1000 as string) when 'chedraui' then cast(n as string) "
-    "when 'farmacias-guadalajara' then cast(n + 10000 as string) else cast(n as string) end as sku, "
-    "cast(n + 0.5 as double) as price_current, cast(n + 10 as double) as price_regular, "
-    "case retailer_id when 'soriana' then 'Nuevo' when 'chedraui' then 'Oferta 2x1' when 'walmart' then null "
-    "else 'Precio promocional' end as promotion, "
+    "case retailer_id when 'soriana' then 'P' || n when 'walmart' then cast(n + 10000000 as string) when 'chedraui' then cast(n as string) "
+    "else cast(n + 10000 as string) end as sku, cast(n + 0.5 as double) as price_current, cast(n + 10 as double) as price_regular, "
+    "case retailer_id when 'soriana' then 'Nuevo' when 'chedraui' then 'Oferta 2x1' when 'walmart' then null else 'Precio promocional' end as promotion, "
     "case retailer_id when 'soriana' then 'https://www.soriana.com' when 'walmart' then 'https://www.walmart.com.mx' "
-    "when 'chedraui' then 'https://www.chedraui.com.mx' when 'farmacias-guadalajara' then 'https://www.farmaciasguadalajara.com' "
-    "else 'https://www.farmaciasanpablo.com.mx' end || href as url from cards where retailer_id <> 'walmart' or action = 'pickup'",
+    "when 'chedraui' then 'https://www.chedraui.com.mx' else 'https://www.farmaciasguadalajara.com' end || href as url from cards "
+    "where retailer_id <> 'farmacias-san-pablo' and (retailer_id <> 'walmart' or action = 'pickup') "
+    "union all select 1000000 + p_partkey, 'farmacias-san-pablo', p_name || ' Afrin', cast(700000 + p_partkey as string), cast(10.5 + p_size as double), "
+    "case when p_partkey % 3 = 0 then cast(10.5 + p_size as double) else cast(20 + p_size as double) end, "
+    "case when p_partkey % 3 > 0 then cast(cast(round_even((1 - cast(10.5 + p_size as double) / cast(20 + p_size as double)) * 100, 0) as int) as string) || '% de descuento | Precio promocional' end, "
+    "'https://www.farmaciasanpablo.com.mx/x/p/00' || (700000 + p_partkey) from part",
 )
 def pages_to_observations(spark, sf):
-    out = observations_from_pages(V.captures(spark, sf), ["page_id"])
+    out = observations_from_pages(with_part_pages(spark, sf), ["page_id"])
     return edge(out.select("page_id", "retailer_id", "product", "sku", "price_current", "price_regular", "promotion", "url"))
 
 
@@ -156,7 +175,8 @@ PLACE = "case retailer_id " + " ".join(
 @query(
     "category_run",
     f"with {expected_cards()}, {V.dim_cte('dim_category')}, {V.dim_cte('dim_location')}, "
-    f"kept as (select *, {CATEGORY} as category_id, {PLACE} as location_id from cards where retailer_id <> 'walmart' or action = 'pickup') "
+    f"kept as (select *, {CATEGORY} as category_id, {PLACE} as location_id from (select retailer_id from cards "
+    "where retailer_id <> 'farmacias-san-pablo' and (retailer_id <> 'walmart' or action = 'pickup') union all select 'farmacias-san-pablo' from part)) "
     "select case k.retailer_id " + " ".join(f"when {V.quote(r.retailer_id)} then {V.quote(r.display_name)}" for r in R.RETAILERS) + " end as retailer, "
     "k.category_id, l.city, l.store, l.store_id, count(*) as products, count(*) as sku_complete, count(*) as price_complete, count(*) as url_complete "
     "from kept k join dim_category d on d.retailer_id = k.retailer_id and d.category_id = k.category_id "
@@ -164,7 +184,7 @@ PLACE = "case retailer_id " + " ".join(
 )
 def category_run(spark, sf):
     """Pages to the consolidated table and its summary, all retailers and categories at once."""
-    pages = V.captures(spark, sf).withColumns({"category_id": F.expr(CATEGORY), "location_id": F.expr(PLACE)})
+    pages = with_part_pages(spark, sf).withColumns({"category_id": F.expr(CATEGORY), "location_id": F.expr(PLACE)})
     rows = observations_from_pages(pages, ["page_id", "category_id", "location_id"])
     table = work_dir(spark, "category-run")
     merge_batch(spark, table, category_batch(rows, dim_category(spark), dim_location(spark)))
@@ -430,3 +450,16 @@ def best_offer(spark, sf):
 def map_product_search(spark, sf):
     rows = Q.map_product_search(Q.scan_product_search(ranges(spark, sf), SEARCH_KEY), SEARCH_KEY)
     return edge(rows.select(*SEARCH_KEY, "sku", "brand", "price_current", "price_regular", "promotion", "pickup_available", "url"))
+
+
+PAYLOAD_COLUMNS = "sku, brand, price_current, price_regular, promotion, url"
+
+
+@query(
+    "payloads_to_observations",
+    f"select 'Farmacias del Ahorro' as retailer, {PAYLOAD_COLUMNS} from ({SQL['map_search_items']}) union all "
+    f"select 'Chedraui', {PAYLOAD_COLUMNS} from ({SQL['map_product_search']})",
+)
+def payloads_to_observations(spark, sf):
+    rows = observations_from_payloads(search(spark, sf), ranges(spark, sf), SEARCH_KEY)
+    return edge(rows.select("retailer", *PAYLOAD_COLUMNS.split(", ")))

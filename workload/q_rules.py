@@ -15,6 +15,8 @@ from anaquel.operators import normalise as N
 from anaquel.operators.prices import extract_promotions, resolve_prices
 from anaquel.operators.screening import classify_blocks, classify_outcomes, verify_stores
 from anaquel.operators.shape import pickup_only, price_card_filter, product_link_filter
+from anaquel.plans.usable_pages import usable_pages
+from anaquel.sources.dims import dim_location
 from workload import views as V
 from workload.registry import edge, query
 
@@ -814,3 +816,42 @@ def store_verification(spark, sf):
     """Text, then state, then the text after the store was picked, then a detail page."""
     rows = verify_stores(evidence_rows(spark, sf).withColumns({n: F.expr(e) for n, e in LATER.items()}))
     return rows.select(*KEY, "store_context_verified", "store_context_method")
+
+
+# Documents as the pages of sessions: ten pages per retailer and run.
+SESSION_PAGES = {
+    "doc_id": "doc_id",
+    "retailer_id": "retailer_id",
+    "category_id": "'c'",
+    "location_id": "case retailer_id " + " ".join(f"when {V.quote(r.retailer_id)} then {V.quote(r.location_id)}" for r in R.RETAILERS) + " end",
+    "run_id": "cast(floor(doc_id / 60) as bigint)",
+    "page_number": "cast(floor((doc_id % 60) / 6) as int) + 1",
+    "status": "status",
+    "url": "url",
+    "title": "title",
+    "html": "html",
+    "body_text": "body_text || case doc_id % 4 when 0 then ' SC Toreo 11220' when 1 then ' Polanco 232' else '' end",
+    "state_blob": "case when doc_id % 9 = 2 then 'SC Toreo 2344' when doc_id % 9 = 3 then 'polanco 11500' else '' end",
+}
+
+
+def evidence_at(proof: str) -> str:
+    """The evidence tests with a missing value for a missing state."""
+    return f"coalesce({proof}, false)"
+
+
+@query(
+    "usable_pages",
+    f"with {V.TEXTS_CTE}, s as (select " + ", ".join(f"{e} as {n}" for n, e in SESSION_PAGES.items())
+    + f" from texts), f as (select *, {block_sql()} as blocked, case when retailer_id in ('walmart', 'chedraui') then "
+    f"case when {evidence_at(TEXT_SQL)} then case when retailer_id = 'walmart' then 'category_text' else 'page_text' end when {evidence_at(STATE_SQL)} then 'browser_state' end end as direct_method from s), "
+    "first_pages as (select retailer_id, run_id, direct_method as first_method from f where page_number = 1) "
+    "select f.doc_id, f.retailer_id, f.page_number, case when first_method is null then null when page_number = 1 then direct_method else coalesce(direct_method, 'session:' || first_method) end as page_method, "
+    "first_method as store_context_method from f left join first_pages p on f.retailer_id = p.retailer_id and f.run_id = p.run_id "
+    "where not blocked and status is not null and status < 400 and not (f.retailer_id = 'farmacias-del-ahorro' and status not between 200 and 299) "
+    "and (f.retailer_id not in ('walmart', 'chedraui') or first_method is not null)",
+)
+def usable_pages_query(spark, sf):
+    pages = V.texts(spark, sf).selectExpr(*[f"{e} as {n}" for n, e in SESSION_PAGES.items()])
+    usable = usable_pages(pages, dim_location(spark))
+    return usable.select("doc_id", "retailer_id", "page_number", "page_method", "store_context_method")
