@@ -55,22 +55,24 @@ def unknown_locations(df: DataFrame, dim_location: DataFrame) -> DataFrame:
     return keys.join(dim_location, "location_id", "left_anti")
 
 
+FIELD_ORDER = ["sku", "product", "url", "price_current"]
+
+
 def missing_field(retailer_id: Column, columns: dict[str, Column]) -> Column:
-    """Name of the first mandatory field that a row lacks; null when the row is complete."""
-    verdict = None
-    for r in R.RETAILERS:
-        gaps = [
-            F.when(columns[f].isNull() if f == "price_current" else is_blank(columns[f]), F.lit(f))
-            for f in r.required
-        ]
-        lacking = F.coalesce(*gaps)
-        is_this = retailer_id == r.retailer_id
-        verdict = F.when(is_this, lacking) if verdict is None else verdict.when(is_this, lacking)
-    return verdict
+    """Name of the first mandatory field that a row lacks; null when the row is complete.
+
+    Each column is tested once, for the retailers that require it.
+    """
+    gaps = []
+    for name in FIELD_ORDER:
+        requiring = [r.retailer_id for r in R.RETAILERS if name in r.required]
+        lacking = columns[name].isNull() if name == "price_current" else is_blank(columns[name])
+        gaps.append(F.when(retailer_id.isin(*requiring) & lacking, F.lit(name)))
+    return F.coalesce(*gaps)
 
 
 def mark_missing(df: DataFrame) -> DataFrame:
-    fields = {c: F.col(c) for c in ("sku", "product", "url", "price_current")}
+    fields = {c: F.col(c) for c in FIELD_ORDER}
     return df.withColumn("reject_reason", missing_field(F.col("retailer_id"), fields))
 
 

@@ -22,11 +22,13 @@ def screened_pages(captures: DataFrame, dim_location: DataFrame) -> DataFrame:
     place = dim_location.select("location_id", "store", "postal_code", "store_id")
     flagged = verify_stores(classify_outcomes(classify_blocks(captures.join(place, "location_id"))))
     pages = flagged.drop("store", "postal_code", "store_id", "store_context_verified").withColumnsRenamed(
-        {"store_context_method": "direct_method", "page_number": "page"}
+        {"store_context_method": "direct_method", "page_number": "page", "status": "http_status"}
     )
     first = materialise(first_methods(pages, SESSION), "first-pages")
     carried = session_verified(pages, SESSION, first=broadcast_if_small(first))
-    return carried.withColumnsRenamed({"page": "page_number", "row_method": "store_context_method"})
+    return carried.withColumnsRenamed(
+        {"page": "page_number", "row_method": "store_context_method", "status": "session_status", "http_status": "status"}
+    )
 
 
 def usable_pages(captures: DataFrame, dim_location: DataFrame) -> DataFrame:

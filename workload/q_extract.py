@@ -13,7 +13,7 @@ from anaquel.operators.aggregates import slice_summary
 from anaquel.plans.category_batch import category_batch
 from anaquel.plans.extract import observations_from_pages, observations_from_payloads
 from anaquel.schema import CAPTURE
-from anaquel.session import work_dir
+from anaquel.session import materialise, work_dir
 from anaquel.sources.captures import conform
 from anaquel.sources.consolidated import merge_batch, scan_consolidated
 from anaquel.sources.dims import dim_category, dim_location
@@ -185,7 +185,7 @@ PLACE = "case retailer_id " + " ".join(
 def category_run(spark, sf):
     """Pages to the consolidated table and its summary, all retailers and categories at once."""
     pages = with_part_pages(spark, sf).withColumns({"category_id": F.expr(CATEGORY), "location_id": F.expr(PLACE)})
-    rows = observations_from_pages(pages, ["page_id", "category_id", "location_id"])
+    rows = materialise(observations_from_pages(pages, ["page_id", "category_id", "location_id"]), "observations")
     table = work_dir(spark, "category-run")
     merge_batch(spark, table, category_batch(rows, dim_category(spark), dim_location(spark)))
     return slice_summary(scan_consolidated(spark, table))
