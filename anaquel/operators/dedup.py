@@ -44,6 +44,12 @@ def dedup_keep_first(df: DataFrame, slice_cols: list[str]) -> DataFrame:
     return keep_first(df, [*slice_cols, "sku"])
 
 
+def first_page_rows(df: DataFrame, slice_cols: list[str], key: str = "sku", page: str = "page_number") -> DataFrame:
+    """Rows on the first page that shows their key; what later pages repeat is dropped."""
+    window = Window.partitionBy(*slice_cols, key).orderBy(F.col(page).asc_nulls_last())
+    return df.withColumn("_rank", F.rank().over(window)).where(F.col("_rank") == 1).drop("_rank")
+
+
 def dedup_keep_last(df: DataFrame, slice_cols: list[str]) -> DataFrame:
     return keep_last(df, [*slice_cols, F.coalesce(F.nullif(F.col("sku"), F.lit("")), F.col("url"))])
 

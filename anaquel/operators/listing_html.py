@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from anaquel import registry as R
 from anaquel.functions.brands import infer_brand
-from anaquel.functions.html import BOUNDARY, html_nodes
+from anaquel.functions.html import BOUNDARY, LEVELS, html_nodes
 from anaquel.functions.promotions import percent_computed
 from anaquel.functions.text import all_matches, blank_to_null, clean_text, first_match
 from anaquel.functions.urls import absolute_url, sku_detail
@@ -135,6 +135,11 @@ def flat_text(n: Column) -> Column:
     return F.trim(F.regexp_replace(F.replace(_raw(n), F.lit(BOUNDARY), F.lit("")), r"(?U)\s+", " "))
 
 
+def loose_text(n: Column) -> Column:
+    """All text of a node with its inner white space as it stands."""
+    return F.regexp_replace(F.replace(_raw(n), F.lit(BOUNDARY), F.lit("")), r"(?U)^\s+|\s+$", "")
+
+
 def shown_text(n: Column) -> Column:
     """Text of a node with its blocks on lines of their own."""
     lines = F.regexp_replace(_raw(n), rf"[ \t]*(?:{BOUNDARY}\s*)+", "\n")
@@ -170,11 +175,6 @@ def first_below(n: Column, test: Callable[[Column], Column]) -> Column:
     return F.get(F.filter(below(n), test), F.lit(0))
 
 
-def _first_text(n: Column, tests: list[Callable[[Column], Column]]) -> Column:
-    """Text of the first node for the first test that has a non-empty one."""
-    return F.coalesce(*[blank_to_null(flat_text(first_below(n, t))) for t in tests])
-
-
 def _money(text: Column) -> Column:
     return text.rlike(R.MONEY_LOOSE)
 
@@ -188,7 +188,7 @@ def _is_link(n: Column) -> Column:
 
 
 def _card_labelled(n: Column) -> Column:
-    climbed = F.filter(_ancestors(n, 10), lambda c: _money(flat_text(c)) & (F.length(flat_text(c)) > 20))
+    climbed = F.filter(_ancestors(n, 10), lambda c: _money(flat_text(c)) & (F.length(loose_text(c)) > 20))
     return F.coalesce(F.get(climbed, F.lit(0)), node_at(F.element_at(n["up"], -1)))
 
 
@@ -353,9 +353,16 @@ def _tile(pair: Column) -> Column:
     def name_link(d: Column) -> Column:
         return (d["tag"] == "a") & class_is(d, "product-tile--link")
 
+    def boxed(d: Column) -> Column:
+        return F.exists(_ancestors(d, LEVELS), lambda up: class_is(up, "pdp-link"))
+
+    def quick(d: Column) -> Column:
+        return attribute(d, "data-quickview") == F.lit("false")
+
+    link = first_below(
+        tile, lambda d: page_link(d) & (class_is(d, "product-tile--link") | boxed(d) | F.coalesce(quick(d), F.lit(False)))
+    )
     detail_box = first_below(tile, lambda d: class_is(d, "pdp-link"))
-    links = F.filter(below(tile), lambda d: page_link(d) & (class_is(d, "product-tile--link") | (attribute(d, "data-quickview") == "false")))
-    boxed = F.filter(below(detail_box), page_link)
     image = first_below(tile, lambda d: (d["tag"] == "img") & class_is(d, "tile-image"))
     pid_node = first_below(tile, lambda d: attribute(d, "data-pid").isNotNull())
     list_box = first_below(tile, lambda d: class_is(d, "list"))
@@ -366,7 +373,7 @@ def _tile(pair: Column) -> Column:
         flat_text(first_below(tile, lambda d: class_is(d, "price") & class_is(d, "product-tile--price"))),
     )
     return _card(
-        attribute(F.coalesce(F.get(links, F.lit(0)), F.get(boxed, F.lit(0))), "href"),
+        attribute(link, "href"),
         F.coalesce(
             blank_to_null(flat_text(first_below(tile, name_link))),
             blank_to_null(flat_text(first_below(detail_box, lambda d: d["tag"] == "a"))),
@@ -411,6 +418,15 @@ CARD_RULES = {
 }
 
 
+# Here only the first link to an address counts, even when no card is found around it.
+FIRST_LINK_ONLY = ("walmart", "chedraui")
+
+
+def _first_links(nodes: Column) -> Column:
+    hrefs = F.transform(nodes, lambda n: n["attrs"]["href"])
+    return F.filter(nodes, lambda n, at: F.array_position(hrefs, n["attrs"]["href"]) == at + 1)
+
+
 def extract_cards(captures: DataFrame, retailer_id: str, keys: list[str]) -> DataFrame:
     """Product cards of one retailer's pages, in page order.
 
@@ -419,9 +435,11 @@ def extract_cards(captures: DataFrame, retailer_id: str, keys: list[str]) -> Dat
     """
     starts, find, read, counts = CARD_RULES[retailer_id]
     nodes = html_nodes(captures.where(F.col("retailer_id") == retailer_id), keys)
+    nodes = nodes.withColumn("links", F.filter("nodes", starts))
+    if retailer_id in FIRST_LINK_ONLY:
+        nodes = nodes.withColumn("links", _first_links(F.col("links")))
     pairs = nodes.withColumn(
-        "pairs",
-        F.transform(F.filter("nodes", starts), lambda n: F.struct(n.alias("link"), find(n).alias("card"))),
+        "pairs", F.transform("links", lambda n: F.struct(n.alias("link"), find(n).alias("card")))
     )
     cards = pairs.withColumn("cards", F.filter(F.transform("pairs", read), counts))
     return cards.select(*keys, F.posexplode("cards").alias("position", "card")).select(*keys, "position", "card.*")
@@ -483,7 +501,9 @@ def product_details(captures: DataFrame, keys: list[str]) -> DataFrame:
         "price_current",
         "price_regular",
         percent_computed(current, regular, keep_zero=True).alias("promotion"),
-        F.coalesce(F.col("price_text"), ld["offers"]).alias("price_raw"),
+        F.when(first_match(F.col("price_text"), R.MONEY_AMOUNT).isNull() & current.isNotNull(), ld["offers"])
+        .otherwise(F.col("price_text"))
+        .alias("price_raw"),
     )
 
 

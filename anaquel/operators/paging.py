@@ -246,10 +246,9 @@ def target_reached_stop(page_log: DataFrame, totals: DataFrame, slice_cols: list
 
 def browse_ranges(totals: DataFrame, rows_per_range: int, total: str = "displayed_total") -> DataFrame:
     """One row per range request that covers a listing: start, end and page number."""
-    return totals.where(F.col(total) > 0).select(
-        *[c for c in totals.columns],
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(total).cast("bigint") - 1, F.lit(rows_per_range).cast("bigint"))).alias("start"),
-    ).withColumns(
+    first, step = F.lit(0).cast("bigint"), F.lit(rows_per_range).cast("bigint")
+    starts = F.sequence(first, F.col(total).cast("bigint") - 1, step)
+    return totals.where(F.col(total) > 0).select(*totals.columns, F.explode(starts).alias("start")).withColumns(
         {
             "end": F.col("start") + (rows_per_range - 1),
             "page": (F.col("start") / rows_per_range).cast("int") + 1,

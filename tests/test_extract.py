@@ -36,6 +36,24 @@ def test_labelled_cards_climb_to_the_price(spark):
     assert cards[0]["text"].startswith("x") and "precio actual $10.00" in cards[0]["text"]
 
 
+def test_only_the_first_link_to_an_address_counts(spark):
+    html = '<a href="/ip/x/00000001">sin precio alguno</a>' + "<p>" * 11 + "<b>$5.00</b>" + "</p>" * 11
+    bare = "<nav>" + "<i>" * 11 + '<a href="/ip/x/00000001">sin precio</a>' + "</i>" * 11 + "</nav>"
+    card = '<div><a href="/ip/x/00000001">Pasta dental</a> precio actual $10.00</div>'
+    assert H.extract_cards(pages(spark, "walmart", bare + card), "walmart", ["page_id", "retailer_id"]).count() == 0
+    assert H.extract_cards(pages(spark, "walmart", card + bare), "walmart", ["page_id", "retailer_id"]).count() == 1
+    assert H.extract_cards(pages(spark, "walmart", html), "walmart", ["page_id", "retailer_id"]).count() == 0
+
+
+def test_tile_link_is_the_first_in_the_page(spark):
+    tile = (
+        '<div class="product-tile js-product-card"><div class="pdp-link"><b><a href="/a/1.html">Uno</a></b></div>'
+        '<a class="product-tile--link" href="/a/2.html"></a><a href="/a/3.html" data-quickview="false">x</a></div>'
+    )
+    row = H.extract_cards(pages(spark, "soriana", tile), "soriana", ["page_id", "retailer_id"]).first()
+    assert (row["href"], row["product"]) == ("/a/1.html", "Uno")
+
+
 def test_pages_to_observations(spark):
     tile = (
         '<div class="product-tile js-product-card" data-pid="77"><a class="product-tile--link" href="/a/77.html">Pasta Colgate</a>'

@@ -98,7 +98,8 @@ CARD_COLUMNS = ["page_id", "retailer_id", "href", "product", "text", "selling",
 
 @query(
     "extract_cards",
-    f"with {expected_cards()} select {', '.join(CARD_COLUMNS)} from cards union all select {', '.join(CARD_COLUMNS)} from cards where k = 1",
+    f"with {expected_cards()} select {', '.join(CARD_COLUMNS)} from cards union all select {', '.join(CARD_COLUMNS)} from cards "
+    "where k = 1 and retailer_id not in ('walmart', 'chedraui')",
 )
 def extract_cards(spark, sf):
     return all_cards(spark, sf).select(

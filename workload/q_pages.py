@@ -9,6 +9,7 @@ from anaquel.functions.urls import browse_url
 from anaquel.operators import dedup as D
 from anaquel.operators import paging as W
 from anaquel.operators.aggregates import coverage_ratio
+from anaquel.operators.shape import page_limit
 from anaquel.operators.slices import recover_gaps
 from anaquel.plans.frontier import collect_listing, page_frontier
 from anaquel.plans.listing_audit import listing_audit, stop_pages
@@ -282,20 +283,37 @@ def recover(spark, sf):
     return found.groupBy("slice", "page", "source").agg(F.count("*").alias("rows"))
 
 
+def ranges_sql(size: int) -> str:
+    return (
+        f"select slice, displayed_total, s as start, s + {size - 1} as \"end\", cast(s // {size} as int) + 1 as page "
+        f"from totals, unnest(generate_series(cast(0 as bigint), displayed_total - 1, {size})) as u(s)"
+    )
+
+
 @query(
     "browse_requests",
-    f"with {TOTALS} select slice, displayed_total, s as start, s + {R.RANGE_ROWS - 1} as \"end\", cast(s // {R.RANGE_ROWS} as int) + 1 as page, "
-    f"'{R.BROWSE_ENDPOINT}?origin=search_box&start=' || s || '&rows={R.RANGE_ROWS}&lang=es&scope=desktop&channel=tl&region=NACIONAL"
-    "&browseField=categoryIds&browseValue=' || substr(slice, 2) as url "
-    f"from totals, unnest(generate_series(cast(0 as bigint), displayed_total - 1, {R.RANGE_ROWS})) as u(s)",
+    f"with {TOTALS}, r as ({ranges_sql(R.BROWSE_ROWS)}) select *, "
+    f"'{R.BROWSE_ENDPOINT}?origin=search_box&start=' || start || '&rows={R.BROWSE_ROWS}&lang=es&scope=desktop&channel=tl&region=NACIONAL"
+    "&browseField=categoryIds&browseValue=' || substr(slice, 2) as url from r",
 )
 def browse_requests(spark, sf):
-    ranges = W.browse_ranges(V.totals(spark, sf), R.RANGE_ROWS)
+    ranges = W.browse_ranges(V.totals(spark, sf), R.BROWSE_ROWS)
     return ranges.withColumn(
-        "url", browse_url(F.expr("substring(slice, 2)"), F.col("start"), F.lit(R.RANGE_ROWS))
+        "url", browse_url(F.expr("substring(slice, 2)"), F.col("start"), F.lit(R.BROWSE_ROWS))
     )
 
 
+@query("range_requests", f"with {TOTALS} {ranges_sql(R.RANGE_ROWS)}")
+def range_requests(spark, sf):
+    return W.browse_ranges(V.totals(spark, sf), R.RANGE_ROWS)
+
+
+@query("page_limit_unset", f"with {V.PAGES_CTE} select slice, page, event_id from page_events where page <= {R.PAGE_CAP}")
+def page_limit_unset(spark, sf):
+    """A limit of zero stands for the usual cap."""
+    return page_limit(V.page_events(spark, sf), 0, R.PAGE_CAP, "page").select("slice", "page", "event_id")
+
+
 @query(
     "link_growth",
     f"with {V.PAGES_CTE}, c as (select slice, page, cast(floor(value) as bigint) as links from page_events) "

@@ -247,6 +247,15 @@ def dedup_keep_first(spark, sf):
     return edge(D.dedup_keep_first(V.listing(spark, sf), SLICE).select(*RESULT))
 
 
+@query(
+    "first_page_rows",
+    f"with {V.LISTING_CTE} select {RESULT_SQL}, page_number from listing "
+    "qualify rank() over (partition by retailer, category_id, city, store_id, sku order by page_number) = 1",
+)
+def first_page_rows(spark, sf):
+    return edge(D.first_page_rows(V.listing(spark, sf), SLICE).select(*RESULT, "page_number"))
+
+
 @query(
     "dedup_keep_last",
     f"with {V.LISTING_CTE} "
