@@ -6,6 +6,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,9 +47,16 @@ def dedup_keep_first(df: DataFrame, slice_cols: list[str]) -> DataFrame:
 
 
 def first_page_rows(df: DataFrame, slice_cols: list[str], key: str = "sku", page: str = "page_number") -> DataFrame:
-    """Rows on the first page that shows their key; what later pages repeat is dropped."""
-    window = Window.partitionBy(*slice_cols, key).orderBy(F.col(page).asc_nulls_last())
-    return df.withColumn("_rank", F.rank().over(window)).where(F.col("_rank") == 1).drop("_rank")
+    """Rows on the first page that shows their key; what later pages repeat is dropped.
+
+    All rows of that page stay, however many, so this is a join with one row per key rather than
+    a window: adaptive execution can split a hot key's rows.
+    """
+    keys = [*slice_cols, key]
+    first = df.groupBy(*keys).agg(F.min(page).alias("_page"))
+    first = first.withColumnsRenamed({c: f"_{c}" for c in keys})
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
+    return df.join(first, reduce(lambda a, b: a & b, same) & (F.col(page) == F.col("_page")), "left_semi")
 
 
 def dedup_keep_last(df: DataFrame, slice_cols: list[str]) -> DataFrame:

@@ -53,10 +53,13 @@ def union_retailers(frames: list[DataFrame]) -> DataFrame:
 
 
 def known_sku_filter(batch: DataFrame, known: DataFrame, slice_cols: list[str] | None = None) -> DataFrame:
-    """Rows whose SKU the slice has not shown before."""
+    """Rows whose SKU the slice has not shown before.
+
+    Known keys are made distinct first: a key seen very often is cut to one row per map task.
+    """
     keys = [*(slice_cols or SLICE), "sku"]
     return batch.alias("b").join(
-        known.select(*keys).alias("k"),
+        known.select(*keys).distinct().alias("k"),
         reduce(lambda a, b: a & b, [F.col(f"b.{c}").eqNullSafe(F.col(f"k.{c}")) for c in keys]),
         "left_anti",
     )
