@@ -218,3 +218,28 @@ def test_hot_key_is_cut_before_the_shuffle(spark):
     rows = frame(spark, observation("c", "1"))
     plan = D.dedup_consolidated(rows)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_hot_key_comes_out_whole(spark):
+    """A third of all rows share one slice, and one key; results are the same as counted by hand."""
+    rows = spark.range(30_000).selectExpr(
+        "'R' as retailer",
+        "case when id % 3 = 0 then 'hot' else 'c' || id % 50 end as category_id",
+        "'x' as city",
+        "cast(null as string) as store_id",
+        "case when id % 3 = 0 then 'hot' else 's' || id % 700 end as sku",
+        "cast(null as string) as url",
+        "cast(1 + id % 4 as int) as page_number",
+        "id as run_id",
+        "id as position",
+    )
+    first = D.first_page_rows(rows, ["category_id"])
+    assert first.where("sku = 'hot'").count() == 2_500
+    kept = D.dedup_consolidated(rows)
+    assert kept.where("sku = 'hot'").first()["run_id"] == 29_997
+    assert kept.count() == rows.select("category_id", "sku").distinct().count()
+    counted = {r["category_id"]: r["duplicates_sku_url"] for r in D.count_duplicates(rows, ["category_id"]).collect()}
+    assert counted["hot"] == 9_999
+    gone = J.replace_slice(rows, rows.where("category_id = 'hot'"))
+    assert gone.count() == 20_000
+    assert J.known_sku_filter(rows, rows.where("sku = 'hot'"), ["category_id"]).count() == 20_000

@@ -421,8 +421,8 @@ def normalise_listings(spark, sf):
             "scrape_timestamp_raw": F.expr("format_string('2026-08-18T%02d:00:00-06:00', 12 + page_number)"),
         }
     )
-    out = N.normalise_listings(rows)
-    return edge(out.select(*KEY, "retailer", "product", "text", "scrape_timestamp"))
+    in_utc = F.to_utc_timestamp("scrape_timestamp", F.current_timezone()).alias("scrape_timestamp")
+    return edge(N.normalise_listings(rows).select(*KEY, "retailer", "product", "text", in_utc))
 
 
 # SKUs and addresses.

@@ -223,13 +223,13 @@ EVENT_ROWS = "cast(floor(value) as int) % 4"
 
 
 def page_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per page: pages are numbered by time within each slice, hour by hour."""
+    """One row per page: pages are numbered by time within each slice, minute by minute."""
     events = table(spark, sf_dir, "events").selectExpr(
         "'s' || cast(user_id as string) as slice", "ts", "event_id", "event_type", "value", "props",
         f"{EVENT_ROWS} as rows",
     )
-    hour = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600)
-    return running_total(events, SLICE_KEY, ["ts", "event_id"], F.lit(1), "page", hour).withColumn(
+    minute = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 60)
+    return running_total(events, SLICE_KEY, ["ts", "event_id"], F.lit(1), "page", minute).withColumn(
         "page", F.col("page").cast("int")
     )
 
