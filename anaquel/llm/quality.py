@@ -1,7 +1,8 @@
 """Quality classifier: supervised subword embeddings.
 
-A document is the mean of learned vectors: one for each word (hashed), and for its character n-grams
-(hashed). A softmax over that mean gives the class. Training is stochastic gradient descent in numpy on the
+A document is the mean of learned vectors: one for each word (hashed), for its character n-grams (hashed),
+and for word pairs in which a word follows itself; those share one vector, as their hashes would tell nothing
+of words that training has not seen. A softmax over that mean gives the class. Training is stochastic gradient descent in numpy on the
 driver, on a bounded sample of the labelled rows: at most ``Settings.sample`` documents, the first by a hash
 of their id, whole texts. Scoring runs on all rows, whole texts, in the tasks; there a word's share of the
 score is one number, so a document costs one sum over its words.
@@ -17,6 +18,8 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterable
 from dataclasses import dataclass
+from itertools import islice
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +57,15 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode().split()
 
 
+def repeats(found: list[bytes]) -> float:
+    """The share of words that repeat the word before."""
+    return sum(map(eq, found, islice(found, 1, None))) / len(found) if found else 0.0
+
+
+def repeat_place(s: Settings) -> int:
+    return zlib.crc32(b"r") % s.buckets
+
+
 @dataclass(frozen=True)
 class Model:
     settings: Settings
@@ -63,12 +75,14 @@ class Model:
     def scorer(self):
         """A function from texts to scores."""
         known = Memo(lambda w: float(self.of_feature[features(w, self.settings)].mean()), REMEMBERED)
+        repeat = 0.0 if self.of_feature is None else float(self.of_feature[repeat_place(self.settings)])
 
         def score(texts: Iterable[str | None]) -> np.ndarray:
             odds = []
             for text in texts:
                 found = words(text) if self.of_feature is not None else []
-                odds.append(self.bias + (sum(map(known.__getitem__, found)) / len(found) if found else 0.0))
+                own = sum(map(known.__getitem__, found)) / len(found) if found else 0.0
+                odds.append(self.bias + own + repeat * repeats(found))
             return 1 / (1 + np.exp(-np.clip(np.array(odds, np.float64), -500, 500)))
 
         return score
@@ -92,6 +106,8 @@ def train(texts: list[str | None], labels: list[int], s: Settings = Settings())
         of_word = [known[w] for w in counts]
         place = np.concatenate(of_word) if of_word else np.zeros(0, np.int32)
         weight = np.concatenate([np.full(len(f), n / len(f) / len(found), np.float32) for f, n in zip(of_word, counts.values())]) if of_word else np.zeros(0, np.float32)
+        place = np.append(place, np.int32(repeat_place(s)))
+        weight = np.append(weight, np.float32(repeats(found)))
         kept, at = np.unique(place, return_inverse=True)
         places.append(kept.astype(np.int32))
         weights.append(np.bincount(at, weight, len(kept)).astype(np.float32))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anaquel.llm import byte_bpe, quality, token_files, top_k
+from anaquel.llm import byte_bpe, minhash, quality, token_files, top_k
 from anaquel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +80,8 @@ def op10_quality_classifier(spark, sf_dir):
         "score",
         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
     )
+
+
+@query("op7_minhash_dedup")
+def op7_minhash_dedup(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
