@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anaquel.llm import byte_bpe, minhash, quality, token_files, top_k
+from anaquel.llm import byte_bpe, minhash, personal, quality, token_files, top_k
 from anaquel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,3 +85,15 @@ def op10_quality_classifier(spark, sf_dir):
 @query("op7_minhash_dedup")
 def op7_minhash_dedup(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+@query("op9_personal_data")
+def op9_personal_data(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal.find(docs, personal.fit(docs)).drop("text")
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+    base = F.filter("spans", lambda s: s.base)
+    count = lambda kind: F.size(F.filter(base, lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *map(count, personal.KINDS), F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
+    )
