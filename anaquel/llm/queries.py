@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anaquel.llm import byte_bpe, minhash, personal, quality, token_files, top_k
+from anaquel.llm import byte_bpe, minhash, mixing, personal, quality, token_files, top_k
 from anaquel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +97,8 @@ def op9_personal_data(spark, sf_dir):
     return found.select(
         "doc_id", *map(count, personal.KINDS), F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
     )
+
+
+@query("op3_mix_sources")
+def op3_mix_sources(spark, sf_dir):
+    return mixing.taken(mixing.mix(table(spark, sf_dir, "documents")))
