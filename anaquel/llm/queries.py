@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anaquel.llm import byte_bpe, minhash, mixing, personal, quality, token_files, top_k
+from anaquel.llm import byte_bpe, minhash, mixing, personal, quality, sharding, spotsigs, token_files, top_k, url_rules
 from anaquel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,3 +102,39 @@ def op9_personal_data(spark, sf_dir):
 @query("op3_mix_sources")
 def op3_mix_sources(spark, sf_dir):
     return mixing.taken(mixing.mix(table(spark, sf_dir, "documents")))
+
+
+@query("op4_spotsigs")
+def op4_spotsigs(spark, sf_dir):
+    return spotsigs.edited(table(spark, sf_dir, "documents"))
+
+
+URL_RULES = """
+    values ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+      ('net', '/es/', 'block'), ('net', '/fr/', 'block')"""
+
+
+@query(
+    "op5_url_rules",
+    """
+    with rules(rule_host, rule_path, rule_verdict) as (@RULES),
+    cut as (
+      select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
+    parsed as (
+      select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from cut),
+    fitting as (
+      select p.*, r.*, row_number() over (partition by page_id, host, path order by length(rule_host || rule_path) desc, length(rule_host) desc) as n
+      from parsed p left join rules r
+        on (p.host = rule_host or ends_with(p.host, '.' || rule_host)) and starts_with(p.path, rule_path))
+    select page_id, host, path, rule_host || rule_path as rule, coalesce(rule_verdict, 'allow') as verdict from fitting where n = 1
+    """.replace("@RULES", URL_RULES),
+)
+def op5_url_rules(spark, sf_dir):
+    rules = spark.sql(URL_RULES).toDF("host", "path", "verdict")
+    return url_rules.judge(table(spark, sf_dir, "pages"), rules)
+
+
+@query("op8_shards")
+def op8_shards(spark, sf_dir):
+    return sharding.assign(table(spark, sf_dir, "documents"))
