@@ -126,3 +126,16 @@ def in_order(mixed: DataFrame) -> DataFrame:
     sent = mixed.where("words > 0")
     order = ["finish", "doc_id", "repeat"]
     return sent.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def send(docs: DataFrame, mixed: DataFrame) -> DataFrame:
+    """The documents as the mix sends them: ``docs`` with a row per copy, the text of one that is cut ending
+    behind its last word. ``docs`` must be the table that was mixed, as rows are matched by their place in it.
+    """
+    copies = mixed.where("words > 0").select(F.col("row").alias("_row"), F.col("words").alias("_words"), F.col("size").alias("_size"))
+    rows = docs.withColumn("_row", F.monotonically_increasing_id()).join(copies, "_row")
+    # A cut text is split once more behind its last word; the rest is dropped.
+    first = F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
+    cut = F.concat_ws("", F.slice(first, 1, F.col("_words").cast("int")))
+    text = F.when(F.col("_words") < F.col("_size"), cut).otherwise(F.col("text"))
+    return rows.withColumn("text", text).select(*docs.columns)
