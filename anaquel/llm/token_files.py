@@ -5,8 +5,8 @@ bytes; the lengths stand apart from the bytes, two bits each, four to a control
 lengths of a control byte up in a table and so decodes a whole block by numpy, without a loop over ids.
 
 A file is a Parquet part whose rows are blocks: the documents of a stretch of the order, as
-``payload`` = documents, ids (two uint32), document ids with null flags, ids of each document, control
-bytes, data bytes. Spark's writer commits the parts, so a lost executor leaves no half-written file and any
+``payload`` = number of documents (uint32), document ids, null flags, ids of each document, control bytes of
+each, data bytes of each. Spark's writer commits the parts, so a lost executor leaves no half-written file and any
 store that Spark reaches will do. Beside the blocks lies the table of ids by rank.
 
 Documents stand in ascending ``doc_id`` order, nulls first, equal ids by their tokens. Null texts count as
@@ -23,17 +23,19 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from anaquel.llm.common import Memo
 from anaquel.session import materialise, work_dir
 
 END_ID = 0
-#: Distinct words whose ids a Python worker remembers, and the ids after which a block is closed.
-REMEMBERED = 400_000
+#: Distinct pieces whose ids a Python worker remembers, and the ids after which a block is closed.
+REMEMBERED = 500_000
 BLOCK_IDS = 1 << 18
+#: Bytes of text that are encoded at a time.
+PART_BYTES = 16 << 20
 #: Lengths of the four numbers of each control byte.
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1
 
@@ -48,15 +50,11 @@ def tokenizer(path: str):
     return found
 
 
-def words_of(text: str) -> list[str]:
-    """A text cut before single spaces between two words, where the tokenizer's own pattern always cuts.
-
-    A text with white space of any other form beside a space stays whole.
-    """
-    words = text.split(" ")
-    if any(not w or w[0].isspace() or w[-1].isspace() for w in words):
-        return [text] if text else []
-    return words[:1] + [" " + w for w in words[1:]]
+#: Texts are cut into pieces before a single space between two words, and between a letter and a sign, where the
+#: tokenizer's own pattern always cuts. Texts with white space beside a space or at an end, or of another kind
+#: than the line feed, and those with control characters, one of which marks the cuts, stay whole.
+UNCUT = r"^\s|\s$|  | \n|\n |[\x00-\x09\x0b-\x1f\x{85}\p{Zl}\p{Zp}]|[^\P{Zs} ]"
+MARK = "\x01"
 
 
 def id_type(size: int) -> str:
@@ -68,24 +66,68 @@ def encoder(path: str):
     """A function from texts to the bytes of their ids."""
     t = tokenizer(path)
     kind = id_type(t.get_vocab_size())
-
-    def as_bytes(encoding) -> bytes:
-        return np.array(encoding.ids, kind).tobytes()
-
-    known = Memo(lambda word: as_bytes(t.encode(word, add_special_tokens=False)), REMEMBERED)
-
-    def encode_texts(texts: list[str]) -> list[bytes]:
-        cut = [words_of(x) for x in texts]
-        new = list({w for words in cut for w in words if len(w) <= 64 and w not in known})
+    # A token of the byte-level vocabulary has a character per byte.
+    lengths = np.zeros(t.get_vocab_size(), np.int64)
+    for token, place in t.get_vocab().items():
+        lengths[place] = len(token)
+    known: dict[str, bytes] = {}
+    older: dict[str, bytes] = {}
+
+    def ids_of(text: str) -> np.ndarray:
+        return np.array(t.encode_batch_fast([text], add_special_tokens=False)[0].ids, kind)
+
+    def learn(pieces: list[str]) -> list[bytes]:
+        """The ids of each piece; pieces new to the worker are encoded in a row and told apart by their bytes."""
+        nonlocal known, older
+        new = [p for p in pieces if p not in known]
         if len(known) + len(new) > REMEMBERED:
-            known.clear()
-        for at in range(0, len(new), 50_000):
-            part = new[at : at + 50_000]
-            known.update(zip(part, map(as_bytes, t.encode_batch_fast(part, add_special_tokens=False))))
-        return [
-            b"".join(known[w] if len(w) <= 64 else as_bytes(t.encode(w, add_special_tokens=False)) for w in words)
-            for words in cut
-        ]
+            # What is still in use moves over; the rest is forgotten with the next change.
+            older, known = known, {p: known[p] for p in pieces if p in known}
+        fresh: dict[bool, list[str]] = {True: [], False: []}
+        for p in new:
+            if (found := older.get(p)) is not None:
+                known[p] = found
+            else:
+                fresh[p[0] == " "].append(p)
+        for spaced, group in fresh.items():
+            # Between pieces without a space stands a line feed, which is a token of its own there.
+            between = "" if spaced else "\n"
+            for at in range(0, len(group), 20_000):
+                part = group[at : at + 20_000]
+                ids = ids_of(between + between.join(part))
+                sizes = np.fromiter((len(p.encode()) for p in part), np.int64, len(part)) + len(between)
+                cuts = (np.searchsorted(np.cumsum(lengths[ids]), np.cumsum(sizes)) + 1) * ids.itemsize
+                raw, skip = ids.tobytes(), len(between) * ids.itemsize
+                known.update(zip(part, [raw[b + skip : e] for b, e in zip([0, *cuts.tolist()], cuts.tolist())]))
+        return [known[p] for p in pieces]
+
+    def encode_texts(texts: pa.Array) -> list[bytes]:
+        """The ids of each text as bytes."""
+        texts = pc.fill_null(texts, "")
+        uncut = pc.or_(pc.match_substring_regex(texts, UNCUT), pc.equal(texts, "")).to_numpy(zero_copy_only=False)
+        out: list[bytes] = [b""] * len(texts)
+        for k in np.nonzero(uncut)[0].tolist():
+            out[k] = ids_of(texts[k].as_py()).tobytes()
+        places = np.nonzero(~uncut)[0]
+        if not len(places):
+            return out
+        marked = pc.replace_substring(texts.take(pa.array(places)), " ", MARK + " ")
+        cut = pc.split_pattern(pc.replace_substring_regex(marked, r"(\p{L})([.,;:!?%&$*#|]+)", rf"\1{MARK}\2"), MARK)
+        offsets = cut.offsets.to_numpy()
+        offsets = offsets - offsets[0]
+        pieces = cut.flatten().dictionary_encode()
+        at = pieces.indices.to_numpy(zero_copy_only=False)
+        encoded = learn(pieces.dictionary.to_pylist())
+        numbers = np.frombuffer(b"".join(encoded), kind)
+        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) // numbers.itemsize
+        starts = np.cumsum(sizes) - sizes
+        held = sizes[at]
+        ends = np.cumsum(held)
+        raw = numbers[np.repeat(starts[at] - ends + held, held) + np.arange(ends[-1])].tobytes()
+        stops = (ends[offsets[1:] - 1] * numbers.itemsize).tolist()
+        for k, begin, end in zip(places.tolist(), [0, *stops], stops):
+            out[k] = raw[begin:end]
+        return out
 
     return encode_texts
 
@@ -97,9 +139,12 @@ def token_ids(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([END_ID], kind).tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                ids = encoder(path)([x or "" for x in part.column(1).to_pylist()])
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+            groups = np.cumsum(sizes, dtype=np.int64) // PART_BYTES
+            edges = [0, *(np.nonzero(np.diff(groups))[0] + 1).tolist(), batch.num_rows]
+            for begin, stop in zip(edges, edges[1:]):
+                part = batch.slice(begin, stop - begin)
+                ids = encoder(path)(part.column(1))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x + end for x in ids], pa.binary())], names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids binary")
@@ -132,8 +177,8 @@ def pack(numbers: np.ndarray) -> tuple[bytes, bytes]:
     return control.tobytes(), raw[np.arange(4) < size[:, None]].tobytes()
 
 
-def unpack(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
-    size = LENGTHS[control].reshape(-1)[:n]
+def unpack(size: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Numbers of the given lengths in bytes."""
     at = np.cumsum(size, dtype=np.int64) - size
     numbers = data[at].astype(np.uint32)
     for k in (1, 2, 3):
@@ -142,32 +187,34 @@ def unpack(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
     return numbers
 
 
-def block(doc_ids: list[int | None], ids: list[np.ndarray], rank: np.ndarray) -> bytes:
-    numbers = rank[np.concatenate(ids)]
-    control, data = pack(numbers)
+def block(doc_ids: list[int | None], counts: list[int], controls: list[bytes], data: list[bytes]) -> bytes:
     return b"".join(
         [
-            struct.pack("<II", len(doc_ids), len(numbers)),
+            struct.pack("<I", len(doc_ids)),
             np.array([x or 0 for x in doc_ids], "<i8").tobytes(),
             np.array([x is None for x in doc_ids], np.uint8).tobytes(),
-            np.array([len(x) for x in ids], "<u4").tobytes(),
-            control,
-            data,
+            np.array(counts, "<u4").tobytes(),
+            *controls,
+            *data,
         ]
     )
 
 
 def unblock(payload: bytes, id_of: np.ndarray) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     """Document ids, ids of each, and all ids in a row."""
-    docs, n = struct.unpack_from("<II", payload)
-    at = 8
-    doc_ids = np.frombuffer(payload, "<i8", docs, at)
-    absent = np.frombuffer(payload, np.uint8, docs, at + 8 * docs)
-    counts = np.frombuffer(payload, "<u4", docs, at + 9 * docs)
-    at += 13 * docs
-    control = np.frombuffer(payload, np.uint8, -(-n // 4), at)
+    (docs,) = struct.unpack_from("<I", payload)
+    doc_ids = np.frombuffer(payload, "<i8", docs, 4)
+    absent = np.frombuffer(payload, np.uint8, docs, 4 + 8 * docs)
+    counts = np.frombuffer(payload, "<u4", docs, 4 + 9 * docs).astype(np.int64)
+    width = -(-counts // 4)
+    at = 4 + 13 * docs
+    control = np.frombuffer(payload, np.uint8, int(width.sum()), at)
     data = np.frombuffer(payload, np.uint8, offset=at + len(control))
-    return [None if a else int(d) for d, a in zip(doc_ids, absent)], counts, id_of[unpack(control, data, n)]
+    # A document's last control byte may have room for more numbers than are there.
+    ends = 4 * np.cumsum(width)
+    slot = np.arange(4 * len(control)) - np.repeat(ends - 4 * width, 4 * width)
+    there = slot < np.repeat(counts, 4 * width)
+    return [None if a else int(d) for d, a in zip(doc_ids, absent)], counts, id_of[unpack(LENGTHS[control].reshape(-1)[there], data)]
 
 
 def write(docs: DataFrame, path: str, folder: str) -> None:
@@ -183,30 +230,39 @@ def write(docs: DataFrame, path: str, folder: str) -> None:
     rank = np.zeros(vocabulary, np.uint32)
     rank[counted["id"].to_numpy(np.int64)] = np.arange(len(counted))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, number, first, held, names, parts = TaskContext.get().partitionId(), 0, 0, 0, [], []
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            numbers = [np.frombuffer(x.as_py(), kind) for x in batch.column(1)]
+            pairs = [pack(rank[x]) for x in numbers]
+            columns = [batch.column(0), pa.array([len(x) for x in numbers], pa.int64()), *(pa.array(list(c), pa.binary()) for c in zip(*pairs))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "control", "data"])
+
+    def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, number, first, held, rows = TaskContext.get().partitionId(), 0, 0, 0, []
 
         def close() -> pa.RecordBatch:
-            values = [[shard], [number], [first], [held], [block(names, parts, rank)]]
+            values = [[shard], [number], [first], [held], [block(*map(list, zip(*rows)))]]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names=columns)
 
         columns = ["shard", "block", "first", "n_ids", "payload"]
         kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
         for batch in batches:
-            for doc_id, x in zip(batch.column(0).to_pylist(), batch.column(1)):
-                parts.append(np.frombuffer(x.as_py(), kind))
-                names.append(doc_id)
-                held += len(parts[-1])
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                rows.append(row)
+                held += row[1]
                 if held >= BLOCK_IDS:
                     yield close()
-                    number, first, held, names, parts = number + 1, first + held, 0, [], []
-        if names:
+                    number, first, held, rows = number + 1, first + held, 0, []
+        if rows:
             yield close()
 
     order = [F.col("doc_id").asc_nulls_first(), F.col("tie")]
-    in_order = ids.withColumn("tie", F.xxhash64("ids")).repartitionByRange(*order).sortWithinPartitions(*order, "ids")
-    blocks = in_order.select("doc_id", "ids").mapInArrow(run, "shard int, block int, first long, n_ids long, payload binary")
-    blocks.write.option("compression", "none").parquet(f"{folder}/blocks")
+    small = ids.select("doc_id", "ids").mapInArrow(packed, "doc_id long, n long, control binary, data binary")
+    in_order = small.withColumn("tie", F.xxhash64("control", "data")).repartitionByRange(*order).sortWithinPartitions(*order, "data")
+    written = in_order.select("doc_id", "n", "control", "data").mapInArrow(blocks_of, "shard int, block int, first long, n_ids long, payload binary")
+    written.write.option("compression", "none").parquet(f"{folder}/blocks")
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
