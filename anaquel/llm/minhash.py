@@ -11,13 +11,14 @@ Large groups never become all their pairs:
 * Equal sets are one class from the start; only classes are compared.
 * In each table's bucket a member, drawn by a hash, is the centre, and the others are compared with it.
   As every table draws anew, a group of near copies meets many centres.
-* What these links leave in different components of a bucket is compared across components: all members
-  outside the bucket's largest component with all members of other components. In large buckets a pair first
-  has to pass an exact bound: shingles that no other member of such buckets holds cannot be shared, and
-  without them the overlap may be out of reach. So members with many words of their own are settled
-  without comparing them.
+* What these links leave in different components of a bucket is compared across components: members outside
+  the bucket's largest component with members of other components. In small buckets all such pairs are. In
+  others a pair first has to pass an exact bound: with all shingles in one order, rarest first, two similar sets
+  share one of their first few, and the places of the first that they share bound the whole overlap. So a
+  member with many words of its own is settled without comparing it.
 
-Then all pairs that share a bucket are either in one component or were compared on their full sets.
+Then all pairs that share a bucket are in one component, or were compared on their full sets, or cannot be
+similar.
 
 Components come from large-star and small-star rounds over tables in the shared folder; nothing is collected.
 
@@ -29,12 +30,12 @@ text's class. Shingles are compared by 64-bit hashes. An empty table gives an em
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from anaquel.llm.common import Memo
@@ -42,8 +43,8 @@ from anaquel.session import materialise
 
 ROWS = 2
 SKETCHES = 6
-#: From this size on, a bucket's pairs are bounded by shared shingles before they are compared.
-LARGE = 100
+#: From this size on, a bucket's pairs are bounded by their rarest shingles before they are compared.
+LARGE = 16
 #: Ids up to this number are sent to all tasks (8 bytes each) instead of shuffling the texts.
 SENT_IDS = 1_000_000
 
@@ -141,8 +142,10 @@ def confirmed(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Da
     return materialise(both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"), "links")
 
 
-def shared_counts(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """For each node, how many of its shingles some other node holds too."""
+def rarest_shingles(docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
+    """``node``, ``n``, ``shingle``, ``place`` (from 1) for the first shingles of each node, rarest among all nodes
+    first; so many that similar sets share one. Those that no other node holds are left out, but take places.
+    """
     texts = texts_of(docs, nodes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,12 +154,17 @@ def shared_counts(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
                 hashes = shingles(text.as_py(), words)
                 for at in range(0, len(hashes), 1 << 16):
                     part = hashes[at : at + (1 << 16)].view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), node.as_py())), pa.array(part)], names=["node", "shingle"])
+                    columns = [pa.array(np.full(len(part), node.as_py())), pa.array(np.full(len(part), len(hashes))), pa.array(part)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "shingle"])
 
-    rows = texts.mapInArrow(run, "node long, shingle long")
-    # A shingle that one node holds alone is left; partial aggregation makes a hot shingle a row per task.
-    alone = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("held"), F.min("node").alias("node")).where("held = 1")
-    return alone.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    rows = materialise(texts.mapInArrow(run, "node long, n long, shingle long"), "node-shingles")
+    holders = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
+    shared = rows.join(holders, "shingle")
+    order = Window.partitionBy("node").orderBy("holders", "shingle")
+    placed = shared.withColumn("after", F.count(F.lit(1)).over(Window.partitionBy("node"))).withColumn("number", F.row_number().over(order))
+    place = F.col("n") - F.col("after") + F.col("number")
+    first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    return placed.select("node", "n", "shingle", place.alias("place")).where(F.col("place") <= first)
 
 
 def stars(edges: DataFrame) -> DataFrame:
@@ -211,21 +219,30 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, sketches
     sizes = split.groupBy("key", "component").agg(F.count(F.lit(1)).alias("held"))
     main = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", F.struct("held", "component")).alias("main")).where("parts > 1")
     split = materialise(split.join(main.select("key", "main"), "key"), "mixed-buckets")
-    nodes = materialise(split.where(F.col("members") >= LARGE).select("node").distinct(), "large-bucket-nodes")
-    split = split.join(shared_counts(docs, nodes, words), "node", "left")
-    sharable = F.when(F.col("members") >= LARGE, F.col("n") - F.coalesce("alone", F.lit(0))).otherwise(F.col("n"))
-    split = materialise(split.select("key", "node", "n", "component", "main", sharable.alias("sharable")), "bounded-buckets")
-    left = split.where("component <> main").select("key", *[F.col(c).alias(f"l_{c}") for c in ("node", "n", "component", "sharable")])
-    reach = F.least("sharable", "l_sharable") * (100 + percent) >= (F.col("n") + F.col("l_n")) * percent
-    once = (F.col("component") == F.col("main")) | (F.col("l_node") < F.col("node"))
-    # A member that cannot reach the share with a set of its own sharable size is out of reach of all sets.
-    hopeful = lambda s, n: F.col(s) * 100 >= F.col(n) * percent
-    right = split.where(hopeful("sharable", "n"))
-    across = left.where(hopeful("l_sharable", "l_n")).join(right, "key").where((F.col("component") != F.col("l_component")) & once & reach)
-    across = across.select(F.least("node", "l_node").alias("a"), F.greatest("node", "l_node").alias("b")).distinct()
+    outside = F.col("component") != F.col("main")
+    similar = lambda n, m: F.least(n, m) * 100 >= F.greatest(n, m) * percent
+    differ = F.col("component") != F.col("l_component")
+
+    small = split.where(F.col("members") < LARGE)
+    left = small.where(outside).select("key", *[F.col(c).alias(f"l_{c}") for c in ("node", "n", "component")])
+    once = ~outside | (F.col("l_node") < F.col("node"))
+    across = left.join(small, "key").where(differ & once & similar("n", "l_n")).select("node", "l_node")
+
+    large = split.where(F.col("members") >= LARGE).groupBy("node", "component").agg(F.bool_or(outside).alias("outside"))
+    large = materialise(large, "large-bucket-nodes")
+    rare = rarest_shingles(docs, large.select("node"), words, percent).join(large, "node")
+    rare = materialise(rare, "rarest-shingles")
+    left = rare.where("outside").select("shingle", *[F.col(c).alias(f"l_{c}") for c in ("node", "n", "place", "component")])
+    once = ~F.col("outside") | (F.col("l_node") < F.col("node"))
+    # The first shared shingle and what can follow it on either side.
+    most = F.least(F.col("n") - F.col("place"), F.col("l_n") - F.col("l_place")) + 1
+    reach = most * (100 + percent) >= (F.col("n") + F.col("l_n")) * percent
+    bounded = left.join(rare, "shingle").where(differ & once & similar("n", "l_n") & reach).select("node", "l_node")
+
+    across = across.unionByName(bounded).select(F.least("node", "l_node").alias("a"), F.greatest("node", "l_node").alias("b")).distinct()
     across = materialise(across.join(pairs, ["a", "b"], "left_anti"), "cross-pairs")
     more = confirmed(docs, across, words, percent)
-    parts = materialise(stars(reduce(DataFrame.unionByName, [links, more])), "components")
+    parts = materialise(stars(links.unionByName(more)), "components")
 
     placed = rows.join(classes.select("digest", "node"), "digest", "left").join(parts, "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
