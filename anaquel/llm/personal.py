@@ -36,6 +36,8 @@ DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+EMAIL_CHARACTER = re.compile(r"[A-Za-z0-9._%+-]")
+DIGIT = re.compile(r"[0-9]")
 NOT_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
 
 
@@ -390,10 +392,7 @@ def all_spans(texts: list[str], model: Tagger | None) -> list[list[tuple[str, in
         taken = sorted((b, e) for _, b, e in spans)
         at = 0
         for kind, begin, end in added:
-            while begin < end and text[begin].isspace():
-                begin += 1
-            while begin < end and text[end - 1].isspace():
-                end -= 1
+            begin, end = to_edges(text, kind, begin, end)
             while at < len(taken) and taken[at][1] <= begin:
                 at += 1
             if begin < end and not any(b < end and begin < e for b, e in taken[at : at + 4]) and sound(kind, text[begin:end]):
@@ -402,6 +401,20 @@ def all_spans(texts: list[str], model: Tagger | None) -> list[list[tuple[str, in
     return out
 
 
+def to_edges(text: str, kind: str, begin: int, end: int) -> tuple[int, int]:
+    """A tagged span without white space at its ends, grown over the characters that its ends cut through."""
+    while begin < end and text[begin].isspace():
+        begin += 1
+    while begin < end and text[end - 1].isspace():
+        end -= 1
+    inner = EMAIL_CHARACTER if kind == "email" else DIGIT
+    while begin < end and begin and inner.match(text[begin]) and inner.match(text[begin - 1]):
+        begin -= 1
+    while begin < end < len(text) and inner.match(text[end - 1]) and inner.match(text[end]):
+        end += 1
+    return begin, end
+
+
 FOUND = "array<struct<kind:string,start:bigint,end:bigint,base:boolean>>"
 FOUND_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())]))
 

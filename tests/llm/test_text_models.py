@@ -2,6 +2,7 @@ import base64
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -72,8 +73,6 @@ def test_token_files_of_nothing(nothing):
 
 
 def test_token_files_encoder_equals_the_library():
-    import pyarrow as pa
-
     t = Tokenizer.from_file(JSON)
     t.encode_special_tokens = True
     got = token_files.encoder(JSON)(pa.array(ODD))
@@ -98,7 +97,7 @@ def sample():
 def test_quality_on_held_out_rows(sample):
     held = sample.doc_id.map(lambda i: zlib.crc32(str(i).encode()) % 5 == 0)
     model = quality.train(sample[~held].text.tolist(), sample[~held].quality.tolist())
-    predicted = model.scorer()(sample[held].text) >= 0.3
+    predicted = model.score(pa.array(sample[held].text)) >= 0.3
     assert (predicted == sample[held].quality.to_numpy()).mean() >= 0.9
 
 
@@ -107,12 +106,23 @@ def test_quality_cases(docs, nothing, spark):
     rows = quality.score(docs, model).collect()
     assert len(rows) == len(texts()) and all(0 <= r["score"] <= 1 for r in rows)
     assert quality.score(nothing, model).count() == 0
-    assert quality.train([], []).scorer()(["a", None])[0] == 0.5
-    assert quality.train(["a"], [1]).scorer()(["b"])[0] > 0.99
+    assert quality.train([], []).score(pa.array(["a", None])).tolist() == [0.5, 0.5]
+    assert quality.train(["a"], [1]).score(pa.array(["b"]))[0] > 0.99
+    one_by_one = [float(model.score(pa.array([t], pa.string()))[0]) for _, t in texts()]
+    assert np.allclose(one_by_one, model.score(pa.array([t for _, t in texts()], pa.string())))
     labels = spark.createDataFrame([(1, 1), (3, 0), (None, 1), (4, None), (10, 0)], "doc_id long, quality int")
     assert isinstance(quality.fit(docs, labels, F.lit(True)), quality.Model)
 
 
+def test_quality_features_of_repeats_and_ends():
+    names, at, edges = quality.words_of(pa.array([" a a b\n", None, "", "b  b a", "c"]))
+    words = [[names[k] for k in at[b:e]] for b, e in zip(edges, edges[1:])]
+    assert words == [["a", "a", "b"], [], [], ["b", "b", "a"], ["c"]]
+    assert np.allclose(quality.repeats(at, edges), [1 / 3, 0, 0, 1 / 3, 0])
+    places, counts = quality.features(["ab", "é", "ab"], quality.Settings())
+    assert counts.tolist() == [7, 4, 7] and places[:7].tolist() == places[11:].tolist()
+
+
 def test_base_spans_by_brute_force():
     import re
 
