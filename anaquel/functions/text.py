@@ -79,3 +79,9 @@ def fallback_title(title: Column, text: Column) -> Column:
         F.array(clean_text(text)), lambda x: x.isNotNull() & ~F.contains(x, F.lit("$")) & (F.length(x) > 5)
     )
     return F.coalesce(clean_text(title), F.get(line, F.lit(0)))
+
+
+def once(value: Column) -> Column:
+    """``value`` as the only element of a generator: the optimiser does not copy it into what reads it, so a dear
+    expression is evaluated once a row. For one column of a select."""
+    return F.explode(F.array(value))

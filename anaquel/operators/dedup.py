@@ -35,10 +35,10 @@ def keep_last(df: DataFrame, keys: list[Column | str], order: list[str] | None =
 
 
 def dedup_in_page(df: DataFrame, page: list[str], href: str = "href") -> DataFrame:
-    """First card per link of a page; cards without a link go by code, then by opening text."""
+    """First card per link of a page; cards without a link go by code, then by their whole text."""
     link = F.nullif(F.col(href), F.lit(""))
     if {"code", "text"} <= set(df.columns):
-        link = F.coalesce(link, F.nullif(F.col("code"), F.lit("")), F.substring("text", 1, 120))
+        link = F.coalesce(link, F.nullif(F.col("code"), F.lit("")), F.col("text"))
     return keep_first(df, [*page, link], ["position"])
 
 

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from anaquel import registry as R
 from anaquel.functions.brands import infer_brand
-from anaquel.functions.html import BOUNDARY, LEVELS, html_nodes
+from anaquel.functions.html import BOUNDARY, html_nodes
 from anaquel.functions.promotions import percent_computed
-from anaquel.functions.text import all_matches, blank_to_null, clean_text, first_match
+from anaquel.functions.text import all_matches, blank_to_null, clean_text, first_match, once
 from anaquel.functions.urls import absolute_url, sku_detail
 from anaquel.operators.prices import resolve_prices
-from anaquel.operators.shape import product_link
+from anaquel.operators.shape import CARD_LENGTH, product_link
+
+LONGEST = 2**31 - 1  # where a rule has no upper bound
 
 ANCHOR = r"(?is)(<a\b[^>]*>.*?</a>)"
 HREF = r"""(?is)^<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
@@ -43,7 +45,7 @@ def count_product_links(captures: DataFrame, keys: list[str]) -> DataFrame:
     return captures.select(*keys, F.size(linked).alias("product_links"))
 
 
-def top_pickup_links(cards: DataFrame, page: list[str], limit: int = 5) -> DataFrame:
+def top_pickup_links(cards: DataFrame, page: list[str], limit: int) -> DataFrame:
     """First distinct product links per page whose card mentions pickup."""
     first = (
         cards.where(F.col("text").rlike(r"(?i)pickup|recoge|recoger|recogida"))
@@ -55,7 +57,8 @@ def top_pickup_links(cards: DataFrame, page: list[str], limit: int = 5) -> DataF
 
 
 def displayed_max(text: Column) -> Column:
-    return F.array_max(F.transform(all_matches(text, R.PRODUCTS_SHOWN), lambda m: m.try_cast("int")))
+    shown = all_matches(text, R.PRODUCTS_SHOWN)
+    return F.array_max(F.transform(shown, lambda m: F.regexp_replace(m, "[,.]", "").try_cast("int")))
 
 
 def displayed_first(text: Column) -> Column:
@@ -110,7 +113,7 @@ def json_ld_brand(ld: Column) -> Column:
 def extract_json_ld(captures: DataFrame, keys: list[str]) -> DataFrame:
     ld = F.col("_ld")
     return (
-        captures.select(*keys, json_ld_product(F.col("html")).alias("_ld"))
+        captures.select(*keys, once(json_ld_product(F.col("html"))).alias("_ld"))
         .where(ld.isNotNull())
         .select(
             *keys,
@@ -123,11 +126,17 @@ def extract_json_ld(captures: DataFrame, keys: list[str]) -> DataFrame:
 
 
 # Node arrays.
-PAGE_TEXT = "page_text"
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _raw(n: Column) -> Column:
-    return F.substring(F.col(PAGE_TEXT), n["start"] + 1, n["stop"] - n["start"])
+    return F.array_join(F.slice("pieces", n["start"] + 1, n["stop"] - n["start"]), "")
+
+
+def page_text() -> Column:
+    return F.array_join("pieces", "")
 
 
 def flat_text(n: Column) -> Column:
@@ -168,7 +177,7 @@ def class_has(n: Column, *parts: str) -> Column:
 
 
 def class_is(n: Column, name: str) -> Column:
-    return F.array_contains(F.split(F.coalesce(attribute(n, "class"), F.lit("")), r"\s+"), name)
+    return F.array_contains(n["classes"], name)
 
 
 def first_below(n: Column, test: Callable[[Column], Column]) -> Column:
@@ -179,41 +188,51 @@ def _money(text: Column) -> Column:
     return text.rlike(R.MONEY_LOOSE)
 
 
-def _ancestors(n: Column, levels: int) -> Column:
-    return F.transform(F.slice(n["up"], 1, levels), node_at)
-
-
 def _is_link(n: Column) -> Column:
     return (n["tag"] == "a") & attribute(n, "href").isNotNull()
 
 
-def _card_labelled(n: Column) -> Column:
-    climbed = F.filter(_ancestors(n, 10), lambda c: _money(flat_text(c)) & (F.length(loose_text(c)) > 20))
-    return F.coalesce(F.get(climbed, F.lit(0)), node_at(F.element_at(n["up"], -1)))
+# A retailer's climbing rule asks the same of every ancestor, so each node is judged once per page, from its text;
+# climbing then reads these numbers only. 0: no card, 1: a card, 2: a card with actions.
+def _fits_labelled(n: Column) -> Column:
+    return (_money(flat_text(n)) & (F.length(loose_text(n)) > 20)).cast("int")
 
 
-def _card_selected(n: Column) -> Column:
-    climbed = F.filter(
-        _ancestors(n, 10),
-        lambda c: _money(flat_text(c)) & F.length(flat_text(c)).between(21, 2999),
-    )
-    return F.coalesce(F.get(climbed, F.lit(0)), node_at(F.element_at(n["up"], -1)))
+def _fits_selected(n: Column) -> Column:
+    low, high = CARD_LENGTH["chedraui"]
+    return bound(flat_text(n), lambda t: (_money(t) & F.length(t).between(low, high or LONGEST)).cast("int"))
+
+
+def _fits_with_actions(n: Column) -> Column:
+    low, high = CARD_LENGTH["farmacias-guadalajara"]
+    fits = lambda t: t.rlike(R.MONEY_AMOUNT) & F.length(t).between(low, high or LONGEST)
+    acts = lambda t: t.rlike("(?i)Agregar|Comparar|Favoritos").cast("int")
+    return bound(shown_text(n), lambda t: F.when(fits(t), 1 + acts(t)).otherwise(0))
+
+
+def _fits_with_price(n: Column) -> Column:
+    return F.contains(_raw(n), F.lit("$")).cast("int")
 
 
-def _card_with_actions(n: Column) -> Column:
+def _climbed(n: Column, fits: Column, levels: int, least: int = 1) -> Column:
+    """Positions of the node and its ancestors that fit, nearest first."""
+    return F.filter(F.slice(n["up"], 1, levels), lambda p: F.get(fits, p) >= least)
+
+
+def _nearest_or_widest(n: Column, fits: Column) -> Column:
+    """The nearest fitting node on the way up, else the tenth ancestor or the root."""
+    return node_at(F.coalesce(F.get(_climbed(n, fits, 10), F.lit(0)), F.element_at(n["up"], -1)))
+
+
+def _card_with_actions(n: Column, fits: Column) -> Column:
     """The nearest fitting ancestor that shows a card's actions, else the widest fitting one."""
-    fitting = F.filter(
-        _ancestors(n, 9),
-        lambda c: shown_text(c).rlike(R.MONEY_AMOUNT) & F.length(shown_text(c)).between(15, 3000),
-    )
-    acting = F.filter(fitting, lambda c: shown_text(c).rlike("(?i)Agregar|Comparar|Favoritos"))
-    parent = node_at(F.get(n["up"], F.lit(1)))
-    return F.coalesce(F.get(acting, F.lit(0)), F.try_element_at(fitting, F.lit(-1)), parent, n)
+    acting = F.get(_climbed(n, fits, 9, 2), F.lit(0))
+    widest = F.try_element_at(_climbed(n, fits, 9), F.lit(-1))
+    return node_at(F.coalesce(acting, widest, F.get(n["up"], F.lit(1)), n["pos"]))
 
 
-def _card_with_price(n: Column) -> Column:
-    priced = F.filter(_ancestors(n, 8), lambda c: F.contains(shown_text(c), F.lit("$")))
-    return F.coalesce(F.get(priced, F.lit(0)), node_at(F.get(n["up"], F.lit(7))), n)
+def _card_with_price(n: Column, fits: Column) -> Column:
+    return node_at(F.coalesce(F.get(_climbed(n, fits, 8), F.lit(0)), F.get(n["up"], F.lit(7)), n["pos"]))
 
 
 def _texts(n: Column, test: Callable[[Column], Column], keep: Callable[[Column], Column]) -> Column:
@@ -254,8 +273,7 @@ def _longer_than(text: Column, size: int) -> Column:
     return F.when(F.length(text) > size, text)
 
 
-def _labelled(pair: Column) -> Column:
-    a, card = pair["link"], pair["card"]
+def _labelled(a: Column, card: Column, _: Column) -> Column:
     product = F.coalesce(
         _longer_than(attribute(a, "aria-label"), 4), _longer_than(flat_text(a), 4), _image_alt(card)
     )
@@ -272,8 +290,7 @@ def _priced_text(card: Column, tests) -> Column:
     ])
 
 
-def _selected(pair: Column) -> Column:
-    a, card = pair["link"], pair["card"]
+def _selected(a: Column, card: Column, _: Column) -> Column:
     heading = first_below(card, lambda d: d["tag"].isin("h2", "h3") | class_has(d, "productName", "product-name"))
     product = F.coalesce(
         attribute(a, "aria-label"), attribute(a, "title"), blank_to_null(flat_text(heading)), _image_alt(card),
@@ -296,9 +313,11 @@ def _selected(pair: Column) -> Column:
     )
 
 
-def _with_actions(pair: Column) -> Column:
-    a, card = pair["link"], pair["card"]
-    text = shown_text(card)
+def _with_actions(a: Column, card: Column, _: Column) -> Column:
+    return bound(shown_text(card), lambda text: _read_with_actions(a, card, text))
+
+
+def _read_with_actions(a: Column, card: Column, text: Column) -> Column:
     title_node = first_below(
         card,
         lambda d: d["tag"].isin("h2", "h3", "h4")
@@ -329,13 +348,15 @@ def _with_actions(pair: Column) -> Column:
     )
 
 
-def _with_price(pair: Column) -> Column:
-    n, card = pair["link"], pair["card"]
-
+def _with_price(n: Column, card: Column, _: Column) -> Column:
     def is_product_link(d: Column) -> Column:
         return (d["tag"] == "a") & F.contains(F.coalesce(attribute(d, "href"), F.lit("")), F.lit("/p/"))
 
     link = F.when(is_product_link(n), n).otherwise(first_below(card, is_product_link))
+    return bound(link, lambda found: _read_with_price(n, card, found))
+
+
+def _read_with_price(n: Column, card: Column, link: Column) -> Column:
     code = F.coalesce(
         attribute(n, "data-product-code"), attribute(n, "data-product-id"), attribute(n, "data-code"),
         attribute(card, "data-product-code"), attribute(card, "data-product-id"),
@@ -344,9 +365,7 @@ def _with_price(pair: Column) -> Column:
     return _card(attribute(link, "href"), title, shown_text(card), data_pid=code)
 
 
-def _tile(pair: Column) -> Column:
-    tile = pair["card"]
-
+def _tile(_: Column, tile: Column, boxes: Column) -> Column:
     def page_link(d: Column) -> Column:
         return (d["tag"] == "a") & F.contains(F.coalesce(attribute(d, "href"), F.lit("")), F.lit(".html"))
 
@@ -354,7 +373,8 @@ def _tile(pair: Column) -> Column:
         return (d["tag"] == "a") & class_is(d, "product-tile--link")
 
     def boxed(d: Column) -> Column:
-        return F.exists(_ancestors(d, LEVELS), lambda up: class_is(up, "pdp-link"))
+        # At any depth: the box's nodes are a run of positions.
+        return F.exists(boxes, lambda box: (box["pos"] < d["pos"]) & (d["pos"] <= box["last"]))
 
     def quick(d: Column) -> Column:
         return attribute(d, "data-quickview") == F.lit("false")
@@ -404,17 +424,29 @@ def _is_tile(n: Column) -> Column:
     return class_is(n, "product-tile") & class_is(n, "js-product-card")
 
 
-# Per retailer: which nodes start a card, how to find the card around one, what to read from it,
-# and what makes the card count.
+def _itself(n: Column, _: Column) -> Column:
+    return n
+
+
+def _judged(fits: Callable[[Column], Column]) -> Callable[[], Column]:
+    return lambda: F.transform("nodes", fits)
+
+
+def _boxes() -> Column:
+    return F.filter("nodes", lambda n: class_is(n, "pdp-link"))
+
+
+# Per retailer: which nodes start a card, what the page's nodes are judged by, how to climb to the card from there,
+# what to read from it, and what makes the card count.
 CARD_RULES = {
-    "soriana": (_is_tile, lambda n: n, _tile, lambda c: F.lit(True)),
-    "walmart": (_links("walmart"), _card_labelled, _labelled, lambda c: _money(c["text"])),
-    "chedraui": (_links("chedraui"), _card_selected, _selected, lambda c: _money(c["text"])),
+    "soriana": (_is_tile, _boxes, _itself, _tile, lambda c: F.lit(True)),
+    "walmart": (_links("walmart"), _judged(_fits_labelled), _nearest_or_widest, _labelled, lambda c: _money(c["text"])),
+    "chedraui": (_links("chedraui"), _judged(_fits_selected), _nearest_or_widest, _selected, lambda c: _money(c["text"])),
     "farmacias-guadalajara": (
-        _links("farmacias-guadalajara"), _card_with_actions, _with_actions,
+        _links("farmacias-guadalajara"), _judged(_fits_with_actions), _card_with_actions, _with_actions,
         lambda c: c["text"].rlike(R.MONEY_AMOUNT) & c["product"].isNotNull(),
     ),
-    "farmacias-san-pablo": (_coded_or_linked, _card_with_price, _with_price, lambda c: c["text"] != ""),
+    "farmacias-san-pablo": (_coded_or_linked, _judged(_fits_with_price), _card_with_price, _with_price, lambda c: c["text"] != ""),
 }
 
 
@@ -423,8 +455,30 @@ FIRST_LINK_ONLY = ("walmart", "chedraui")
 
 
 def _first_links(nodes: Column) -> Column:
-    hrefs = F.transform(nodes, lambda n: n["attrs"]["href"])
-    return F.filter(nodes, lambda n, at: F.array_position(hrefs, n["attrs"]["href"]) == at + 1)
+    """The first node of each address: sorted by address and place, those that differ from the one before."""
+    placed = F.transform(nodes, lambda n, at: F.struct(n["attrs"]["href"].alias("href"), at.alias("at")))
+    firsts = bound(
+        F.array_sort(placed),
+        lambda s: F.filter(s, lambda x, i: (i == 0) | (F.get(s, i - 1)["href"] != x["href"])),
+    )
+    return F.transform(F.array_sort(F.transform(firsts, lambda x: x["at"])), lambda at: F.get(nodes, at))
+
+
+def cards_in_nodes(nodes: DataFrame, retailer_id: str, keys: list[str]) -> DataFrame:
+    """Product cards of one retailer's parsed pages (see :func:`html_nodes`), in page order."""
+    starts, judged, climb, read, counts = CARD_RULES[retailer_id]
+    # Every value that a lambda names is bound: the optimiser would copy a column's expression into the lambda
+    # and so compute it for each element.
+    links = F.filter("nodes", starts)
+    if retailer_id in FIRST_LINK_ONLY:
+        links = bound(links, _first_links)
+
+    def read_all(found: Column) -> Column:
+        cards = F.transform(links, lambda n: bound(climb(n, found), lambda card: read(n, card, found)))
+        return F.filter(cards, counts)
+
+    cards = nodes.select(*keys, bound(judged(), read_all).alias("cards"))
+    return cards.select(*keys, F.posexplode("cards").alias("position", "card")).select(*keys, "position", "card.*")
 
 
 def extract_cards(captures: DataFrame, retailer_id: str, keys: list[str]) -> DataFrame:
@@ -433,29 +487,23 @@ def extract_cards(captures: DataFrame, retailer_id: str, keys: list[str]) -> Dat
     Cards are built inside the page's row, so the node arrays are neither copied per card nor
     shuffled. The first card per link is kept by :func:`anaquel.operators.dedup.dedup_in_page`.
     Each retailer has a small plan of its own; one plan with all rules in a CASE takes seconds to set
-    up in every task. Captures partitioned by retailer_id are read once over all retailers.
+    up in every task. Pages of many retailers are parsed once and stored by retailer
+    (:func:`anaquel.plans.extract.observations_from_pages`).
     """
-    starts, find, read, counts = CARD_RULES[retailer_id]
-    nodes = html_nodes(captures.where(F.col("retailer_id") == retailer_id), keys)
-    nodes = nodes.withColumn("links", F.filter("nodes", starts))
-    if retailer_id in FIRST_LINK_ONLY:
-        nodes = nodes.withColumn("links", _first_links(F.col("links")))
-    pairs = nodes.withColumn(
-        "pairs", F.transform("links", lambda n: F.struct(n.alias("link"), find(n).alias("card")))
-    )
-    cards = pairs.withColumn("cards", F.filter(F.transform("pairs", read), counts))
-    return cards.select(*keys, F.posexplode("cards").alias("position", "card")).select(*keys, "position", "card.*")
+    return cards_in_nodes(html_nodes(captures.where(F.col("retailer_id") == retailer_id), keys), retailer_id, keys)
 
 
 def product_details(captures: DataFrame, keys: list[str]) -> DataFrame:
     """Detail pages to raw product fields: structured data first, then markup, then text."""
     marked = captures.withColumn("_ld", json_ld_product(F.col("html")))
     page = html_nodes(marked, [*keys, "_ld"])
-    root = F.struct(F.lit(-1).alias("pos"), (F.size("nodes") - 1).alias("last"))
     ld = F.col("_ld")
 
+    def first(test) -> Column:
+        return F.get(F.filter("nodes", test), F.lit(0))
+
     def text_of(test) -> Column:
-        return clean_text(shown_text(first_below(root, test)))
+        return clean_text(shown_text(first(test)))
 
     heads = [lambda d: d["tag"] == "h1", lambda d: class_is(d, "name"), lambda d: class_is(d, "product-name")]
     old = [
@@ -473,16 +521,15 @@ def product_details(captures: DataFrame, keys: list[str]) -> DataFrame:
     ]
 
     def sku_value(test) -> Column:
-        n = first_below(root, test)
-        return F.coalesce(
-            attribute(n, "content"), attribute(n, "data-sku"), attribute(n, "data-product-code"), shown_text(n)
+        return bound(
+            first(test),
+            lambda n: F.coalesce(
+                attribute(n, "content"), attribute(n, "data-sku"), attribute(n, "data-product-code"), shown_text(n)
+            ),
         )
 
-    # The rule reads at most ten old prices per kind of node.
-    old_texts = F.flatten(
-        F.array(*[F.slice(F.transform(F.filter(below(root), t), shown_text), 1, 10) for t in old])
-    )
-    body = F.regexp_replace(F.col(PAGE_TEXT), BOUNDARY, "\n")
+    old_texts = F.flatten(F.array(*[F.transform(F.filter("nodes", t), shown_text) for t in old]))
+    body = F.regexp_replace(page_text(), BOUNDARY, "\n")
     read = page.select(
         *keys,
         "_ld",

@@ -9,7 +9,7 @@ from anaquel import registry as R
 from anaquel.functions.brands import infer_brand
 from anaquel.functions.money import evidence_json
 from anaquel.functions.promotions import offer_labels, percent_computed
-from anaquel.functions.text import blank_to_null, clean_text
+from anaquel.functions.text import blank_to_null, clean_text, once
 from anaquel.functions.urls import absolute_url
 from anaquel.operators.prices import resolve_prices
 from anaquel.schema import MONEY, PRODUCT_SEARCH_PAYLOAD, SEARCH_PAYLOAD
@@ -17,7 +17,7 @@ from anaquel.schema import MONEY, PRODUCT_SEARCH_PAYLOAD, SEARCH_PAYLOAD
 
 def scan_search_payloads(pages: DataFrame, keys: list[str], payload: str = "payload") -> DataFrame:
     """One row per item of a search page; a page without items keeps one row with a null item."""
-    parsed = pages.select(*keys, F.from_json(payload, SEARCH_PAYLOAD).alias("_p"))
+    parsed = pages.select(*keys, once(F.from_json(payload, SEARCH_PAYLOAD)).alias("_p"))
     content = F.coalesce(F.col("_p.catalog.content"), F.array().cast(parsed.schema["_p"].dataType["catalog"].dataType["content"].dataType))
     return parsed.select(
         *keys,
@@ -68,7 +68,7 @@ def map_search_items(items: DataFrame, keys: list[str]) -> DataFrame:
 
 def scan_product_search(pages: DataFrame, keys: list[str], payload: str = "payload") -> DataFrame:
     """One row per product of a range payload, with the listing's record count."""
-    parsed = pages.select(*keys, F.from_json(payload, PRODUCT_SEARCH_PAYLOAD).alias("_p"))
+    parsed = pages.select(*keys, once(F.from_json(payload, PRODUCT_SEARCH_PAYLOAD)).alias("_p"))
     found = F.col("_p.data.productSearch")
     return parsed.select(
         *keys, found["recordsFiltered"].alias("records_filtered"), F.posexplode(found["products"]).alias("position", "found")
@@ -121,7 +121,7 @@ def map_product_search(products: DataFrame, keys: list[str], method: str = "page
         absolute_url(found["link"], retailer.base_url).alias("url"),
         clean_text(found["brand"]).alias("_brand"),
         found["priceRange"].alias("_range"),
-        best_offer(found).alias("_offer"),
+        once(best_offer(found)).alias("_offer"),
     )
     offer = F.col("_offer")
     now = F.coalesce(offer["price"], F.col("_range.sellingPrice.lowPrice"))

@@ -122,7 +122,6 @@ def price_card_filter(df: DataFrame, text: str = "text") -> DataFrame:
     return df.where(price_card(F.col("retailer_id"), F.col(text)))
 
 
-def page_limit(df: DataFrame, pages: int, when_unset: int | None = None, page: str = "page_number") -> DataFrame:
-    """First ``pages`` pages of each listing; zero or less means all, or ``when_unset``."""
-    limit = pages if pages > 0 else when_unset
-    return df if limit is None else df.where(F.col(page) <= limit)
+def page_limit(df: DataFrame, pages: int, page: str = "page_number") -> DataFrame:
+    """First ``pages`` pages of each listing; zero or less means all."""
+    return df.where(F.col(page) <= pages) if pages > 0 else df

@@ -11,18 +11,18 @@ from anaquel.schema import SEQUENCE_COLUMNS, SLICE
 from anaquel.session import broadcast_if_small
 
 
-def _blank_as_null(c: str) -> Column:
-    return F.coalesce(F.col(c), F.lit(""))
+SLICE_KEY_COLUMNS = ["_retailer", "_category_id", "_city", "_store_id"]
+
+
+def slice_key(df: DataFrame) -> dict[str, Column]:
+    """The slice of a row; null and '' are the same city or store."""
+    columns = [df["retailer"], df["category_id"], F.coalesce(df["city"], F.lit("")), F.coalesce(df["store_id"], F.lit(""))]
+    return dict(zip(SLICE_KEY_COLUMNS, columns))
 
 
 def slice_keys(df: DataFrame) -> DataFrame:
-    """Distinct slices of a batch; null and '' are the same city or store."""
-    return df.select(
-        F.col("retailer").alias("_retailer"),
-        F.col("category_id").alias("_category_id"),
-        _blank_as_null("city").alias("_city"),
-        _blank_as_null("store_id").alias("_store_id"),
-    ).distinct()
+    """Distinct slices of a batch."""
+    return df.select(*[c.alias(k) for k, c in slice_key(df).items()]).distinct()
 
 
 def replace_slice(existing: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -32,12 +32,7 @@ def replace_slice(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     not be shuffled to find out.
     """
     keys = broadcast_if_small(slice_keys(incoming))
-    same = (
-        existing["retailer"].eqNullSafe(keys["_retailer"])
-        & existing["category_id"].eqNullSafe(keys["_category_id"])
-        & (F.coalesce(existing["city"], F.lit("")) == keys["_city"])
-        & (F.coalesce(existing["store_id"], F.lit("")) == keys["_store_id"])
-    )
+    same = reduce(lambda a, b: a & b, [c.eqNullSafe(keys[k]) for k, c in slice_key(existing).items()])
     return existing.join(keys, same, "left_anti")
 
 

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from anaquel import registry as R
 from anaquel.functions.brands import infer_brand
+from anaquel.functions.html import html_nodes
 from anaquel.functions.text import clean_text, fallback_title
 from anaquel.operators.dedup import dedup_in_page
-from anaquel.operators.listing_html import extract_cards, product_details, resolve_links
+from anaquel.operators.listing_html import cards_in_nodes, product_details, resolve_links
 from anaquel.operators.normalise import retailer_sku
 from anaquel.operators.payloads import (
     map_product_search,
@@ -119,6 +120,13 @@ def _fallback_cards(cards: DataFrame) -> DataFrame:
     return coded.withColumn("product", fallback_title(F.col("product"), F.col("text")))
 
 
+def cards_of_all(captures: DataFrame, keys: list[str]) -> DataFrame:
+    """Cards of all retailers' pages: every page is read and parsed once, and its nodes are written by retailer;
+    each retailer's rule then reads its own nodes only."""
+    nodes = materialise(html_nodes(captures, keys), "nodes", ("retailer_id",))
+    return union_retailers([cards_in_nodes(nodes.where(F.col("retailer_id") == r), r, keys) for r in CARD_FORMS])
+
+
 def observations_from_pages(captures: DataFrame, page: list[str], slice_cols: list[str] | None = None) -> DataFrame:
     """All retailers' pages to observations.
 
@@ -132,8 +140,7 @@ def observations_from_pages(captures: DataFrame, page: list[str], slice_cols: li
     keys = [*page, *[c for c in CARRIED if c in captures.columns]]
     is_detail = (F.col("retailer_id") == DETAIL_RETAILER) & F.col("url").rlike(R.SKU_P_PATH)
     listings = captures.where(~F.coalesce(is_detail, F.lit(False)))
-    found = union_retailers([extract_cards(listings, r, keys) for r in CARD_FORMS])
-    cards = materialise(found, "cards", ("retailer_id",))
+    cards = materialise(cards_of_all(listings, keys), "cards", ("retailer_id",))
 
     def of(retailer_id: str) -> DataFrame:
         return cards.where(F.col("retailer_id") == retailer_id)

@@ -46,12 +46,12 @@ SKU_HTML_PATTERNS = [
 SKU_JSON_LD_KEYS = ["gtin13", "gtin12", "gtin", "sku", "mpn"]
 
 # Page counters.
-PRODUCTS_SHOWN = r"(?iU)\(?\b(\d{1,5})\s+productos?\b\)?"
+PRODUCTS_SHOWN = r"(?iU)\(?\b(\d+(?:[,.]\d{3})*)\s+productos?\b\)?"
 PRODUCTS_FIRST = r"(?iU)\b([\d,]+)\s+Productos\b"
 TOTAL_PAGES = r"""(?i)<section[^>]*\bc-pagination-carousel\b[^>]*\bdata-total-pages=["']([^"']*)["']"""
 CATEGORY_KEY_COMPONENT = (
     r'(?is)"component"\s*:\s*"Infinite_EmpathySearch/js/view/search-list-component"'
-    r'.{0,12000}?"categoryId"\s*:\s*"?(\d+)"?'
+    r'.*?"categoryId"\s*:\s*"?(\d+)"?'
 )
 CATEGORY_KEY_ANY = r'(?i)"categoryId"\s*:\s*"?(\d+)"?'
 REPORTED_PRODUCTS = r"(?U)Productos únicos:\s*(\d+)"
@@ -61,7 +61,6 @@ GRID_MARKERS = ["Search-UpdateGrid", "Search-ShowAjax"]
 BROWSE_ENDPOINT = "https://api.empathy.co/search/v1/query/fda/browse"
 BROWSE_ROWS = 50
 RANGE_ROWS = 20
-PAGE_CAP = 100
 
 
 @dataclass(frozen=True)

@@ -22,8 +22,8 @@ def test_parser_nesting_and_broken_markup():
     text, nodes = parse_page("<div><p>a<p>b<br>c</div></span><ul><li>x<li>y</ul><script>var z='$1'</script>")
     by_tag = [(n["tag"], n["up"][1:2]) for n in nodes]
     assert by_tag == [("div", []), ("p", [0]), ("p", [0]), ("br", [2]), ("ul", []), ("li", [4]), ("li", [4]), ("script", [])]
-    assert nodes[0]["last"] == 3 and "$1" not in text
-    assert parse_page(None) == ("", [])
+    assert nodes[0]["last"] == 3 and "$1" not in "".join(text)
+    assert parse_page(None) == ([], [])
 
 
 def test_labelled_cards_climb_to_the_price(spark):

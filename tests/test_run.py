@@ -50,7 +50,8 @@ def test_run(spark, tmp_path):
     pages = usable_pages(captures, dim_location(spark))
     rows = materialise(observations_from_pages(pages, ["run_id", "category_id", "location_id", "page_number"]), "observations")
     table = str(tmp_path / "table")
-    merge_batch(spark, table, category_batch(rows, dim_category(spark), dim_location(spark)))
+    batch, rejected = category_batch(rows, dim_category(spark), dim_location(spark))
+    merge_batch(spark, table, batch)
     got = {r["sku"]: r for r in scan_consolidated(spark, table).collect()}
     assert set(got) == {"00000001", "00000002", "00000003", "4444", "700142"}
     w, c, p = got["00000001"], got["4444"], got["700142"]

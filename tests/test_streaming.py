@@ -20,9 +20,9 @@ def stream(spark, folder):
 
 def test_stream_consolidate_equals_batches(spark, tmp_path):
     batches = [
-        frame(spark, observation("c", "1", "viejo"), observation("d", "2")),
-        frame(spark, observation("c", "3", "nuevo")),
-        frame(spark, observation("c", "4", store_id="9")),
+        frame(spark, observation("c", "1", "viejo", run_id=1), observation("d", "2", run_id=1)),
+        frame(spark, observation("c", "3", "nuevo", run_id=2)),
+        frame(spark, observation("c", "4", store_id="9", run_id=2)),
     ]
     expected, table = str(tmp_path / "expected"), str(tmp_path / "table")
     for b in batches:
@@ -37,7 +37,7 @@ def test_stream_consolidate_equals_batches(spark, tmp_path):
 def test_seen_skus_come_once(spark, tmp_path):
     for b in (["1", "2", "1"], ["2", "3"]):
         arrive(spark, tmp_path / "in", frame(spark, *[observation("c", s) for s in b]))
-        out = T.stream_seen_skus(stream(spark, tmp_path / "in"))
+        out = T.stream_seen_skus(stream(spark, tmp_path / "in"), "1 day")
         T.run_to_end(out.writeStream.format("parquet").option("path", str(tmp_path / "out")), str(tmp_path / "state"))
     got = [r["sku"] for r in spark.read.parquet(str(tmp_path / "out")).collect()]
     assert sorted(got) == ["1", "2", "3"]

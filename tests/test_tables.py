@@ -13,6 +13,7 @@ from anaquel.operators.shape import conform_schema, stamp_category, unknown_cate
 from anaquel.plans.consolidate import consolidate
 from anaquel.plans.quality_report import quality_report
 from anaquel.schema import OBSERVATION, OBSERVATION_COLUMNS, TRACKED
+from anaquel.sources import consolidated
 from anaquel.sources.consolidated import merge_batch, scan_consolidated, write_consolidated
 from anaquel.sources.dims import dim_category, dim_location
 
@@ -80,20 +81,53 @@ def test_empty_batch_changes_nothing(spark, tmp_path):
     assert seen(scan_consolidated(spark, path)) == before
 
 
-def test_merge_is_idempotent_and_finishes_from_staging(spark, tmp_path):
+def test_merge_is_idempotent_and_finishes_from_staging(spark, tmp_path, monkeypatch):
     path, staging = str(tmp_path / "table"), str(tmp_path / "staging")
     merge_batch(spark, path, frame(spark, observation("c", "1", store_id="7"), observation("d", "2")))
     batch = frame(spark, observation("c", "3"))
-    merge_batch(spark, path, batch, staging)
+    with monkeypatch.context() as crash:
+        crash.setattr(consolidated, "_remove", lambda *_: None)
+        merge_batch(spark, path, batch, staging)
     after = seen(scan_consolidated(spark, path))
+    # The crash came while buckets were put in place, and has lost some.
+    (staged,) = (tmp_path / "staging").glob("*/buckets")
+    for bucket in staged.glob("*/*/*"):
+        shutil.rmtree(tmp_path / "table" / bucket.relative_to(staged))
     merge_batch(spark, path, batch, staging)
     assert seen(scan_consolidated(spark, path)) == after
-    # A crash while partitions were put in place has lost one of them.
-    shutil.rmtree(tmp_path / "table" / "retailer=Soriana" / "category_id=c")
+    assert list((tmp_path / "staging").iterdir()) == []
     merge_batch(spark, path, batch, staging)
     assert seen(scan_consolidated(spark, path)) == after
 
 
+def test_used_staging_folder_takes_the_new_batch(spark, tmp_path, monkeypatch):
+    path, staging = str(tmp_path / "table"), str(tmp_path / "staging")
+    monkeypatch.setattr(consolidated, "_remove", lambda *_: None)
+    merge_batch(spark, path, frame(spark, observation("c", "1", "viejo")), staging)
+    merge_batch(spark, path, frame(spark, observation("c", "2", "nuevo")), staging)
+    assert {r["product"] for r in scan_consolidated(spark, path).collect()} == {"nuevo"}
+
+
+def test_files_of_other_slices_stay(spark, tmp_path):
+    path = tmp_path / "table"
+    slices = [observation("c", str(k), store_id=str(k)) for k in range(12)]
+    merge_batch(spark, str(path), frame(spark, *slices))
+    before = {f.relative_to(path) for f in path.rglob("part-*")}
+    merge_batch(spark, str(path), frame(spark, observation("c", "99", store_id="3")))
+    after = {f.relative_to(path) for f in path.rglob("part-*")}
+    assert len({f.parent for f in before - after}) == 1 and len(before & after) >= 1
+    assert scan_consolidated(spark, str(path)).count() == 12
+
+
+def test_runs_arrive_in_parts(spark, tmp_path):
+    path = str(tmp_path / "table")
+    for sku, run in (("a", 2), ("b", 2), ("old", 1), ("a", 2)):
+        merge_batch(spark, path, frame(spark, observation("c", sku, run_id=run), observation("d" + sku, sku, run_id=run)), by_run=True)
+    assert sorted(r["sku"] for r in scan_consolidated(spark, path).where("category_id = 'c'").collect()) == ["a", "b"]
+    merge_batch(spark, path, frame(spark, observation("c", "n", run_id=3), observation("c", "x", run_id=2)), by_run=True)
+    assert [r["sku"] for r in scan_consolidated(spark, path).where("category_id = 'c'").collect()] == ["n"]
+
+
 def test_scan_absent_and_broken_table(spark, tmp_path):
     assert scan_consolidated(spark, str(tmp_path / "none")).count() == 0
     broken = tmp_path / "broken"

@@ -8,10 +8,9 @@ from anaquel import registry as R
 from anaquel.operators import dedup as D
 from anaquel.operators import listing_html as H
 from anaquel.operators import payloads as Q
-from anaquel.operators.slices import union_retailers
 from anaquel.operators.aggregates import slice_summary
 from anaquel.plans.category_batch import category_batch
-from anaquel.plans.extract import observations_from_pages, observations_from_payloads
+from anaquel.plans.extract import cards_of_all, observations_from_pages, observations_from_payloads
 from anaquel.schema import CAPTURE
 from anaquel.session import materialise, work_dir
 from anaquel.sources.captures import conform
@@ -90,7 +89,7 @@ def expected_cards(retailers: list[str] | None = None) -> str:
 
 def all_cards(spark, sf):
     pages = V.captures(spark, sf)
-    return union_retailers([H.extract_cards(pages, r, PAGE) for r in H.CARD_RULES])
+    return cards_of_all(pages, PAGE)
 
 
 CARD_COLUMNS = ["page_id", "retailer_id", "href", "product", "text", "selling", "regular", "price_texts", "promo_texts", "data_pid"]
@@ -125,7 +124,7 @@ def dedup_in_page(spark, sf):
 )
 def top_pickup_links(spark, sf):
     cards = H.extract_cards(V.captures(spark, sf), "walmart", PAGE)
-    return H.top_pickup_links(cards, ["page_id"]).select("page_id", "href", "rank")
+    return H.top_pickup_links(cards, ["page_id"], 5).select("page_id", "href", "rank")
 
 
 # Product pages of the retailer whose rows come from them: one per part.
@@ -188,7 +187,8 @@ def category_run(spark, sf):
     pages = with_part_pages(spark, sf).withColumns({"category_id": F.expr(CATEGORY), "location_id": F.expr(PLACE)})
     rows = materialise(observations_from_pages(pages, ["page_id", "category_id", "location_id"]), "observations")
     table = work_dir(spark, "category-run")
-    merge_batch(spark, table, category_batch(rows, dim_category(spark), dim_location(spark)))
+    batch, _ = category_batch(rows, dim_category(spark), dim_location(spark))
+    merge_batch(spark, table, batch)
     return slice_summary(scan_consolidated(spark, table))
 
 
@@ -196,7 +196,8 @@ def category_run(spark, sf):
 @query(
     "displayed_total",
     f"with {V.TEXTS_CTE} select doc_id, "
-    r"list_max([try_cast(x as int) for x in regexp_extract_all(body_text, '(?i)\(?\b(\d{1,5})\s+productos?\b\)?', 1)]) as largest, "
+    r"list_max([try_cast(regexp_replace(x, '[,.]', '', 'g') as int) for x in "
+    r"regexp_extract_all(body_text, '(?i)\(?\b(\d+(?:[,.]\d{3})*)\s+productos?\b\)?', 1)]) as largest, "
     r"try_cast(replace(nullif(regexp_extract(body_text, '(?i)\b([\d,]+)\s+Productos\b', 1), ''), ',', '') as int) as first_shown from texts",
 )
 def displayed_total(spark, sf):

@@ -308,10 +308,10 @@ def range_requests(spark, sf):
     return W.browse_ranges(V.totals(spark, sf), R.RANGE_ROWS)
 
 
-@query("page_limit_unset", f"with {V.PAGES_CTE} select slice, page, event_id from page_events where page <= {R.PAGE_CAP}")
+@query("page_limit_unset", f"with {V.PAGES_CTE} select slice, page, event_id from page_events")
 def page_limit_unset(spark, sf):
-    """A limit of zero stands for the usual cap."""
-    return page_limit(V.page_events(spark, sf), 0, R.PAGE_CAP, "page").select("slice", "page", "event_id")
+    """A limit of zero stands for all pages."""
+    return page_limit(V.page_events(spark, sf), 0, "page").select("slice", "page", "event_id")
 
 
 @query(

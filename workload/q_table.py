@@ -204,17 +204,16 @@ def known_sku_filter(spark, sf):
 
 @query(
     "detail_or_card",
-    f"with {V.LISTING_CTE}, k as (select *, retailer || '/' || category_id || '/' || page_number || '/' || store_id as s from listing "
-    "where store_id is not null), "
+    f"with {V.LISTING_CTE}, k as (select *, retailer || '/' || category_id || '/' || page_number || '/' || coalesce(store_id, '-') as s "
+    "from listing), "
     "listed as (select distinct s from k where url is not null and price_current > 50000) "
     "select s, sku, 'detail' as source from k where url is not null and price_current > 50000 "
     "union all select s, sku, 'card' from k where not (url is not null and coalesce(price_current, 0) > 50000) "
     "and s not in (select s from listed)",
 )
 def detail_or_card(spark, sf):
-    rows = V.listing(spark, sf).where("store_id is not null").withColumn(
-        "s", F.concat_ws("/", "retailer", "category_id", "page_number", "store_id")
-    )
+    store = F.coalesce("store_id", F.lit("-"))
+    rows = V.listing(spark, sf).withColumn("s", F.concat_ws("/", "retailer", "category_id", "page_number", store))
     is_detail = F.col("url").isNotNull() & (F.coalesce("price_current", F.lit(0)) > 50000)
     details = rows.where(is_detail).select("s", "sku", F.lit("detail").alias("source"))
     other = rows.where(~is_detail).select("s", "sku", F.lit("card").alias("source"))
@@ -426,7 +425,7 @@ def consolidated_table(spark, sf):
     "store_context_verified desc nulls last, price_raw desc nulls last) = 1",
 )
 def category_batch_query(spark, sf):
-    batch = category_batch(V.listing(spark, sf), dim_category(spark), dim_location(spark))
+    batch, _ = category_batch(V.listing(spark, sf), dim_category(spark), dim_location(spark))
     return edge(
         batch.select(
             "retailer", "department", "category", "subcategory", "category_id", "city", "postal_code", "store",
@@ -435,6 +434,22 @@ def category_batch_query(spark, sf):
     )
 
 
+@query(
+    "category_batch_rejects",
+    f"with {V.LISTING_CTE}, {V.dim_cte('dim_category')}, {V.dim_cte('dim_location')}, "
+    f"marked as (select *, {reason_sql()} as missing from listing), "
+    "judged as (select l.*, coalesce(l.missing, case when d.category_id is null then 'unknown category' "
+    "when o.location_id is null then 'unknown location' end) as reject_reason from marked l "
+    "left join dim_category d on l.retailer_id = d.retailer_id and l.category_id = d.category_id "
+    "left join dim_location o on l.location_id = o.location_id) "
+    "select retailer_id, category_id, location_id, reject_reason, count(*) as rows from judged where reject_reason is not null group by all",
+)
+def category_batch_rejects(spark, sf):
+    """What a batch leaves out, by reason and key."""
+    _, rejected = category_batch(V.listing(spark, sf), dim_category(spark), dim_location(spark))
+    return rejected.groupBy("retailer_id", "category_id", "location_id", "reject_reason").agg(F.count("*").alias("rows"))
+
+
 SUMMARY_TYPES = T.StructType(
     [T.StructField(c, T.StringType()) for c in SUMMARY_KEY]
     + [T.StructField(c, T.LongType()) for c in ("products", "sku_complete", "price_complete", "url_complete")]
