@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anaquel import registry as R
@@ -16,6 +16,8 @@ from anaquel.functions.urls import absolute_url, sku_detail
 from anaquel.operators.prices import resolve_prices
 from anaquel.operators.shape import CARD_LENGTH, product_link
 
+# Fixed value: wording that marks a pickup offer near a link.
+PICKUP_WORDS = r"(?i)pickup|recoge|recoger|recogida"
 LONGEST = 2**31 - 1  # where a rule has no upper bound
 
 ANCHOR = r"(?is)(<a\b[^>]*>.*?</a>)"
@@ -45,17 +47,6 @@ def count_product_links(captures: DataFrame, keys: list[str]) -> DataFrame:
     return captures.select(*keys, F.size(linked).alias("product_links"))
 
 
-def top_pickup_links(cards: DataFrame, page: list[str], limit: int) -> DataFrame:
-    """First distinct product links per page whose card mentions pickup."""
-    first = (
-        cards.where(F.col("text").rlike(r"(?i)pickup|recoge|recoger|recogida"))
-        .groupBy(*page, "href")
-        .agg(F.min("position").alias("position"))
-    )
-    window = Window.partitionBy(*page).orderBy("position", "href")
-    return first.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= limit)
-
-
 def displayed_max(text: Column) -> Column:
     shown = all_matches(text, R.PRODUCTS_SHOWN)
     return F.array_max(F.transform(shown, lambda m: F.regexp_replace(m, "[,.]", "").try_cast("int")))
@@ -493,6 +484,24 @@ def extract_cards(captures: DataFrame, retailer_id: str, keys: list[str]) -> Dat
     return cards_in_nodes(html_nodes(captures.where(F.col("retailer_id") == retailer_id), keys), retailer_id, keys)
 
 
+def pickup_links(captures: DataFrame, keys: list[str], limit: int | None = None) -> DataFrame:
+    """Distinct product links of each page near pickup wording, in page order; the first ``limit`` if given.
+
+    From a link upwards, the link itself included, up to eight nodes are looked at for the wording.
+    """
+    nodes = html_nodes(captures, keys)
+
+    def near(worded: Column) -> Column:
+        above = lambda n: F.exists(F.slice(n["up"], 1, 8), lambda p: F.get(worded, p))
+        return F.filter("nodes", lambda n: _is_link(n) & F.contains(attribute(n, "href"), F.lit("/ip/")) & above(n))
+
+    worded = F.transform("nodes", lambda n: flat_text(n).rlike(PICKUP_WORDS))
+    hrefs = F.array_distinct(F.transform(bound(worded, near), lambda n: n["attrs"]["href"]))
+    if limit is not None:
+        hrefs = F.slice(hrefs, 1, limit)
+    return nodes.select(*keys, F.posexplode(hrefs).alias("_at", "href")).select(*keys, "href", (F.col("_at") + 1).alias("rank"))
+
+
 def product_details(captures: DataFrame, keys: list[str]) -> DataFrame:
     """Detail pages to raw product fields: structured data first, then markup, then text."""
     marked = captures.withColumn("_ld", json_ld_product(F.col("html")))

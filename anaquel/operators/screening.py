@@ -68,12 +68,17 @@ def _test(proof, retailer: R.Retailer, place: list[Column]) -> Callable[[Column]
     return lambda text: proof(retailer, text, *place)
 
 
-def verify_stores(captures: DataFrame) -> DataFrame:
+# What a page shows by itself; the other steps are taken once, to establish a session.
+DIRECT = ("body_text", "state_blob")
+
+
+def verify_stores(captures: DataFrame, direct_only: Column | None = None) -> DataFrame:
     """Adds the verification flag and its method: the tag of the first proof that holds.
 
     ``captures`` carries the configured store, postal code and store id. Retailers without stores
-    are never verified.
+    are never verified. Where ``direct_only`` holds, only what the page itself shows is proof.
     """
+    indirect = F.lit(True) if direct_only is None else ~F.coalesce(direct_only, F.lit(False))
     sources = [c for c in dict.fromkeys(s for steps in STEPS.values() for s, _, _ in steps) if c in captures.columns]
     folded = captures.withColumns(
         {f"_{c}": _per_retailer(lambda r, c=c: C.fold_for(r, F.col(c)), WITH_STORES) for c in sources}
@@ -82,7 +87,7 @@ def verify_stores(captures: DataFrame) -> DataFrame:
 
     def method(r) -> Column:
         found = [
-            F.when(_bound(f"_{source}", _test(proof, r, place)), F.lit(tag))
+            F.when((F.lit(source in DIRECT) | indirect) & _bound(f"_{source}", _test(proof, r, place)), F.lit(tag))
             for source, proof, tag in STEPS[r.retailer_id]
             if source in sources
         ]

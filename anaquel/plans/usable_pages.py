@@ -16,11 +16,12 @@ SESSION = ["retailer_id", "category_id", "location_id", "run_id"]
 def screened_pages(captures: DataFrame, dim_location: DataFrame) -> DataFrame:
     """Adds blocked, outcome, the page's own store evidence, and what its session proved.
 
-    A session's first page must prove the store. First pages are few, so they are written and, after
+    A session's first page must prove the store, by any step; later pages only count what they show themselves. First pages are few, so they are written and, after
     a count, broadcast: pages with their markup are not shuffled.
     """
     place = dim_location.select("location_id", "store", "postal_code", "store_id")
-    flagged = verify_stores(classify_outcomes(classify_blocks(captures.join(place, "location_id"))))
+    screened = classify_outcomes(classify_blocks(captures.join(place, "location_id")))
+    flagged = verify_stores(screened, direct_only=F.col("page_number") > 1)
     pages = flagged.drop("store", "postal_code", "store_id", "store_context_verified").withColumnsRenamed(
         {"store_context_method": "direct_method", "page_number": "page", "status": "http_status"}
     )

@@ -19,12 +19,16 @@ SETTINGS = {
 }
 
 
-def build_session(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
+def build_session(
+    master: str | None = None, shuffle_partitions: int | None = None, work_folder: str | None = None
+) -> SparkSession:
     builder = SparkSession.builder.appName("anaquel")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
+    if work_folder:
+        builder = builder.config("spark.checkpoint.dir", work_folder)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()
@@ -33,12 +37,12 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables and stream state.
 
-    It lies under ``spark.checkpoint.dir``, which a cluster points at shared storage. Only a
-    local session without that setting falls back to a temporary folder.
+    It lies under ``spark.checkpoint.dir``, which names storage that all executors share. Only a session of one
+    process (a local master) without that setting gets a temporary folder; elsewhere its absence is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="anaquel-")
         spark.conf.set("spark.checkpoint.dir", base)
@@ -60,4 +64,4 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
 
     Beyond the limit the frame is returned as it is and the join shuffles.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if df.count() <= max_rows else df

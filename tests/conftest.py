@@ -1,10 +1,12 @@
+import tempfile
+
 import pytest
 
 from anaquel.session import build_session
 
 
 # Column expressions in parameter lists need a running session when tests are collected.
-SESSION = build_session("local[8]", 8)
+SESSION = build_session("local[8]", 8, tempfile.mkdtemp(prefix="anaquel-tests-"))
 SESSION.sparkContext.setLogLevel("ERROR")
 
 

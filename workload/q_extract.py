@@ -123,8 +123,99 @@ def dedup_in_page(spark, sf):
     "select page_id, href, cast(row_number() over (partition by page_id order by k) as int) as rank from p",
 )
 def top_pickup_links(spark, sf):
-    cards = H.extract_cards(V.captures(spark, sf), "walmart", PAGE)
-    return H.top_pickup_links(cards, ["page_id"], 5).select("page_id", "href", "rank")
+    # The cards stand before the page's own markup, which may leave elements open around what follows it.
+    cards = " || ".join(V._card_html(k) for k in (1, 2, 3, 1))
+    pages = V.spread(V.table(spark, sf, "pages")).where(f"{V.PAGE_RETAILER} = 'walmart'").selectExpr("page_id", f"{cards} || html as html")
+    return H.pickup_links(pages, ["page_id"], 5).select("page_id", "href", "rank")
+
+
+# Wording outside the card: beside it or far above, in reach of eight nodes or not.
+WORDED_HTML = (
+    "'<section><p>' || case when page_id % 4 = 1 then 'Envío' else 'Recoge hoy' end || '</p>' || "
+    "repeat('<div>', case page_id % 4 when 2 then 6 when 3 then 5 else 1 end) || '<div class=\"card\"><a href=\"/ip/s/' || page_id || "
+    "'\">P</a><b>$10.00</b></div>' || repeat('</div>', case page_id % 4 when 2 then 6 when 3 then 5 else 1 end) || '</section>' || html"
+)
+
+
+@query(
+    "pickup_links_climb",
+    "select page_id, '/ip/s/' || page_id as href, cast(1 as int) as rank from pages where page_id % 4 in (0, 3)",
+)
+def pickup_links_climb(spark, sf):
+    """All links, the wording standing outside the card with the price."""
+    pages = V.spread(V.table(spark, sf, "pages")).selectExpr("page_id", f"{WORDED_HTML} as html")
+    return H.pickup_links(pages, ["page_id"])
+
+
+# Pages far larger than the tables hold: fifty cards each, by the rule that climbs most.
+MANY = 50
+MANY_HTML = (
+    "'<main><div><section>' || array_join(transform(sequence(1, {n}), k -> '<div class=\"card\"><a href=\"/x-' || (100000 + page_id * 100 + k) || "
+    "'.html\" title=\"Producto ' || k || '\"><i></i></a><p>Antes $' || (k + 20) || '.00</p><p>$' || (k + 10) || "
+    "'.50</p><button>Agregar</button></div>'), '') || '</section></div></main>'"
+).format(n=MANY)
+
+
+@query(
+    "extract_large_pages",
+    f"select page_id, '/x-' || (100000 + page_id * 100 + k) || '.html' as href, 'Producto ' || k as product, "
+    "'Antes $' || (k + 20) || '.00' || chr(10) || '$' || (k + 10) || '.50' || chr(10) || 'Agregar' as text "
+    f"from pages, unnest(generate_series(1, {MANY})) as t(k)",
+)
+def extract_large_pages(spark, sf):
+    pages = V.spread(V.table(spark, sf, "pages")).selectExpr("page_id", "'farmacias-guadalajara' as retailer_id", f"{MANY_HTML} as html")
+    return H.extract_cards(pages, "farmacias-guadalajara", PAGE).select("page_id", "href", "product", "text")
+
+
+# One page per product across each bound that a rule once had.
+DEEP_HTML = (
+    "'<div class=\"product-tile js-product-card\" data-pid=\"P' || page_id || '\"><div class=\"pdp-link\">' || repeat('<div>', 30) || "
+    "'<a href=\"/d/' || page_id || '.html\">Producto</a>' || repeat('</div>', 30) || '</div><span class=\"sales\">$10.00</span></div>'"
+)
+
+
+@query("deep_tile_links", "select page_id, '/d/' || page_id || '.html' as href, 'Producto' as product from pages")
+def deep_tile_links(spark, sf):
+    pages = V.spread(V.table(spark, sf, "pages")).selectExpr("page_id", "'soriana' as retailer_id", f"{DEEP_HTML} as html")
+    return H.extract_cards(pages, "soriana", PAGE).select("page_id", "href", "product")
+
+
+@query(
+    "twin_cards",
+    "select page_id, repeat('igual ', 40) || k as text from pages, unnest(generate_series(1, 2)) as t(k)",
+)
+def twin_cards(spark, sf):
+    """Two cards without link and code that agree in their first 240 characters are two."""
+    pages = V.table(spark, sf, "pages").selectExpr("page_id", "explode(sequence(1, 2)) as k")
+    cards = pages.selectExpr(
+        "page_id", "k as position", "cast(null as string) as href", "cast(null as string) as code", "repeat('igual ', 40) || k as text"
+    )
+    return D.dedup_in_page(cards, ["page_id"]).select("page_id", "text")
+
+
+OLD_HTML = (
+    "'<html><h1>Producto</h1><h3 class=\"priceTotal\">$10.00</h3>' || array_join(transform(sequence(1, 15), "
+    "k -> '<del>$' || (20 + k) || '.00</del>'), '') || '<i>' || page_id || '</i></html>'"
+)
+
+
+@query("many_old_prices", "select page_id, 10.0::double as price_current, 35.0::double as price_regular from pages")
+def many_old_prices(spark, sf):
+    """The largest of fifteen old prices, the last one, is the regular price."""
+    pages = V.spread(V.table(spark, sf, "pages")).selectExpr("page_id", "url", f"{OLD_HTML} as html")
+    return edge(H.product_details(pages, ["page_id", "url"]).select("page_id", "price_current", "price_regular"))
+
+
+@query(
+    "long_component_key",
+    "select page_id, cast(page_id as varchar) as category_key from pages",
+)
+def long_component_key(spark, sf):
+    """The key of a component that is longer than 12,000 characters, before another category's key."""
+    component = "Infinite_EmpathySearch/js/view/search-list-component"
+    html = f"'{{\"component\":\"{component}\",\"x\":\"' || repeat('z', 13000) || '\",\"categoryId\":\"' || page_id || '\"}} \"categoryId\":9'"
+    pages = V.table(spark, sf, "pages").selectExpr("page_id", f"{html} as html")
+    return pages.select("page_id", H.category_key(F.col("html")).alias("category_key"))
 
 
 # Product pages of the retailer whose rows come from them: one per part.
