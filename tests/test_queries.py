@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.compare import check, duck
+from workload import catalogue
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalogue.QUERIES, catalogue.SQL
 
 
 @pytest.fixture(scope="module")
