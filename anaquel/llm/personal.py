@@ -3,7 +3,7 @@
 Base rules find spans by pattern and check; a character-level bidirectional LSTM with CRF transitions adds
 spans that are written in other ways. It is trained in numpy, on the driver, from labelled spans: those that
 the base rules find in a bounded sample of the documents (``Settings.sample`` of those with a digit or @, the
-first by a hash of their id, whole texts), and rewritten forms of them. Every kind holds a digit or an @, so
+first by a hash of id and text, whole texts), and rewritten forms of them. Every kind holds a digit or an @, so
 the stretches around these characters are decoded, all of them, in whole texts; long stretches are cut into
 overlapping windows. Where windows overlap, each character takes the label from the window in whose
 middle it lies deepest; spans are read off the united labels. A span that overlaps a base span, or fails its
@@ -353,8 +353,10 @@ def train(texts: list[str], s: Settings = Settings()) -> Tagger | None:
 
 
 def fit(docs: DataFrame, s: Settings = Settings()) -> Tagger | None:
-    able = docs.select("doc_id", "text").where(F.col("text").rlike("[0-9@]"))
-    rows = able.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(s.sample).toPandas()
+    able = docs.where(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("doc_id", "text").alias("draw"))
+    # The sample is drawn from hashes alone, then its texts are read; equal rows count once.
+    chosen = able.select("draw").distinct().orderBy("draw").limit(s.sample)
+    rows = able.join(F.broadcast(chosen), "draw").groupBy("draw").agg(F.min("text").alias("text")).toPandas()
     return train(sorted(rows["text"]), s)
 
 

@@ -8,7 +8,7 @@ of their id, whole texts. Scoring runs on all rows, whole texts, in the tasks; t
 score is one number, made once per distinct word of a batch, so a document costs one sum over its words.
 
 Null texts count as empty. A text without words has the mean zero, so its score is the bias alone. Labels
-that are null are no labels; a document with several label rows trains by each of them; null ids match no
+that are null are no labels; a document with contradicting labels trains by each of them; null ids match no
 labels. Without labels of both classes the score is the share of label 1 (0.5 if there are none). Other
 columns are kept; a column of the written name is replaced.
 """
@@ -181,9 +181,11 @@ def train(texts: list[str | None], labels: list[int], s: Settings = Settings())
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, s: Settings = Settings()) -> Model:
     """Train on labelled documents where ``usable`` (on ``doc_id``) holds; labels in ``quality``."""
     marked = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & usable).select("doc_id", "quality")
-    # The sample is chosen from ids alone; only its texts are read. Its size bound holds for the driver too.
-    chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(s.sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").toPandas()
+    # The sample is chosen from ids alone; only its texts are read. Rows that share an id give their least text,
+    # so the bound holds for the driver too.
+    chosen = marked.distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(s.sample)
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = rows.groupBy("doc_id", "quality").agg(F.min("text").alias("text")).toPandas()
     rows = rows.sort_values(["doc_id", "quality", "text"], na_position="first")
     return train(rows["text"].tolist(), rows["quality"].astype(int).tolist(), s)
 
