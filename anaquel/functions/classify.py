@@ -82,7 +82,7 @@ def reported_products(log_text: Column) -> Column:
 def _near(text: Column, name: Column, hints: tuple[str, ...], reach: int) -> Column:
     """A hint and the name within ``reach`` characters of each other, in either order."""
     words = "|".join(hints)
-    quoted = F.concat(F.lit(r"\Q"), name, F.lit(r"\E"))
+    quoted = F.concat(F.lit(r"\Q"), F.replace(name, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
     either = F.concat(
         F.lit(f"(?s)(?:{words}).{{0,{reach}}}"), quoted, F.lit("|"), quoted, F.lit(f".{{0,{reach}}}(?:{words})")
     )

@@ -13,7 +13,7 @@ from anaquel.operators import slices as J
 from anaquel.plans.category_batch import category_batch
 from anaquel.plans.consolidate import consolidate
 from anaquel.schema import OBSERVATION_COLUMNS, SLICE, SUMMARY_KEY
-from anaquel.session import work_dir
+from anaquel.session import materialise, work_dir
 from anaquel.sources.captures import read_summary_csv, write_summary_csv
 from anaquel.sources.consolidated import merge_batch, scan_consolidated, write_consolidated
 from anaquel.sources.dims import dim_category, dim_location
@@ -182,9 +182,9 @@ def append_batch(spark, sf):
     "from listing",
 )
 def union_retailers(spark, sf):
-    rows = V.listing(spark, sf)
+    rows = materialise(V.listing(spark, sf).select(*RESULT, "page_number"), "listing", ("retailer",))
     names = [r.display_name for r in R.RETAILERS]
-    parts = [rows.where(F.col("retailer") == n).select(*RESULT, "page_number") for n in names]
+    parts = [rows.where(F.col("retailer") == n) for n in names]
     parts[0] = parts[0].drop("store", "store_id")
     return edge(
         J.union_retailers(parts).select("retailer", "category_id", "page_number", "sku", "price_current")
