@@ -28,7 +28,8 @@ from anaquel.llm.common import with_arrow_column
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample`` bounds the training documents; the rest shapes the model."""
+    """``sample`` bounds the training documents; the rest shapes the model. Few documents are passed over more
+    often than ``epochs``, until there were ``updates`` steps."""
 
     sample: int = 3_000
     buckets: int = 1 << 17
@@ -36,6 +37,7 @@ class Settings:
     shortest: int = 2
     longest: int = 4
     epochs: int = 6
+    updates: int = 600
     batch: int = 32
     rate: float = 0.5
     seed: int = 7
@@ -155,8 +157,10 @@ def train(texts: list[str | None], labels: list[int], s: Settings = Settings())
     outward = rng.uniform(-1, 1, (s.size, 2)).astype(np.float32)
     bias = np.array([np.log(1 - share), np.log(share)], np.float32)
     target = np.stack([1 - y, y], axis=1)
-    steps, step = s.epochs * -(-len(y) // s.batch), 0
-    for _ in range(s.epochs):
+    batches, step = -(-len(y) // s.batch), 0
+    epochs = max(s.epochs, -(-s.updates // batches))
+    steps = epochs * batches
+    for _ in range(epochs):
         order = rng.permutation(len(y))
         for begin in range(0, len(y), s.batch):
             rows = order[begin : begin + s.batch]

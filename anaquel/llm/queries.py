@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -138,3 +139,8 @@ def op5_url_rules(spark, sf_dir):
 @query("op8_shards")
 def op8_shards(spark, sf_dir):
     return sharding.assign(table(spark, sf_dir, "documents"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -1,10 +1,17 @@
 """The registered queries: those with SQL against it, all of them for their columns and row counts."""
 
+import re
+
+import public_tokenizers
 import pytest
+import tiktoken
 
 import corpus_pipeline
-from anaquel.llm import queries
+from anaquel.llm import byte_bpe, personal, queries
+from anaquel.llm.common import WORD
+from anaquel.session import materialise
 from tests.compare import check, duck
+from tests.llm.test_structures import components
 
 SF = "0.001"
 COLUMNS = {
@@ -41,16 +48,46 @@ def test_columns_and_rows(spark, name):
         assert df.count() == spark.read.parquet(f"/root/testdata/sf{SF}/{table}.parquet").count()
 
 
-def test_pipeline_stages(spark):
+def test_pipeline_by_brute_force(spark):
     sf_dir = f"/root/testdata/sf{SF}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    wanted = docs.columns
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    wanted, seen = docs.columns, {}
     for name, stage in corpus_pipeline.STAGES:
-        docs = stage(spark, docs, sf_dir)
-        docs = docs.sparkSession.createDataFrame(docs.toPandas(), docs.schema)
-        assert docs.count() > 0
+        seen[name] = docs.collect()
+        docs = materialise(stage(spark, docs, sf_dir), name)
         if name != "tokens":
             assert docs.columns == wanted
+    # Documents that the model learned from are judged as labelled.
+    kept = {r["doc_id"] for r in seen["near_dedup"]}
+    assert all((r["doc_id"] in kept) == (labels[r["doc_id"]] == 1) for r in seen["quality"] if r["doc_id"] in labels)
+    # One document of each group of near copies, the one with the least id.
+    before = [(r["doc_id"], r["text"]) for r in seen["near_dedup"]]
+    roots, _ = components(before, words=5, percent=80)
+    assert sorted(r["doc_id"] for r in seen["personal_data"]) == sorted(set(roots))
+    # Base spans are gone, and only those texts changed that held some.
+    texts = {r["doc_id"]: r["text"] for r in seen["personal_data"]}
+    for r in seen["mix"]:
+        assert personal.base_spans(r["text"]) == [] and r["n_chars"] == len(r["text"])
+        assert r["text"] == texts[r["doc_id"]] or personal.base_spans(texts[r["doc_id"]])
+    # Each source's words meet its target.
+    count = lambda rows, s: sum(len(re.findall(WORD, r["text"] or "")) for r in rows if r["source"] == s)
+    names = sorted({r["source"] for r in seen["mix"]})
+    sizes, weight = {s: count(seen["mix"], s) for s in names}, {s: 1 + k % 3 for k, s in enumerate(names)}
+    capped = set()
+    while True:
+        level = (sum(sizes.values()) - sum(3 * sizes[s] for s in capped)) / sum(weight[s] for s in names if s not in capped)
+        more = {s for s in names if s not in capped and weight[s] * level > 3 * sizes[s]}
+        if not more:
+            break
+        capped |= more
+    for s in names:
+        assert abs(count(seen["tokens"], s) - (3 * sizes[s] if s in capped else weight[s] * level)) <= 1
+    # The ids are the library's.
+    ranks = byte_bpe.read_ranks(queries.MULTI_RANKS)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = sorted((r["doc_id"], library.encode_ordinary(r["text"])) for r in seen["tokens"])
+    assert sorted((r["doc_id"], list(r["ids"])) for r in docs.collect()) == want
     assert docs.where("n_tokens <> size(ids)").count() == 0
 
 
