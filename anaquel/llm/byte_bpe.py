@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from anaquel.llm.common import with_arrow_column
 
 #: Distinct matches whose ids a Python worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 FREE = 1 << 60
 
 

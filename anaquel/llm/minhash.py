@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from anaquel.llm.common import Memo
+from anaquel.llm.common import Memo, lean
 from anaquel.session import materialise
 
 ROWS = 2
@@ -58,7 +58,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 @lru_cache(maxsize=1)
 def word_hashes() -> Memo:
-    return Memo(xxhash.xxh3_64_intdigest, 300_000)
+    return Memo(xxhash.xxh3_64_intdigest, 100_000)
 
 
 def shingles(text: str | None, words: int) -> np.ndarray:
@@ -111,7 +111,7 @@ def sketched(docs: DataFrame, words: int, sketches: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "digest", "sketch"])
 
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return ids.mapInArrow(run, "doc_id long, n long, digest binary, sketch array<long>")
+    return ids.mapInArrow(lean(run), "doc_id long, n long, digest binary, sketch array<long>")
 
 
 def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -139,7 +139,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Da
             kept = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
 
-    return materialise(both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"), "links")
+    return materialise(both.select("a", "b", "text_a", "text_b").mapInArrow(lean(run), "a long, b long"), "links")
 
 
 def rarest_shingles(docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
@@ -157,7 +157,7 @@ def rarest_shingles(docs: DataFrame, nodes: DataFrame, words: int, percent: int)
                     columns = [pa.array(np.full(len(part), node.as_py())), pa.array(np.full(len(part), len(hashes))), pa.array(part)]
                     yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "shingle"])
 
-    rows = materialise(texts.mapInArrow(run, "node long, n long, shingle long"), "node-shingles")
+    rows = materialise(texts.mapInArrow(lean(run), "node long, n long, shingle long"), "node-shingles")
     holders = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
     shared = rows.join(holders, "shingle")
     order = Window.partitionBy("node").orderBy("holders", "shingle")

@@ -436,21 +436,26 @@ def find(docs: DataFrame, model: Tagger | None, text: str = "text", out: str = "
     return with_arrow_column(docs, [text], out, FOUND, make, FOUND_ARROW)
 
 
-def masked(text: str | None, spans: list[dict] | None) -> str | None:
+def masked(text: str | None, spans: list[tuple[str, int, int, bool]]) -> str | None:
     """The text with each stretch of spans replaced by its first kind in brackets."""
     pieces, at = [], 0
-    for x in sorted(spans or [], key=lambda x: x["start"]):
-        if x["start"] >= at:
-            pieces += [text[at : x["start"]], f"[{x['kind'].upper()}]"]
-        at = max(at, x["end"])
+    for kind, begin, end, _ in spans:
+        if begin >= at:
+            pieces += [text[at:begin], f"[{kind.upper()}]"]
+        at = max(at, end)
     return "".join(pieces) + text[at:] if pieces else text
 
 
-def redact(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
-    """``docs`` with the spans of ``text`` masked."""
+def mask(docs: DataFrame, model: Tagger | None, text: str = "text") -> DataFrame:
+    """``docs`` with all spans of ``text`` masked; null texts stay null."""
     order = docs.columns
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def make(texts: pa.Array, found: pa.Array) -> pa.Array:
-        return pa.array([masked(t.as_py(), s.as_py()) for t, s in zip(texts, found)], pa.string())
+    def make(texts: pa.Array) -> pa.Array:
+        out: list[str | None] = []
+        for at in range(0, len(texts), 500):
+            part = texts.slice(at, 500).to_pylist()
+            out += [masked(t, s) for t, s in zip(part, all_spans([t or "" for t in part], sent.value))]
+        return pa.array(out, pa.string())
 
-    return with_arrow_column(docs, [text, spans], text, "string", make, pa.string()).select(*order)
+    return with_arrow_column(docs, [text], text, "string", make, pa.string()).select(*order)

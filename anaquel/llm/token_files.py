@@ -28,6 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from anaquel.llm.common import lean
 from anaquel.session import materialise, work_dir
 
 END_ID = 0
@@ -147,7 +148,7 @@ def token_ids(docs: DataFrame, path: str) -> DataFrame:
                 ids = encoder(path)(part.column(1))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x + end for x in ids], pa.binary())], names=["doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(run), "doc_id long, ids binary")
 
 
 def id_counts(ids: DataFrame, kind: str) -> DataFrame:
@@ -164,7 +165,7 @@ def id_counts(ids: DataFrame, kind: str) -> DataFrame:
         seen = np.nonzero(total)[0]
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["id", "n"])
 
-    return ids.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return ids.select("ids").mapInArrow(lean(run), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def pack(numbers: np.ndarray) -> tuple[bytes, bytes]:
@@ -259,9 +260,9 @@ def write(docs: DataFrame, path: str, folder: str) -> None:
             yield close()
 
     order = [F.col("doc_id").asc_nulls_first(), F.col("tie")]
-    small = ids.select("doc_id", "ids").mapInArrow(packed, "doc_id long, n long, control binary, data binary")
+    small = ids.select("doc_id", "ids").mapInArrow(lean(packed), "doc_id long, n long, control binary, data binary")
     in_order = small.withColumn("tie", F.xxhash64("control", "data")).repartitionByRange(*order).sortWithinPartitions(*order, "data")
-    written = in_order.select("doc_id", "n", "control", "data").mapInArrow(blocks_of, "shard int, block int, first long, n_ids long, payload binary")
+    written = in_order.select("doc_id", "n", "control", "data").mapInArrow(lean(blocks_of), "shard int, block int, first long, n_ids long, payload binary")
     written.write.option("compression", "none").parquet(f"{folder}/blocks")
 
 
@@ -290,7 +291,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids"])
 
     at = (F.col("offset") + F.col("first")).alias("at")
-    return placed.select(at, "payload").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    return placed.select(at, "payload").mapInArrow(lean(run), "doc_id long, start long, n_tokens long, ids binary")
 
 
 def write_and_read(docs: DataFrame, path: str) -> DataFrame:

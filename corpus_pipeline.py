@@ -50,8 +50,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = personal.find(docs, personal.fit(docs), out="_spans")
-    masked = personal.redact(found, spans="_spans")
+    masked = personal.mask(docs, personal.fit(docs))
     kind = docs.schema["n_chars"].dataType
     return masked.withColumn("n_chars", F.length("text").cast(kind)).select(*docs.columns)
 

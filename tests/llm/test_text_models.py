@@ -196,7 +196,7 @@ def test_personal_data_cases(docs, nothing):
     assert len(rows) == len(texts())
     kinds = [[s["kind"] for s in r["spans"]] for r in rows if r["doc_id"] == 12]
     assert kinds == [["email", "phone"]] * 2
-    masked = {r["text"] for r in personal.redact(found).where("doc_id = 12").collect()}
+    masked = {r["text"] for r in personal.mask(docs, None).where("doc_id = 12").collect()}
     assert masked == {"mail [EMAIL] or [PHONE] now"}
     assert personal.find(nothing, None).count() == 0
     assert personal.fit(nothing) is None
