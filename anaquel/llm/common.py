@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import ctypes
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,8 +22,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers of a session, once: they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="anaquel-")) / "anaquel_package.zip"
+        with zipfile.ZipFile(archive, "w") as package:
+            for source in sorted(root.rglob("*.py")):
+                package.write(source, source.relative_to(root.parent))
+        context.addPyFile(str(archive))
+        _SHIPPED.add(context.applicationId)
+
+
 def lean(run: Callable) -> Callable:
     """A task's function that gives memory back at its end: a worker that waits for its next task holds little."""
+    ship(SparkSession.active())
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:

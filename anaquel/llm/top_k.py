@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from anaquel.llm.common import ship
 from anaquel.session import materialise
 
 CELL = 16_384
@@ -107,6 +108,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 10, scale: int = 1024, k
         at, found, score = search(q, query_ids, x, ids, k)
         return pd.DataFrame({"query_id": query_ids[at], "vec_id": ids[found], "score": score})
 
+    ship(vectors.sparkSession)
     found = dealt.groupBy(*meet).cogroup(asked.groupBy(*meet)).applyInPandas(run, "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
