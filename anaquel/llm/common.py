@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import json
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -95,7 +96,7 @@ def last_at_most(bounds: list[int], value: Column) -> Column:
     if not bounds:
         return F.lit(-1)
     steps = [1 << k for k in reversed(range(len(bounds).bit_length()))]
-    listed = F.array(*[F.lit(int(b)).cast("long") for b in bounds])
+    listed = F.from_json(F.lit(json.dumps([int(b) for b in bounds])), "array<bigint>")  # folded to a constant
     found = F.aggregate(
         F.array(*[F.lit(s) for s in steps]),
         F.lit(0),

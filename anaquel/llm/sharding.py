@@ -18,6 +18,8 @@ besides ``doc_id`` and ``text`` do not matter for the placing and go along in ``
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,15 +43,19 @@ def keys() -> tuple[Column, Column]:
     return F.xxhash64(text_of()), F.xxhash64(F.lit(1), F.col("doc_id").cast("long"))
 
 
-def below(rows: DataFrame, key: str, probes: list[int]) -> list[int]:
-    """Exact bytes of the rows whose key is below each of the sorted probes."""
-    binned = rows.groupBy(last_at_most(probes, F.col(key)).alias("bin")).agg(F.sum("size").alias("held"))
-    held = {r["bin"]: r["held"] for r in binned.collect()}  # at most one row per probe and one more
+def below(rows: DataFrame, key: str, probes: list[int]) -> tuple[list[int], dict[int, tuple[int, int]]]:
+    """Exact bytes of the rows whose key is below each of the sorted probes, and the least and largest key of the
+    rows between a probe and the next, by the probe's index (-1: below all)."""
+    binned = rows.groupBy(last_at_most(probes, F.col(key)).alias("bin")).agg(
+        F.sum("size").alias("held"), F.min(key).alias("least"), F.max(key).alias("most")
+    )
+    found = binned.collect()  # at most one row per probe and one more
+    held = {r["bin"]: r["held"] for r in found}
     sums, total = [], 0
     for k in range(len(probes)):
         total += held.get(k - 1, 0)
         sums.append(total)
-    return sums
+    return sums, {r["bin"]: (r["least"], r["most"]) for r in found}
 
 
 def search(rows: DataFrame, key: str, goals: list[int], total: int, tolerance: float) -> list[tuple[int, int, int | None]]:
@@ -65,7 +71,7 @@ def search(rows: DataFrame, key: str, goals: list[int], total: int, tolerance: f
                 n = PROBES * (len(goals) if (low, high) == (LOWEST, HIGHEST + 1) else 1)
                 wanted |= {low + (high - low) * i // (n + 1) for i in range(1, n + 1)} - {low, high, HIGHEST + 1}
         probes = sorted(wanted)
-        sums = below(rows, key, probes) if probes else []
+        sums, spans = below(rows, key, probes) if probes else ([], {})
         known = list(zip(probes, sums))
         for k, goal in enumerate(goals):
             if found[k] is not None:
@@ -76,6 +82,9 @@ def search(rows: DataFrame, key: str, goals: list[int], total: int, tolerance: f
                     low, low_sum, high, high_sum = (probe, held, high, high_sum) if held <= goal else (low, low_sum, probe, held)
                     if held > goal:
                         break
+            # The bounds close in on the keys that are there, so a lone heavy text is found at once.
+            if span := spans.get(bisect_right(probes, low) - 1):
+                low, high = max(low, span[0]), min(high, span[1] + 1)
             bounds[k] = (low, low_sum, high, high_sum)
             near = min([(low, low_sum), (high, high_sum)], key=lambda b: abs(b[1] - goal))
             if abs(near[1] - goal) <= tolerance or low_sum == high_sum:
