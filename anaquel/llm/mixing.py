@@ -29,6 +29,8 @@ from anaquel.llm.common import WORD
 from anaquel.session import materialise
 
 BLOCK = 4_000
+#: The column that holds a row's id in a table of ``numbered``.
+ROW = "_mix_row"
 BEFORE = (Window.unboundedPreceding, -1)
 
 
@@ -36,6 +38,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def measured() -> list[Column]:
+    return [F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size")]
+
+
 def ranked_sources(sources: DataFrame) -> DataFrame:
     """``sources`` plus ``place``, the position in the order of code points, nulls last.
 
@@ -77,13 +83,18 @@ def with_targets(sources: DataFrame, weights: tuple[int, ...], most: int) -> Dat
     return rows.withColumn("target", F.when(capped, top.cast("double")).otherwise(lifted)).select("source", "source_size", "target")
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` plus ``ROW``, an id per row. They are written together, as a second scan may be split otherwise."""
+    return materialise(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered-documents")
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 5) -> DataFrame:
-    """A row per document and repeat that is sent: ``row`` (an id per input row), ``doc_id``, ``source``,
+    """A row per document and repeat that is sent: ``row`` (``ROW``, or else an id given here), ``doc_id``, ``source``,
     ``size``, ``source_size``, ``target``, ``repeat`` from 0, ``start`` and ``finish`` (virtual times),
     ``words`` sent. Documents that are not sent have one row with no repeat and 0 words.
     """
-    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
-    sized = sized.withColumn("row", F.monotonically_increasing_id())
+    row = F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
+    sized = docs.select(*measured(), row.alias("row"))
     rows = materialise(sized.withColumn("draw", F.xxhash64(F.lit(seed), "doc_id", "source")), "sizes")
     sources = materialise(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("documents")), "sources")
     targets = with_targets(sources.select("source", "source_size"), weights, most)
@@ -130,12 +141,20 @@ def in_order(mixed: DataFrame) -> DataFrame:
 
 def send(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The documents as the mix sends them: ``docs`` with a row per copy, the text of one that is cut ending
-    behind its last word. ``docs`` must be the table that was mixed, as rows are matched by their place in it.
+    behind its last word. ``docs`` is the table of ``numbered`` that was mixed; without ``ROW`` its rows are
+    matched by their place, and it is an error if they are at other places than when they were mixed.
     """
-    copies = mixed.where("words > 0").select(F.col("row").alias("_row"), F.col("words").alias("_words"), F.col("size").alias("_size"))
-    rows = docs.withColumn("_row", F.monotonically_increasing_id()).join(copies, "_row")
+    columns = [c for c in docs.columns if c != ROW]
+    if ROW not in docs.columns:
+        docs = numbered(docs)
+        here = docs.select(F.col(ROW).alias("row"), *measured())
+        there = mixed.select(*here.columns)
+        if not (here.subtract(there).isEmpty() and there.subtract(here).isEmpty()):
+            raise ValueError("the documents are not at the places at which they were mixed; mix and send a table of numbered()")
+    copies = mixed.where("words > 0").select(F.col("row").alias(ROW), F.col("words").alias("_words"), F.col("size").alias("_size"))
+    rows = docs.join(copies, ROW)
     # A cut text is split once more behind its last word; the rest is dropped.
     first = F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
     cut = F.concat_ws("", F.slice(first, 1, F.col("_words").cast("int")))
     text = F.when(F.col("_words") < F.col("_size"), cut).otherwise(F.col("text"))
-    return rows.withColumn("text", text).select(*docs.columns)
+    return rows.withColumn("text", text).select(*columns)

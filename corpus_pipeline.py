@@ -56,7 +56,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    sent = mixing.send(docs, mixing.mix(docs))
+    rows = mixing.numbered(docs)
+    sent = mixing.send(rows, mixing.mix(rows))
     kind = docs.schema["n_chars"].dataType
     return sent.withColumn("n_chars", F.length("text").cast(kind)).select(*docs.columns)
 

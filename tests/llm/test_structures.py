@@ -5,8 +5,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from anaquel.llm import minhash, mixing, sharding, spotsigs, top_k, url_rules
 from anaquel.llm.common import last_at_most
+from anaquel.session import materialise
 from tests.llm.conftest import BASE, texts
 
 
@@ -80,6 +82,43 @@ def test_mix_sends_texts(docs, nothing):
     assert mixing.in_order(mixing.mix(docs)).count() > 0
 
 
+def test_mix_survives_other_splits(spark, tmp_path, monkeypatch):
+    """The files are split otherwise between the first scan and the last, as when executors come or go."""
+    path = f"file://{tmp_path}/docs"
+    rows = [(k, f"s{k % 2}", "w " * (1 + k * 37 % 50) + str(k), "l", 0) for k in range(300)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string, lang string, n_chars long").repartition(6).write.parquet(path)
+    split, mix = "spark.sql.files.maxPartitionBytes", mixing.mix
+    before = spark.conf.get(split)
+
+    def mixed_then_split(docs):
+        found = materialise(mix(docs), "mixed")
+        spark.conf.set(split, "1k")
+        return found
+
+    def scanned():
+        return spark.read.parquet(path)
+
+    try:
+        spark.conf.set(split, "1g")
+        want = {r["doc_id"]: r["taken"] for r in mixing.taken(mix(mixing.numbered(scanned()))).collect()}
+        monkeypatch.setattr(mixing, "mix", mixed_then_split)
+        sent = corpus_pipeline.mix_sources(spark, scanned(), "").collect()
+        got = dict.fromkeys(want, 0)
+        for r in sent:
+            got[r["doc_id"]] += len(r["text"].split())
+        assert sum(got.values()) == sum(want.values())
+        texts = {k: (s, len(t.split())) for k, s, t, _, _ in rows}
+        assert all(got[k] <= 3 * n for k, (_, n) in texts.items())
+        for s in ("s0", "s1"):
+            assert sum(n for k, n in got.items() if texts[k][0] == s) == sum(n for k, n in want.items() if texts[k][0] == s)
+        spark.conf.set(split, "1g")
+        plain = mixed_then_split(scanned())
+        with pytest.raises(ValueError, match="places"):
+            mixing.send(scanned(), plain)
+    finally:
+        spark.conf.set(split, before)
+
+
 def host_path(url):
     if url is None or "://" not in url:
         return "", ""
