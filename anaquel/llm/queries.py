@@ -63,7 +63,7 @@ def op2_byte_bpe(spark, sf_dir):
 
 @query("op6_token_files")
 def op6_token_files(spark, sf_dir):
-    rows = token_files.write_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    rows = token_files.write_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), names=True)
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 

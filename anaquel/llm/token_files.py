@@ -11,12 +11,14 @@ store that Spark reaches will do. Beside the blocks lies the table of ids by ran
 
 Documents stand in ascending ``doc_id`` order, nulls first, equal ids by their tokens. Null texts count as
 empty and hold the end id only. Repeated rows are all written. An empty table gives no files and no rows.
-Columns besides ``doc_id`` and ``text`` are not stored.
+Columns besides ``doc_id`` and ``text`` are not stored. Names of special tokens in a text are ordinary text, or by
+``names`` the tokens, as in the library's plain call.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
@@ -41,13 +43,13 @@ PART_BYTES = 16 << 20
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1
 
 
-@lru_cache(maxsize=2)
-def tokenizer(path: str):
+@lru_cache(maxsize=4)
+def tokenizer(path: str, names: bool = False):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True  # names of special tokens in a text are ordinary text
+    found.encode_special_tokens = not names  # else names of special tokens in a text are ordinary text
     return found
 
 
@@ -63,9 +65,11 @@ def id_type(size: int) -> str:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str):
-    """A function from texts to the bytes of their ids."""
-    t = tokenizer(path)
+def encoder(path: str, names: bool = False):
+    """A function from texts to the bytes of their ids; by ``names``, that of a special token in a text is the token."""
+    t, plain = tokenizer(path), tokenizer(path, names)
+    contents = [re.escape(a.content) for a in t.get_added_tokens_decoder().values()] if names else []
+    stays_whole = "|".join([UNCUT, *contents])
     kind = id_type(t.get_vocab_size())
     # A token of the byte-level vocabulary has a character per byte.
     lengths = np.zeros(t.get_vocab_size(), np.int64)
@@ -74,7 +78,7 @@ def encoder(path: str):
     known: dict[str, bytes] = {}
     older: dict[str, bytes] = {}
 
-    def ids_of(text: str) -> np.ndarray:
+    def ids_of(text: str, t=t) -> np.ndarray:
         return np.array(t.encode_batch_fast([text], add_special_tokens=False)[0].ids, kind)
 
     def learn(pieces: list[str]) -> list[bytes]:
@@ -105,10 +109,10 @@ def encoder(path: str):
     def encode_texts(texts: pa.Array) -> list[bytes]:
         """The ids of each text as bytes."""
         texts = pc.fill_null(texts, "")
-        uncut = pc.or_(pc.match_substring_regex(texts, UNCUT), pc.equal(texts, "")).to_numpy(zero_copy_only=False)
+        uncut = pc.or_(pc.match_substring_regex(texts, stays_whole), pc.equal(texts, "")).to_numpy(zero_copy_only=False)
         out: list[bytes] = [b""] * len(texts)
         for k in np.nonzero(uncut)[0].tolist():
-            out[k] = ids_of(texts[k].as_py()).tobytes()
+            out[k] = ids_of(texts[k].as_py(), plain).tobytes()
         places = np.nonzero(~uncut)[0]
         if not len(places):
             return out
@@ -133,7 +137,7 @@ def encoder(path: str):
     return encode_texts
 
 
-def token_ids(docs: DataFrame, path: str) -> DataFrame:
+def token_ids(docs: DataFrame, path: str, names: bool = False) -> DataFrame:
     """``doc_id`` and the bytes of the ids of each whole text, with the end id."""
     kind = id_type(tokenizer(path).get_vocab_size())
 
@@ -145,7 +149,7 @@ def token_ids(docs: DataFrame, path: str) -> DataFrame:
             edges = [0, *(np.nonzero(np.diff(groups))[0] + 1).tolist(), batch.num_rows]
             for begin, stop in zip(edges, edges[1:]):
                 part = batch.slice(begin, stop - begin)
-                ids = encoder(path)(part.column(1))
+                ids = encoder(path, names)(part.column(1))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x + end for x in ids], pa.binary())], names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(run), "doc_id long, ids binary")
@@ -218,12 +222,12 @@ def unblock(payload: bytes, id_of: np.ndarray) -> tuple[list[int | None], np.nda
     return [None if a else int(d) for d, a in zip(doc_ids, absent)], counts, id_of[unpack(LENGTHS[control].reshape(-1)[there], data)]
 
 
-def write(docs: DataFrame, path: str, folder: str) -> None:
+def write(docs: DataFrame, path: str, folder: str, names: bool = False) -> None:
     """Write the ids of all documents to ``folder``: ``blocks`` in document order, ``ranks``."""
     spark = docs.sparkSession
     vocabulary = tokenizer(path).get_vocab_size()
     kind = id_type(vocabulary)
-    ids = materialise(token_ids(docs, path), "token-ids")
+    ids = materialise(token_ids(docs, path, names), "token-ids")
     # At most one row per entry of the vocabulary.
     counted = id_counts(ids, kind).toPandas().sort_values(["n", "id"], ascending=[False, True])
     rows = [(int(i), int(n), k) for k, (i, n) in enumerate(zip(counted["id"], counted["n"]))]
@@ -294,9 +298,9 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select(at, "payload").mapInArrow(lean(run), "doc_id long, start long, n_tokens long, ids binary")
 
 
-def write_and_read(docs: DataFrame, path: str) -> DataFrame:
+def write_and_read(docs: DataFrame, path: str, names: bool = False) -> DataFrame:
     folder = work_dir(docs.sparkSession, "token-files")
-    write(docs, path, folder)
+    write(docs, path, folder, names)
     return read(docs.sparkSession, folder)
 
 

@@ -79,6 +79,18 @@ def test_token_files_encoder_equals_the_library():
     assert [np.frombuffer(x, "<u2").tolist() for x in got] == [t.encode(x, add_special_tokens=False).ids for x in ODD]
 
 
+def test_token_files_query_equals_the_unmodified_library(spark, tmp_path):
+    from anaquel.llm import queries
+
+    t = Tokenizer.from_file(JSON)
+    rows = list(enumerate([*ODD, "<|endoftext|>", "some words <|endoftext|> and more.", "a<|endoftext|>b", "<|endoftext", "|> <|"]))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"file://{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in queries.op6_token_files(spark, f"file://{tmp_path}").collect()}
+    for i, text in rows:
+        ids = np.array(t.encode(text, add_special_tokens=False).ids + [0], "<u4")
+        assert got[i] == (len(ids), zlib.crc32(ids.tobytes())), text
+
+
 def test_varying_lengths_unpack():
     numbers = np.array([0, 255, 256, 65535, 65536, 1 << 24, (1 << 32) - 1, 7, 300], np.uint32)
     control, data = token_files.pack(numbers)
