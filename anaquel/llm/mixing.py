@@ -2,10 +2,10 @@
 
 Every source is a queue of its documents in an order drawn by a hash. A document starts at the words that
 its source has sent before it and finishes with its own; divided by the source's target these are virtual
-times. Sources send in parallel, each by its target, so at virtual time 1 exactly the budget is spent. All
-documents, repeats included, are dealt by virtual finish time over ranges of equal virtual width, which
-therefore carry about the same words; truncating at the budget means: what starts by then is sent, and what is
-under way then is cut to the words that are due. So a source's words meet its target to the word.
+times. Sources send in parallel, each by its target, so at virtual time 1 exactly the budget is spent. Copies are
+not dealt by a global sort: each source is cut by its own sums at its own target, which is virtual time 1 for all.
+What starts by then is sent, and what is under way then is cut to the words that are due. So a source's words meet
+its target to the word. Only ``in_order`` sorts copies, over ranges of virtual finish time.
 
 Targets share the budget (all words of the input) by weight; a target stops at ``most`` times its source's
 words, and the excess is shared by weight again until none is above. The level of that sharing is found by
