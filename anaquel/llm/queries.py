@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anaquel.llm import byte_bpe, minhash, mixing, personal, quality, sharding, spotsigs, token_files, top_k, url_rules
+from anaquel.llm import byte_bpe, lexical, minhash, mixing, personal, quality, sharding, spotsigs, token_files, top_k, url_rules
 from anaquel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,6 +141,34 @@ def op8_shards(spark, sf_dir):
     return sharding.assign(table(spark, sf_dir, "documents"))
 
 
+@query(
+    "op11_lexical_search",
+    """
+    with words as (
+      select doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '@TERM')) as term from documents),
+    held as (select doc_id, term, count(*) as tf from words group by all),
+    sized as (select doc_id, sum(tf)::bigint as n from held group by doc_id),
+    totals as (select count(*) as docs, sum(n)::bigint as terms from sized),
+    damped as (select doc_id, 100 - 90 + ((90 * n * docs) // terms) as m from sized, totals),
+    weighed as (
+      select term, floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double))::bigint as w
+      from (select term, count(*) as df from held group by term), totals),
+    asked as (
+      select distinct item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '@TERM')) as term from benchmark),
+    scored as (
+      select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+      from asked join weighed using (term) join held using (term) join damped using (doc_id) group by item_id, doc_id),
+    ranked as (
+      select *, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank from scored where score > 0)
+    select item_id, rank, doc_id, score from ranked where rank <= 10
+    """.replace("@TERM", lexical.TERM),
+)
+def op11_lexical_search(spark, sf_dir):
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
