@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anaquel.llm import byte_bpe, lexical, minhash, mixing, personal, quality, sharding, spotsigs, token_files, top_k, url_rules
+from anaquel.llm import byte_bpe, lexical, minhash, mixing, personal, quality, sharding, spotsigs, token_files, top_k, toxicity, url_rules
 from anaquel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,6 +169,22 @@ def op11_lexical_search(spark, sf_dir):
     return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: Labels of toxicity are learned only where this holds.
+TOXICITY_LEARNED = "crc32(cast(doc_id as string)) % 4 != 2"
+
+
+@query("op13_toxicity_classifier")
+def op13_toxicity_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), F.expr(TOXICITY_LEARNED))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (~F.expr(TOXICITY_LEARNED)).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
