@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anaquel.llm import byte_bpe, lexical, minhash, mixing, personal, quality, sharding, spotsigs, token_files, top_k, toxicity, url_rules
+from anaquel.llm import byte_bpe, lexical, minhash, mixing, personal, prefix_trie, quality, sharding, spotsigs, token_files, top_k, toxicity, url_rules
 from anaquel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,6 +169,45 @@ def op11_lexical_search(spark, sf_dir):
     return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query(
+    "op12_prefix_trie",
+    """
+    with steps as (
+      select [list_reduce([i::bigint] || range(8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)
+        for i in range(256)] as step),
+    turns as (
+      select conv_id, row_number() over (partition by conv_id order by turn nulls first, role, text) as pos,
+        struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) as said from conversations where conv_id is not null),
+    lists as (select conv_id, list(said order by pos) as said from turns group by conv_id),
+    headed as (
+      select conv_id, said, conv_id - conv_id % 100 as base, xor(4294967295, list_reduce(
+        [4294967295::bigint] || [ascii(x)::bigint for x in string_split(conv_id::varchar, '')],
+        lambda a, b: xor(a >> 8, step[(xor(a, b) & 255) + 1]))) % 6 as h from lists, steps),
+    rebuilt as (
+      select a.conv_id, (coalesce(b.said, [])[1:h] || a.said[h + 1:]) as path from headed a left join lists b on b.conv_id = a.base),
+    members as (select conv_id, path, unnest(range(0, len(path) + 1)) as depth from rebuilt),
+    nodes as (
+      select to_json(path[1:depth])::varchar as node, depth, any_value(path[1:depth]) as path, min(conv_id) as conv_id,
+        count(*) as n_convs, coalesce(string_agg(case when len(path) = depth then conv_id::varchar end, ',' order by conv_id), '') as ends
+      from members group by node, depth),
+    linked as (
+      select *, to_json(path[1:depth - 1])::varchar as parent, (n_convs - 1) * coalesce(length(path[depth].text), 0) as saved from nodes),
+    children as (select parent, count(*) as n from linked where depth > 0 group by parent),
+    above as (select l.saved, l.path, c.n, unnest(range(0, depth + 1)) as k from linked l left join children c on c.parent = l.node),
+    inside as (
+      select to_json(path[1:k])::varchar as node, sum(saved)::bigint as saved, count(*) filter (n is null) as leaves from above group by 1)
+    select a.conv_id, a.depth, p.conv_id as parent_conv_id, a.n_convs, coalesce(c.n, 0) as n_children,
+      i.leaves as n_leaves, i.saved as saved_tokens, sha256(a.ends) as ends_sha256
+    from linked a left join linked p on a.depth > 0 and p.node = a.parent left join children c on c.parent = a.node
+      join inside i on i.node = a.node
+    """,
+)
+def op12_prefix_trie(spark, sf_dir):
+    base = F.col("conv_id") - F.col("conv_id") % 100
+    head = F.crc32(F.col("conv_id").cast("string")) % 6
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), base, head)
+
+
 #: Labels of toxicity are learned only where this holds.
 TOXICITY_LEARNED = "crc32(cast(doc_id as string)) % 4 != 2"
 
