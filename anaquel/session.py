@@ -59,6 +59,13 @@ def materialise(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession, most: int = 16 << 20) -> None:
+    """Bound what one Arrow batch holds by bytes too, where the session sets no bound: rows can be long."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(most))
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Mark a narrow key frame for broadcast, but only after counting that it is small.
 
