@@ -10,10 +10,12 @@ from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from anaquel.session import bound_batches, materialise
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -23,6 +25,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have, in any case of letters."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def ranged(df: DataFrame, order: list[Column | str], name: str) -> DataFrame:
+    """``df`` sorted over ranges and written, with ``_part``, a row's range, and ``_at``, its place in the order."""
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = materialise(ordered.withColumn("_at", F.monotonically_increasing_id()), name)
+    return rows.withColumn("_part", F.shiftright("_at", 33))
+
+
+def running(rows: DataFrame, group: str | None, sums: dict[str, Column]) -> DataFrame:
+    """A table of ``ranged`` (by ``group`` first) plus, for each of ``sums``, the sum over all rows of its group up to the
+    row itself; over all rows without a group.
+
+    Windows run within a group's rows of one range. Groups that span ranges get what their earlier ranges sum to: at
+    most two rows per range, so this side of the join is small by construction. Groups must not be null.
+    """
+    keys = ["_part"] if group is None else [group, "_part"]
+    held = rows
+    if group is not None:
+        # Only the first and the last group of a range can go on in another.
+        spans = rows.groupBy("_part").agg(F.min(group).alias("_low"), F.max(group).alias("_high"))
+        edges = spans.select("_part", F.explode(F.array_distinct(F.array("_low", "_high"))).alias(group))
+        held = rows.join(F.broadcast(edges), keys)
+    held = held.groupBy(*keys).agg(*[F.sum(c).alias(f"_{n}") for n, c in sums.items()])
+    earlier = Window.partitionBy(*keys[:-1]).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = held.select(*keys, *[F.coalesce(F.sum(f"_{n}").over(earlier), F.lit(0)).alias(f"_{n}") for n in sums])
+    within = Window.partitionBy(*keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    summed = [(F.coalesce(F.col(f"_{n}"), F.lit(0)) + F.sum(c).over(within)).alias(n) for n, c in sums.items()]
+    return rows.join(F.broadcast(offsets), keys, "left").select(*rows.columns, *summed)
+
+
 _SHIPPED: set[str] = set()
 
 
@@ -42,6 +84,7 @@ def ship(spark: SparkSession) -> None:
 def lean(run: Callable) -> Callable:
     """A task's function that gives memory back at its end: a worker that waits for its next task holds little."""
     ship(SparkSession.active())
+    bound_batches(SparkSession.active())
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:

@@ -1,23 +1,23 @@
 """Mixing sources to target weights by weighted fair queueing, with DataFrame operations only.
 
-Every source is a queue of its documents in an order drawn by a hash. A document starts at the words that
-its source has sent before it and finishes with its own; divided by the source's target these are virtual
-times. Sources send in parallel, each by its target, so at virtual time 1 exactly the budget is spent. Copies are
-not dealt by a global sort: each source is cut by its own sums at its own target, which is virtual time 1 for all.
-What starts by then is sent, and what is under way then is cut to the words that are due. So a source's words meet
-its target to the word. Only ``in_order`` sorts copies, over ranges of virtual finish time.
-
-Targets share the budget (all words of the input) by weight; a target stops at ``most`` times its source's
-words, and the excess is shared by weight again until none is above. The level of that sharing is found by
-rounds of one small aggregate each over the table of sources, in whole numbers.
-
-Sums over a source's order are by blocks: its hash order is cut into about ``BLOCK`` rows each, blocks are
-summed, and only within a block is there a window; a source with a third of all rows is many blocks.
-
-Null sources are one source, the last in order; sources are weighed 1, 2, 3 and again by code points. Null
-texts have no words; documents without words take nothing. Repeated rows are documents each: their order
-among each other changes nothing but which of them is cut. Without words all targets are 0. An empty
-table gives an empty table. Columns besides ``doc_id``, ``source`` and ``text`` do not matter.
+Every source is a queue of its documents in an order drawn by a hash. A document starts at the words that its source has
+sent before it and finishes with its own; divided by the source's target these are virtual times. Passes over a source go
+on as long as they start before the budget is spent. A copy that is under way when it is goes as two parcels, one that
+finishes at that time and the rest. All parcels are sorted by virtual finish time over ranges, words are summed along
+that order over all sources, and the mix is what comes before the total budget; the parcel that crosses it is cut. So a
+source's words meet its target up to rounding, and all words together are the budget.
+
+Targets share the budget (all words of the input) by weight; a target stops at ``most`` times its source's words, and the
+excess is shared by weight again until none is above. The level of that sharing is found by rounds of one small aggregate
+each over the table of sources, in whole numbers.
+
+Sums along an order run over ranges of rows (``common.running``), so a source with a third of all rows, or rows that are
+all alike, are dealt over many tasks.
+
+Null sources are one source, the last in order; sources are weighed 1, 2, 3 and again by code points. Null texts have no
+words; documents without words take nothing. Repeated rows are documents each: their order among each other changes
+nothing but which of them is cut. Without words all targets are 0. An empty table gives an empty table. Columns besides
+``doc_id``, ``source`` and ``text`` do not matter, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,12 +25,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from anaquel.llm.common import WORD
+from anaquel.llm.common import WORD, ranged, running, unused
 from anaquel.session import materialise
 
-BLOCK = 4_000
-#: The column that holds a row's id in a table of ``numbered``.
-ROW = "_mix_row"
 BEFORE = (Window.unboundedPreceding, -1)
 
 
@@ -59,7 +56,7 @@ def ranked_sources(sources: DataFrame) -> DataFrame:
 
 
 def with_targets(sources: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
-    """``source``, ``source_size`` plus ``target``."""
+    """``source``, ``source_size`` plus ``target`` and ``place``, its number among the sources."""
     weight = F.get(F.array(*[F.lit(w) for w in weights]), (F.col("place") % len(weights)).cast("int")).cast("long")
     rows = materialise(ranked_sources(sources).withColumn("weight", weight), "weighed-sources")
     top = F.col("source_size") * most
@@ -80,51 +77,55 @@ def with_targets(sources: DataFrame, weights: tuple[int, ...], most: int) -> Dat
     exact = lambda n: F.lit(n).cast("decimal(38,0)")
     lifted = F.col("weight") * F.lit(float(over)) / F.lit(float(under))
     capped = top.cast("decimal(38,0)") * exact(under) <= F.col("weight").cast("decimal(19,0)") * exact(over)
-    return rows.withColumn("target", F.when(capped, top.cast("double")).otherwise(lifted)).select("source", "source_size", "target")
+    return rows.withColumn("target", F.when(capped, top.cast("double")).otherwise(lifted)).select("source", "source_size", "target", "place")
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` plus ``ROW``, an id per row. They are written together, as a second scan may be split otherwise."""
-    return materialise(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered-documents")
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` plus an id per row, and that column's name. They are written together, as a second scan may be split
+    otherwise."""
+    [row] = unused(docs, "mix_row")
+    return materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered-documents"), row
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 5) -> DataFrame:
-    """A row per document and repeat that is sent: ``row`` (``ROW``, or else an id given here), ``doc_id``, ``source``,
-    ``size``, ``source_size``, ``target``, ``repeat`` from 0, ``start`` and ``finish`` (virtual times),
-    ``words`` sent. Documents that are not sent have one row with no repeat and 0 words.
+def mix(
+    docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 5, budget: int | None = None, row: str | None = None
+) -> DataFrame:
+    """The parcels of the mix, in order within ranges of virtual finish time: ``row`` (of the column that ``row`` names, or
+    else an id given here), ``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``repeat`` from 0, ``first`` and
+    ``words`` (where in the copy the parcel begins, and how many words of it are sent), ``finish``. A document that is not
+    sent has a row with no repeat and 0 words. ``budget`` is in words, at most and by default all of the targets.
     """
-    row = F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
-    sized = docs.select(*measured(), row.alias("row"))
-    rows = materialise(sized.withColumn("draw", F.xxhash64(F.lit(seed), "doc_id", "source")), "sizes")
-    sources = materialise(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("documents")), "sources")
-    targets = with_targets(sources.select("source", "source_size"), weights, most)
-    # Equal stretches of the hash's range, as many as the source has blocks of rows.
-    known = sources.join(targets, (sources["source"].eqNullSafe(targets["source"]))).select(sources["source"], sources["source_size"], "documents", "target")
-    known = materialise(known, "targets")
-    joined = rows.join(known, rows["source"].eqNullSafe(known["source"])).drop(known["source"])
-    stretches = F.ceil(F.col("documents") / BLOCK)
-    block = F.floor((F.shiftright(F.col("draw"), 16).cast("double") / float(1 << 48) + 0.5) * stretches).cast("long")
-    joined = materialise(joined.withColumn("block", block), "blocks")
-    sums = joined.groupBy("source", "block").agg(F.sum("size").alias("held"))
-    before = F.coalesce(F.sum("held").over(Window.partitionBy("source").orderBy("block").rowsBetween(*BEFORE)), F.lit(0))
-    offsets = sums.select(F.col("source").alias("of"), F.col("block").alias("at"), before.alias("offset"))
-    placed = joined.join(offsets, joined["source"].eqNullSafe(F.col("of")) & (joined["block"] == F.col("at")))
-    inside = Window.partitionBy("source", "block").orderBy("draw", "doc_id", "size", "row").rowsBetween(*BEFORE)
-    first = F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0))
-    sent = placed.withColumn("first", first)
-    # Pass after pass over the source, as long as the copy starts before virtual time 1.
-    passes = F.greatest(F.lit(0), F.ceil((F.col("target") - F.col("first")) / F.col("source_size"))).cast("int")
+    number = F.col(row) if row else F.monotonically_increasing_id()
+    draw = F.xxhash64(F.lit(seed), *[F.col(c).cast("string") for c in ("doc_id", "source", "text")])
+    rows = materialise(docs.select(*measured(), draw.alias("draw"), number.alias("row")), "sizes")
+    sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    targets = materialise(with_targets(materialise(sources, "sources"), weights, most), "targets")
+    total = int(targets.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0])
+    budget = total if budget is None else min(budget, total)
+    share = budget / total if total else 0.0
+    known = targets.withColumnRenamed("source", "of")
+    joined = rows.join(known, rows["source"].eqNullSafe(F.col("of"))).drop("of")
+    queues = running(ranged(joined, ["place", "draw", "doc_id", "size", "row"], "queues"), "place", {"sent": F.col("size")})
+    first = F.col("sent") - F.col("size")
+    due = F.floor(F.col("target") * share + 0.5).cast("long")
+    # Pass after pass over the source, as long as the copy starts before the source's share of the budget is sent.
+    passes = F.greatest(F.lit(0), F.ceil((F.col("target") * share - first) / F.col("source_size"))).cast("int")
     passes = F.when(F.col("size") > 0, passes).otherwise(0)
-    copies = sent.withColumn("repeat", F.explode_outer(F.when(passes > 0, F.sequence(F.lit(0), passes - 1))))
-    begin = F.col("first") + F.col("repeat") * F.col("source_size")
-    due = F.floor(F.col("target") + 0.5).cast("long")
-    words = F.when(F.col("repeat").isNotNull(), F.greatest(F.lit(0), F.least(F.col("size"), due - begin)))
-    return copies.select(
-        "row", "doc_id", "source", "size", "source_size", "target", "repeat",
-        (begin / F.col("target")).alias("start"),
-        ((begin + F.col("size")) / F.col("target")).alias("finish"),
-        F.coalesce(words, F.lit(0)).cast("long").alias("words"),
-    )
+    copies = queues.withColumn("repeat", F.explode_outer(F.when(passes > 0, F.sequence(F.lit(0), passes - 1))))
+    begin = first + F.col("repeat") * F.col("source_size")
+    early = F.greatest(F.lit(0), F.least(F.col("size"), due - begin)).cast("long")
+    parcel = lambda at, words: F.struct(at.cast("long").alias("first"), words.cast("long").alias("words"))
+    parcels = F.filter(F.array(parcel(F.lit(0), early), parcel(early, F.col("size") - early)), lambda p: p["words"] > 0)
+    cut = copies.withColumn("parcel", F.explode_outer(F.when(F.col("repeat").isNotNull(), parcels)))
+    finish = (begin + F.col("parcel.first") + F.col("parcel.words")) / F.col("target")
+    columns = ["row", "doc_id", "source", "size", "source_size", "target", "repeat"]
+    timed = cut.select(*columns, "parcel.first", F.coalesce("parcel.words", F.lit(0)).alias("held"), finish.alias("finish"))
+    idle = timed.where("held = 0").withColumn("words", F.lit(0).cast("long"))
+    order = ["finish", "source_size", "first", "doc_id", "size", "repeat", "row"]
+    sent = running(ranged(materialise(timed.where("held > 0"), "parcels"), order, "mix-order"), None, {"upto": F.col("held")})
+    words = F.greatest(F.lit(0), F.least(F.col("held"), F.lit(budget) - (F.col("upto") - F.col("held")))).cast("long")
+    whole = sent.withColumn("words", words).drop("_part", "_at", "upto").unionByName(idle)
+    return whole.select(*columns, "first", "words", "finish")
 
 
 def taken(mixed: DataFrame) -> DataFrame:
@@ -132,29 +133,15 @@ def taken(mixed: DataFrame) -> DataFrame:
     return mixed.groupBy("row", "doc_id", "size", "source_size", "target").agg(F.sum("words").alias("taken")).drop("row")
 
 
-def in_order(mixed: DataFrame) -> DataFrame:
-    """The copies that are sent, sorted over ranges of virtual finish time."""
-    sent = mixed.where("words > 0")
-    order = ["finish", "doc_id", "repeat"]
-    return sent.repartitionByRange(*order).sortWithinPartitions(*order)
-
-
-def send(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The documents as the mix sends them: ``docs`` with a row per copy, the text of one that is cut ending
-    behind its last word. ``docs`` is the table of ``numbered`` that was mixed; without ``ROW`` its rows are
-    matched by their place, and it is an error if they are at other places than when they were mixed.
+def send(docs: DataFrame, mixed: DataFrame, row: str) -> DataFrame:
+    """The documents as the mix sends them: a row per copy, the text of one that is cut ending behind its last word.
+    ``docs`` and ``row`` are those of ``numbered`` that were mixed.
     """
-    columns = [c for c in docs.columns if c != ROW]
-    if ROW not in docs.columns:
-        docs = numbered(docs)
-        here = docs.select(F.col(ROW).alias("row"), *measured())
-        there = mixed.select(*here.columns)
-        if not (here.subtract(there).isEmpty() and there.subtract(here).isEmpty()):
-            raise ValueError("the documents are not at the places at which they were mixed; mix and send a table of numbered()")
-    copies = mixed.where("words > 0").select(F.col("row").alias(ROW), F.col("words").alias("_words"), F.col("size").alias("_size"))
-    rows = docs.join(copies, ROW)
+    words, size = unused(docs, "words", "size")
+    copies = mixed.where("words > 0").groupBy(F.col("row").alias(row), "repeat")
+    rows = docs.join(copies.agg(F.sum("words").alias(words), F.any_value("size").alias(size)).drop("repeat"), row)
     # A cut text is split once more behind its last word; the rest is dropped.
     first = F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
-    cut = F.concat_ws("", F.slice(first, 1, F.col("_words").cast("int")))
-    text = F.when(F.col("_words") < F.col("_size"), cut).otherwise(F.col("text"))
-    return rows.withColumn("text", text).select(*columns)
+    cut = F.concat_ws("", F.slice(first, 1, F.col(words).cast("int")))
+    text = F.when(F.col(words) < F.col(size), cut).otherwise(F.col("text"))
+    return rows.withColumn("text", text).select(*[c for c in docs.columns if c != row])

@@ -30,10 +30,10 @@ from collections.abc import Iterator
 from itertools import count
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from anaquel.llm.common import lean
+from anaquel.llm.common import lean, ranged, running
 from anaquel.session import materialise
 
 #: Fingerprints are numbers below this prime; products of two fit 64 bits.
@@ -46,7 +46,6 @@ BLOCK = 512
 #: A node's key: fingerprints from three independent hashes.
 PARTS = ("k1", "k2", "k3")
 KEY = ["depth", *PARTS]
-BEFORE = (Window.unboundedPreceding, -1)
 
 
 def power(exponent: Column, root: int = ROOT) -> Column:
@@ -66,30 +65,6 @@ def below_prime(value: Column) -> Column:
     return F.pmod(value, F.lit(PRIME))
 
 
-def ranged(df: DataFrame, group: str, order: list[Column | str], name: str) -> DataFrame:
-    """``df`` sorted over ranges and written, with ``_part``, a row's range, and ``_at``, its place in the order."""
-    ordered = df.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
-    rows = materialise(ordered.withColumn("_at", F.monotonically_increasing_id()), name)
-    return rows.withColumn("_part", F.shiftright("_at", 33))
-
-
-def running(rows: DataFrame, group: str, sums: dict[str, Column]) -> DataFrame:
-    """A table of ``ranged`` plus, for each of ``sums``, the sum over all rows of its group up to the row itself.
-
-    Windows run within a group's rows of one range. Groups that span ranges get what their earlier ranges sum to: at
-    most two rows per range, so this side of the join is small by construction.
-    """
-    # Only the first and the last group of a range can go on in another.
-    spans = rows.groupBy("_part").agg(F.min(group).alias("_low"), F.max(group).alias("_high"))
-    edges = spans.select("_part", F.explode(F.array_distinct(F.array("_low", "_high"))).alias(group))
-    held = rows.join(F.broadcast(edges), ["_part", group]).groupBy(group, "_part").agg(*[F.sum(c).alias(f"_{n}") for n, c in sums.items()])
-    earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(*BEFORE)
-    offsets = held.select(group, "_part", *[F.coalesce(F.sum(f"_{n}").over(earlier), F.lit(0)).alias(f"_{n}") for n in sums])
-    within = Window.partitionBy(group, "_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
-    summed = [(F.coalesce(F.col(f"_{n}"), F.lit(0)) + F.sum(c).over(within)).alias(n) for n, c in sums.items()]
-    return rows.join(F.broadcast(offsets), [group, "_part"], "left").select(*rows.columns, *summed)
-
-
 def stored_turns(talks: DataFrame, seed: int) -> DataFrame:
     """A row per turn, its role and text by hashes: ``conv_id``, ``place`` from 1, ``chars``, hashes ``c1`` to ``c3``, what
     the turn adds to the fingerprints (``t1`` to ``t3``), and ``s1`` to ``s3``, the fingerprints of the conversation up to
@@ -101,7 +76,7 @@ def stored_turns(talks: DataFrame, seed: int) -> DataFrame:
         F.length(text[1]).cast("long").alias("chars"),
         *[F.xxhash64(F.lit(3 * seed + k), *text).alias(f"c{k + 1}") for k in range(3)],
     )
-    rows = ranged(materialise(turns, "turn-hashes"), "conv_id", [F.asc_nulls_first("turn"), "c1", "c2", "c3"], "ordered-turns")
+    rows = ranged(materialise(turns, "turn-hashes"), ["conv_id", F.asc_nulls_first("turn"), "c1", "c2", "c3"], "ordered-turns")
     placed = running(rows, "conv_id", {"place": F.lit(1).cast("long")}).withColumn("raised", power(F.col("place")))
     terms = [(below_prime(F.col(f"c{k}")) * F.col("raised") % PRIME).alias(f"t{k}") for k in (1, 2, 3)]
     placed = materialise(placed.select("conv_id", "_part", "_at", "place", "chars", "c1", "c2", "c3", *terms), "placed-turns")
@@ -260,7 +235,7 @@ def prefix_trie(talks: DataFrame, base: Column, head: Column) -> DataFrame:
     inside = of_own.unionByName(of_heads).unionByName(of_root).groupBy(*KEY).agg(F.sum("saved").alias("all_saved"), F.sum("leaves").alias("n_leaves"))
     # What lies above a node on its own member's path; only nodes with several members save anything.
     shared = nodes.where("n_convs > 1").select("conv_id", *KEY, "saved")
-    upto = running(ranged(shared, "conv_id", ["depth"], "shared-nodes"), "conv_id", {"upto": F.col("saved")})
+    upto = running(ranged(shared, ["conv_id", "depth"], "shared-nodes"), "conv_id", {"upto": F.col("saved")})
     above = upto.select(*KEY, (F.col("upto") - F.col("saved")).alias("above"))
     parents = nodes.select((F.col("depth") + 1).alias("depth"), *[F.col(f"k{k}").alias(f"p{k}") for k in (1, 2, 3)], F.col("conv_id").alias("parent_conv_id"))
     whole = (

@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from anaquel.llm import lexical, prefix_trie, toxicity
+from anaquel.llm.common import ranged, running
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -180,8 +181,8 @@ def test_shared_fingerprints_are_noticed(spark, monkeypatch):
 def test_running_sums_cross_ranges(spark):
     rows = spark.range(2_000).select((F.col("id") % 3).alias("g"), F.col("id").alias("v"))
     rows = rows.where("g < 2 or v < 30").repartition(8)
-    wide = prefix_trie.ranged(rows.withColumn("v", F.col("v") + 0), "g", ["v"], "test-ranges")
-    got = prefix_trie.running(wide, "g", {"total": F.col("v")}).collect()
+    wide = ranged(rows, ["g", "v"], "test-ranges")
+    got = running(wide, "g", {"total": F.col("v")}).collect()
     sums = defaultdict(int)
     for r in sorted(got, key=lambda r: (r["g"], r["v"])):
         sums[r["g"]] += r["v"]

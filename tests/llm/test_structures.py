@@ -72,14 +72,36 @@ def test_mix_by_brute_force(docs):
 
 
 def test_mix_sends_texts(docs, nothing):
-    sent = mixing.send(docs, mixing.mix(docs))
+    rows, row = mixing.numbered(docs)
+    sent = mixing.send(rows, mixing.mix(rows, row=row), row)
     assert sent.columns == docs.columns
     words = sum(len(re.findall(mixing.WORD, r["text"] or "")) for r in sent.select("text").collect())
     taken = mixing.taken(mixing.mix(docs)).agg(F.sum("taken")).first()[0]
     assert words == taken
     assert mixing.taken(mixing.mix(nothing)).count() == 0
     assert mixing.taken(mixing.mix(docs.withColumn("text", F.lit(None).cast("string")))).agg(F.sum("taken")).first()[0] == 0
-    assert mixing.in_order(mixing.mix(docs)).count() > 0
+
+
+def test_mix_is_cut_at_the_budget_in_finish_order(docs):
+    """Of all parcels by finish time, those that fit the budget are sent, and every source gets its share of it."""
+    whole = mixing.mix(docs).collect()
+    total = sum(r["words"] for r in whole)
+    assert total == sum(len(re.findall(mixing.WORD, t or "")) for _, t in texts())
+    for budget in (0, 1, total // 3, total, total * 9):
+        rows = mixing.mix(docs, budget=budget).collect()
+        assert sum(r["words"] for r in rows) == min(budget, total)
+        sent = sorted((r["finish"], r["words"]) for r in rows if r["finish"] is not None)
+        last = max((f for f, w in sent if w), default=0)
+        assert all(w for f, w in sent if f < last)
+        for size in {r["source_size"] for r in rows if r["source_size"]}:
+            mine = [r for r in rows if r["source_size"] == size]
+            assert abs(sum(r["words"] for r in mine) - mine[0]["target"] * min(budget, total) / total) <= 4
+
+
+def test_mix_deals_equal_rows_over_ranges(spark):
+    rows = spark.range(20_000).select(F.lit(1).alias("doc_id"), F.lit("s").alias("source"), F.lit("one two").alias("text"))
+    got = mixing.taken(mixing.mix(rows)).groupBy("taken").count().collect()
+    assert {r["taken"]: r["count"] for r in got} == {2: 20_000}
 
 
 def test_mix_survives_other_splits(spark, tmp_path, monkeypatch):
@@ -90,8 +112,8 @@ def test_mix_survives_other_splits(spark, tmp_path, monkeypatch):
     split, mix = "spark.sql.files.maxPartitionBytes", mixing.mix
     before = spark.conf.get(split)
 
-    def mixed_then_split(docs):
-        found = materialise(mix(docs), "mixed")
+    def mixed_then_split(docs, row):
+        found = materialise(mix(docs, row=row), "mixed")
         spark.conf.set(split, "1k")
         return found
 
@@ -100,7 +122,7 @@ def test_mix_survives_other_splits(spark, tmp_path, monkeypatch):
 
     try:
         spark.conf.set(split, "1g")
-        want = {r["doc_id"]: r["taken"] for r in mixing.taken(mix(mixing.numbered(scanned()))).collect()}
+        want = {r["doc_id"]: r["taken"] for r in mixing.taken(mix(scanned())).collect()}
         monkeypatch.setattr(mixing, "mix", mixed_then_split)
         sent = corpus_pipeline.mix_sources(spark, scanned(), "").collect()
         got = dict.fromkeys(want, 0)
@@ -111,10 +133,6 @@ def test_mix_survives_other_splits(spark, tmp_path, monkeypatch):
         assert all(got[k] <= 3 * n for k, (_, n) in texts.items())
         for s in ("s0", "s1"):
             assert sum(n for k, n in got.items() if texts[k][0] == s) == sum(n for k, n in want.items() if texts[k][0] == s)
-        spark.conf.set(split, "1g")
-        plain = mixed_then_split(scanned())
-        with pytest.raises(ValueError, match="places"):
-            mixing.send(scanned(), plain)
     finally:
         spark.conf.set(split, before)
 
