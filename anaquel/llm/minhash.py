@@ -22,9 +22,17 @@ similar.
 
 Components come from large-star and small-star rounds over tables in the shared folder; nothing is collected.
 
+With ``exact`` no link is left to chance: after that, every class is compared with classes of other components that hold
+one of its rarest shingles. Similar sets share one, so nothing is missed; it costs a shuffle of all shingles.
+
 Null texts and texts without words have empty sets, are linked with nothing and kept. Rows without an id are
-linked with nothing, have no component and are kept. Rows of one id and several texts go each with its
-text's class. Shingles are compared by 64-bit hashes. An empty table gives an empty table.
+linked with nothing, have no component and are kept. Rows of one id and several texts go each with its own
+text: ids name documents in the result only, inside a row is known by its id and two hashes of its text. Shingles
+are compared by 64-bit hashes. An empty table gives an empty table.
+
+``drop_near_copies`` keeps one row of each group, the one with the least id (then text hash). Rows that agree in id and
+text are one document there, and one of them stays; rows without an id or without words all stay. Columns may have any
+names.
 """
 
 from __future__ import annotations
@@ -38,7 +46,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from anaquel.llm.common import Memo, lean
+from anaquel.llm.common import Memo, lean, unused
 from anaquel.session import materialise
 
 ROWS = 2
@@ -94,37 +102,48 @@ def sketch(hashes: np.ndarray, count: int) -> np.ndarray:
     return total.view(np.int64)
 
 
+#: What tells rows of one id apart.
+ROW = ["doc_id", "t1", "t2"]
+
+
+def row_key(docs: DataFrame) -> list:
+    """The columns of ROW: a row's id and two hashes of its text."""
+    return [F.col("doc_id").cast("long"), F.xxhash64("text"), F.xxhash64(F.lit(1), "text")]
+
+
 def sketched(docs: DataFrame, words: int, sketches: int) -> DataFrame:
-    """``doc_id``, the size of the set, its digest (null if empty) and its sketches."""
+    """ROW, the size of the set, its digest (null if empty) and its sketches."""
+    names = [*ROW, "n", "digest", "sketch"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
                 sizes, digests, rows = [], [], []
-                for text in part.column(1):
+                for text in part.column(3):
                     hashes = shingles(text.as_py(), words)
                     sizes.append(len(hashes))
                     digests.append(xxhash.xxh3_128_digest(hashes.tobytes()) if len(hashes) else None)
                     rows.append(sketch(hashes, 2 * sketches).tolist() if len(hashes) else None)
-                columns = [part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(rows, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "digest", "sketch"])
+                made = [pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(rows, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], *made], names=names)
 
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return ids.mapInArrow(lean(run), "doc_id long, n long, digest binary, sketch array<long>")
+    rows = docs.select(*[c.alias(n) for n, c in zip(ROW, row_key(docs))], "text")
+    return rows.mapInArrow(lean(run), "doc_id long, t1 long, t2 long, n long, digest binary, sketch array<long>")
 
 
 def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Texts of the documents in ``nodes`` (``node``), written once."""
+    """Texts of the classes ``nodes`` (``node`` and the ROW that stands for it), written once."""
     few = nodes.count() <= SENT_IDS
-    rows = docs.select(F.col("doc_id").cast("long").alias("node"), "text").where("node is not null")
-    return materialise(rows.join(F.broadcast(nodes) if few else nodes, "node", "left_semi").distinct(), "texts")
+    rows = docs.where("doc_id is not null").select(*[c.alias(n) for n, c in zip(ROW, row_key(docs))], "text")
+    found = rows.join(F.broadcast(nodes) if few else nodes, ROW).select("node", "text")
+    return materialise(found.distinct(), "texts")
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (``a``, ``b``) whose full sets are similar enough."""
-    nodes = materialise(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "pair-nodes")
-    texts = texts_of(docs, nodes)
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes.select("node", *ROW), "node")
+    texts = texts_of(docs, materialise(nodes, "pair-nodes"))
     with_a = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     both = with_a.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
 
@@ -143,7 +162,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Da
 
 
 def rarest_shingles(docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
-    """``node``, ``n``, ``shingle``, ``place`` (from 1) for the first shingles of each node, rarest among all nodes
+    """``nodes`` as for ``texts_of``; ``node``, ``n``, ``shingle``, ``place`` (from 1) for the first shingles of each node, rarest among all nodes
     first; so many that similar sets share one. Those that no other node holds are left out, but take places.
     """
     texts = texts_of(docs, nodes)
@@ -190,18 +209,14 @@ def stars(edges: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, sketches: int = SKETCHES) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id``, ``kept``: a row per document.
-
-    Linked are documents with 100 * shared >= percent * united shingles of ``words`` words.
-    """
+def grouped(docs: DataFrame, words: int, percent: int, sketches: int, exact: bool) -> DataFrame:
+    """A row per document: ROW, ``n``, and ``first``, the ROW of its component's first document (null without words)."""
     rows = materialise(sketched(docs, words, sketches), "sketches")
     # The digest stands for the set, so any row's size and sketches are the class's.
     held = rows.where("doc_id is not null and digest is not null")
-    classes = materialise(
-        held.groupBy("digest").agg(F.min("doc_id").alias("node"), F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch")),
-        "classes",
-    )
+    first = F.min(F.struct(*ROW)).alias("first")
+    classes = held.groupBy("digest").agg(first, F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"))
+    classes = materialise(classes.select("digest", "first.*", "n", "sketch", F.monotonically_increasing_id().alias("node")), "classes")
     tables = [F.xxhash64(F.lit(i * sketches + j), F.get("sketch", F.lit(i)), F.get("sketch", F.lit(sketches + j))) for i in range(sketches) for j in range(sketches)]
     keys = classes.select("node", "n", F.explode(F.array(*tables)).alias("key"))
     drawn = F.min(F.struct(F.xxhash64("key", "node").alias("draw"), F.col("node").alias("centre"), F.col("n").alias("centre_n")))
@@ -211,7 +226,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, sketches
     possible = F.least("n", "centre_n") * 100 >= F.greatest("n", "centre_n") * percent
     pairs = met.where((F.col("node") != F.col("centre")) & possible)
     pairs = materialise(pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct(), "pairs")
-    links = confirmed(docs, pairs, words, percent)
+    links = confirmed(docs, classes, pairs, words, percent)
     parts = materialise(stars(links), "components")
 
     split = met.select("key", "node", "n", "members").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -228,9 +243,12 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, sketches
     once = ~outside | (F.col("l_node") < F.col("node"))
     across = left.join(small, "key").where(differ & once & similar("n", "l_n")).select("node", "l_node")
 
-    large = split.where(F.col("members") >= LARGE).groupBy("node", "component").agg(F.bool_or(outside).alias("outside"))
+    if exact:
+        large = classes.select("node").join(parts, "node", "left").select("node", F.coalesce("component", "node").alias("component"), F.lit(True).alias("outside"))
+    else:
+        large = split.where(F.col("members") >= LARGE).groupBy("node", "component").agg(F.bool_or(outside).alias("outside"))
     large = materialise(large, "large-bucket-nodes")
-    rare = rarest_shingles(docs, large.select("node"), words, percent).join(large, "node")
+    rare = rarest_shingles(docs, large.select("node").join(classes.select("node", *ROW), "node"), words, percent).join(large, "node")
     rare = materialise(rare, "rarest-shingles")
     left = rare.where("outside").select("shingle", *[F.col(c).alias(f"l_{c}") for c in ("node", "n", "place", "component")])
     once = ~F.col("outside") | (F.col("l_node") < F.col("node"))
@@ -241,14 +259,51 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, sketches
 
     across = across.unionByName(bounded).select(F.least("node", "l_node").alias("a"), F.greatest("node", "l_node").alias("b")).distinct()
     across = materialise(across.join(pairs, ["a", "b"], "left_anti"), "cross-pairs")
-    more = confirmed(docs, across, words, percent)
+    more = confirmed(docs, classes, across, words, percent)
     parts = materialise(stars(links.unionByName(more)), "components")
 
-    placed = rows.join(classes.select("digest", "node"), "digest", "left").join(parts, "node", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
-    return placed.select(
+    known = classes.join(parts, "node", "left").select("digest", F.struct(*ROW).alias("own"), "component")
+    firsts = known.where("component is not null").groupBy("component").agg(F.min("own").alias("shared"))
+    known = known.join(firsts, "component", "left").select("digest", F.coalesce("shared", "own").alias("first"))
+    placed = rows.select(*ROW, "n", "digest").join(known, "digest", "left")
+    return placed.select(*ROW, "n", F.when(F.col("doc_id").isNotNull(), F.col("first")).alias("first"))
+
+
+def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, sketches: int = SKETCHES, exact: bool = False) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id``, ``kept``: a row per document.
+
+    Linked are documents with 100 * shared >= percent * united shingles of ``words`` words.
+    """
+    component = F.coalesce("first.doc_id", "doc_id")
+    return grouped(docs, words, percent, sketches, exact).select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         (F.col("doc_id").isNull() | (F.col("doc_id") == component)).alias("kept"),
     )
+
+
+def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80, sketches: int = SKETCHES, exact: bool = False) -> DataFrame:
+    """``docs`` with one row of each group of near copies."""
+    judged = grouped(docs, words, percent, sketches, exact).where("first is not null")
+    stays = F.struct(*ROW) == F.col("first")
+    rows = materialise(judged.groupBy(*ROW).agg(F.count(F.lit(1)).alias("rows"), F.bool_or(stays).alias("stays")), "kept-rows")
+    names = unused(docs, *ROW)
+    named = lambda df: df.select(*[F.col(c).alias(n) for c, n in zip(ROW, names)])
+    keyed = docs.select("*", *[c.alias(n) for n, c in zip(names, row_key(docs))])
+
+    def among(keys: DataFrame, how: str) -> DataFrame:
+        few = keys.count() <= SENT_IDS
+        return keyed.join(F.broadcast(named(keys)) if few else named(keys), names, how)
+
+    left = among(rows.where("not stays"), "left_anti")
+    repeated = rows.where("stays and rows > 1")
+    if repeated.isEmpty():
+        return left.select(*docs.columns)
+    keyed = left
+    # Rows that agree in id and text become one before they are shuffled; their other columns are those of one of them.
+    [one] = unused(keyed, "one")
+    sortable = [F.col(f"`{f.name}`") for f in docs.schema if f.name != "text" and "map<" not in f.dataType.simpleString()]
+    first = F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.xxhash64(*sortable)).alias(one)
+    once = among(repeated, "left_semi").groupBy(*names).agg(first).select(f"{one}.*")
+    return among(repeated, "left_anti").select(*docs.columns).unionByName(once)

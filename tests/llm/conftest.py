@@ -3,6 +3,8 @@
 import pytest
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, ids string, score string, spans string"
+#: Names that operators use inside, or used to.
+CLASHING = "_words _size words size mix_row _mix_row row _place one t1 t2 n first digest _score _text _id shard slot next own at stretch node kept".split()
 
 BASE = "the quick brown fox jumps over the lazy dog and runs to the house of a friend by the river with his sister"
 
@@ -20,7 +22,7 @@ def texts():
 @pytest.fixture(scope="session")
 def docs(spark):
     rows = [(i, t, "en", None if k % 4 == 3 else f"s{k % 3}", len(t or ""), "x", "y", "z") for k, (i, t) in enumerate(texts())]
-    return spark.createDataFrame(rows, SCHEMA)
+    return spark.createDataFrame([(*r, *CLASHING) for r in rows], SCHEMA + "".join(f", `{c}` string" for c in CLASHING))
 
 
 @pytest.fixture(scope="session")

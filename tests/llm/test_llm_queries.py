@@ -11,6 +11,7 @@ from anaquel.llm import byte_bpe, personal, queries
 from anaquel.llm.common import WORD
 from anaquel.session import materialise
 from tests.compare import check, duck
+from tests.llm.conftest import CLASHING
 from tests.llm.test_structures import components
 
 SF = "0.001"
@@ -95,15 +96,25 @@ def test_pipeline_by_brute_force(spark):
 
 
 def test_pipeline_cases(spark, docs, nothing):
-    labelled = docs.select("doc_id", "text", "lang", "source", "n_chars", "ids")
-    for table in (labelled, nothing.select(*labelled.columns)):
+    for table in (docs, nothing):
+        labels = spark.createDataFrame([(1, 1), (8, 0)], "doc_id long, quality int")
+        labels.write.mode("overwrite").parquet(f"{spark.conf.get('spark.checkpoint.dir')}/case/labels.parquet")
+        good = corpus_pipeline.keep_good(spark, table, f"{spark.conf.get('spark.checkpoint.dir')}/case")
         left = corpus_pipeline.drop_near_copies(spark, table, "")
-        assert left.columns == labelled.columns
-        ids = [r["doc_id"] for r in left.collect()]
-        assert len([i for i in ids if i is not None]) == len({i for i in ids if i is not None})
         masked = corpus_pipeline.mask_personal_data(spark, left, "")
         mixed = corpus_pipeline.mix_sources(spark, masked, "")
-        assert mixed.columns == labelled.columns
+        for stage in (good, left, masked, mixed):
+            assert stage.columns == table.columns
+            # The user's own columns pass through, whatever their names.
+            assert all(r[c] == c for r in stage.select(*CLASHING).collect() for c in CLASHING)
         assert corpus_pipeline.to_tokens(spark, mixed, "").count() == mixed.count()
-    kept = {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, labelled, "").collect()}
-    assert {None, 1, 5, 6, 8, 10, 12} <= kept and 2 not in kept
+    left = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+    assert {None, 1, 5, 6, 8, 12} <= {i for i, _ in left} and 2 not in {i for i, _ in left}
+    assert sum(i == 10 for i, _ in left) == 2 and sum(i == 12 for i, _ in left) == 1
+
+
+def test_rows_of_one_id_are_judged_by_their_texts(spark):
+    a, b = "the first text has these words and is long enough for shingles", "quite another one with nothing in common but its id"
+    rows = [(1, a), (1, b), (5, a), (7, b + " too"), (7, b + " too"), (9, ""), (9, ""), (None, a)]
+    left = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert sorted(map(tuple, left), key=repr) == sorted([(1, a), (1, b), (9, ""), (9, ""), (None, a)], key=repr)
