@@ -4,49 +4,33 @@ Quality rejects junk, one document of each group of near copies stays, personal
 mixed to their targets, and what is left becomes token ids. Each stage gets what the one before kept, as a
 Parquet table; all but the last return the columns of ``documents``.
 
-The stages handle nulls, empty tables, repeated rows and further columns as their operators say. Rows that
-share an id count as one document in the second stage: one of them stays.
+The stages handle nulls, empty tables, repeated rows and further columns (of any names) as their operators say. The
+second stage decides for each text: rows that share an id but not a text go or stay each for itself.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anaquel.llm import byte_bpe, minhash, mixing, personal, quality
-from anaquel.llm.common import table
+from anaquel.llm.common import table, unused
 from anaquel.session import materialise
 
 #: Documents below this chance of label 1 are rejected.
 LEAST_QUALITY = 0.3
-#: Ids up to this number are sent to all tasks (8 bytes each) instead of shuffling the texts.
-SENT_IDS = 1_000_000
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.fit(docs, table(spark, sf_dir, "labels"), F.lit(True))
-    scored = quality.score(docs, model, out="_score")
-    return scored.where(F.col("_score") >= LEAST_QUALITY).select(*docs.columns)
-
-
-def among(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Documents by whether their id is among ``ids``; few ids are sent, many are shuffled."""
-    few = ids.count() <= SENT_IDS
-    return docs.join(F.broadcast(ids) if few else ids, "doc_id", how).select(*docs.columns)
+    [score] = unused(docs, "score")
+    scored = quality.score(docs, model, out=score)
+    return scored.where(F.col(score) >= LEAST_QUALITY).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = materialise(minhash.near_duplicates(docs, words=5, percent=80, sketches=7), "near-copies").where("doc_id is not null")
-    by_id = judged.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.bool_or("kept").alias("kept"))
-    by_id = materialise(by_id, "kept-ids")
-    left = among(docs, by_id.where("not kept").select("doc_id"), "left_anti")
-    repeated = by_id.where("kept and rows > 1").select("doc_id")
-    if repeated.isEmpty():
-        return left
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
-    one = among(left, repeated, "left_semi").withColumn("_place", F.row_number().over(first)).where("_place = 1")
-    return among(left, repeated, "left_anti").unionByName(one.select(*docs.columns))
+    return minhash.drop_near_copies(docs, words=5, percent=80, sketches=7)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
