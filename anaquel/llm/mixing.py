@@ -103,25 +103,28 @@ def mix(
     total = int(targets.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0])
     budget = total if budget is None else min(budget, total)
     share = budget / total if total else 0.0
-    known = targets.withColumnRenamed("source", "of")
+    # The words due to each source by the end: shares of the budget, rounded so that they add up to it.
+    upto = running(ranged(targets, ["place"], "target-order"), None, {"upto": F.col("target") * share})
+    ends, begins = F.floor(F.col("upto") + 0.5), F.floor(F.col("upto") - F.col("target") * share + 0.5)
+    known = materialise(upto.select(F.col("source").alias("of"), "source_size", "target", "place", (ends - begins).cast("long").alias("due")), "due")
     joined = rows.join(known, rows["source"].eqNullSafe(F.col("of"))).drop("of")
     queues = running(ranged(joined, ["place", "draw", "doc_id", "size", "row"], "queues"), "place", {"sent": F.col("size")})
     first = F.col("sent") - F.col("size")
-    due = F.floor(F.col("target") * share + 0.5).cast("long")
     # Pass after pass over the source, as long as the copy starts before the source's share of the budget is sent.
-    passes = F.greatest(F.lit(0), F.ceil((F.col("target") * share - first) / F.col("source_size"))).cast("int")
+    passes = F.greatest(F.lit(0), F.ceil((F.col("due") - first) / F.col("source_size"))).cast("int")
     passes = F.when(F.col("size") > 0, passes).otherwise(0)
     copies = queues.withColumn("repeat", F.explode_outer(F.when(passes > 0, F.sequence(F.lit(0), passes - 1))))
     begin = first + F.col("repeat") * F.col("source_size")
-    early = F.greatest(F.lit(0), F.least(F.col("size"), due - begin)).cast("long")
-    parcel = lambda at, words: F.struct(at.cast("long").alias("first"), words.cast("long").alias("words"))
-    parcels = F.filter(F.array(parcel(F.lit(0), early), parcel(early, F.col("size") - early)), lambda p: p["words"] > 0)
+    early = F.greatest(F.lit(0), F.least(F.col("size"), F.col("due") - begin)).cast("long")
+    parcel = lambda at, words, late: F.struct(at.cast("long").alias("first"), words.cast("long").alias("words"), F.lit(late).alias("late"))
+    parcels = F.filter(F.array(parcel(F.lit(0), early, False), parcel(early, F.col("size") - early, True)), lambda p: p["words"] > 0)
     cut = copies.withColumn("parcel", F.explode_outer(F.when(F.col("repeat").isNotNull(), parcels)))
-    finish = (begin + F.col("parcel.first") + F.col("parcel.words")) / F.col("target")
+    end = (begin + F.col("parcel.first") + F.col("parcel.words")) / F.col("target")
+    finish = F.when(F.col("parcel.late"), F.greatest(end, F.lit(share))).otherwise(F.least(end, F.lit(share)))
     columns = ["row", "doc_id", "source", "size", "source_size", "target", "repeat"]
-    timed = cut.select(*columns, "parcel.first", F.coalesce("parcel.words", F.lit(0)).alias("held"), finish.alias("finish"))
+    timed = cut.select(*columns, "parcel.first", "parcel.late", F.coalesce("parcel.words", F.lit(0)).alias("held"), finish.alias("finish"))
     idle = timed.where("held = 0").withColumn("words", F.lit(0).cast("long"))
-    order = ["finish", "source_size", "first", "doc_id", "size", "repeat", "row"]
+    order = ["finish", "late", "source_size", "first", "doc_id", "size", "repeat", "row"]
     sent = running(ranged(materialise(timed.where("held > 0"), "parcels"), order, "mix-order"), None, {"upto": F.col("held")})
     words = F.greatest(F.lit(0), F.least(F.col("held"), F.lit(budget) - (F.col("upto") - F.col("held")))).cast("long")
     whole = sent.withColumn("words", words).drop("_part", "_at", "upto").unionByName(idle)
