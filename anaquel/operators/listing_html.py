@@ -3,22 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anaquel import registry as R
 from anaquel.functions.brands import infer_brand
-from anaquel.functions.html import BOUNDARY, html_nodes
+from anaquel.functions.html import BOUNDARY, LEVELS, html_nodes
 from anaquel.functions.promotions import percent_computed
 from anaquel.functions.text import all_matches, blank_to_null, clean_text, first_match, once
 from anaquel.functions.urls import absolute_url, sku_detail
 from anaquel.operators.prices import resolve_prices
-from anaquel.operators.shape import CARD_LENGTH, product_link
+from anaquel.operators.shape import product_link
 
 # Fixed value: wording that marks a pickup offer near a link.
 PICKUP_WORDS = r"(?i)pickup|recoge|recoger|recogida"
-LONGEST = 2**31 - 1  # where a rule has no upper bound
 
 ANCHOR = r"(?is)(<a\b[^>]*>.*?</a>)"
 HREF = r"""(?is)^<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
@@ -183,47 +183,69 @@ def _is_link(n: Column) -> Column:
     return (n["tag"] == "a") & attribute(n, "href").isNotNull()
 
 
+@dataclass(frozen=True)
+class CardRule:
+    """How a retailer's cards are found on a page.
+
+    ``starts`` names the nodes that start a card; ``judged`` makes what the page's nodes are judged by, once per page;
+    ``climb`` goes from a start to the card, over ``levels`` nodes at most, the start included; ``read`` reads the card, and
+    ``counts`` says whether it counts. ``shortest`` is the least length of a card's text. Cards may be of any length:
+    ``widest`` only ends the choice of the widest of several candidates, and one beyond it is taken if there is no other.
+    """
+
+    starts: Callable[[Column], Column]
+    judged: Callable[["CardRule"], Column]
+    climb: Callable[[Column, Column, "CardRule"], Column]
+    read: Callable[[Column, Column, Column], Column]
+    counts: Callable[[Column], Column]
+    levels: int = 1
+    shortest: int = 0
+    widest: int | None = None
+
+
 # A retailer's climbing rule asks the same of every ancestor, so each node is judged once per page, from its text;
-# climbing then reads these numbers only. 0: no card, 1: a card, 2: a card with actions.
-def _fits_labelled(n: Column) -> Column:
-    return (_money(flat_text(n)) & (F.length(loose_text(n)) > 20)).cast("int")
+# climbing then reads these numbers only. 0: no card, 1: a card, 2: a card with actions, 3 and 4: the same, but wide.
+def _fits_labelled(n: Column, rule: CardRule) -> Column:
+    return (_money(flat_text(n)) & (F.length(loose_text(n)) >= rule.shortest)).cast("int")
 
 
-def _fits_selected(n: Column) -> Column:
-    low, high = CARD_LENGTH["chedraui"]
-    return bound(flat_text(n), lambda t: (_money(t) & F.length(t).between(low, high or LONGEST)).cast("int"))
+def _fits_selected(n: Column, rule: CardRule) -> Column:
+    return bound(flat_text(n), lambda t: (_money(t) & (F.length(t) >= rule.shortest)).cast("int"))
 
 
-def _fits_with_actions(n: Column) -> Column:
-    low, high = CARD_LENGTH["farmacias-guadalajara"]
-    fits = lambda t: t.rlike(R.MONEY_AMOUNT) & F.length(t).between(low, high or LONGEST)
+def _fits_with_actions(n: Column, rule: CardRule) -> Column:
+    fits = lambda t: t.rlike(R.MONEY_AMOUNT) & (F.length(t) >= rule.shortest)
     acts = lambda t: t.rlike("(?i)Agregar|Comparar|Favoritos").cast("int")
-    return bound(shown_text(n), lambda t: F.when(fits(t), 1 + acts(t)).otherwise(0))
+    wide = lambda t: F.lit(0) if rule.widest is None else 2 * (F.length(t) > rule.widest).cast("int")
+    return bound(shown_text(n), lambda t: F.when(fits(t), 1 + acts(t) + wide(t)).otherwise(0))
 
 
-def _fits_with_price(n: Column) -> Column:
+def _fits_with_price(n: Column, rule: CardRule) -> Column:
     return F.contains(_raw(n), F.lit("$")).cast("int")
 
 
-def _climbed(n: Column, fits: Column, levels: int, least: int = 1) -> Column:
-    """Positions of the node and its ancestors that fit, nearest first."""
-    return F.filter(F.slice(n["up"], 1, levels), lambda p: F.get(fits, p) >= least)
+def _climbed(n: Column, fits: Column, levels: int, *kinds: int) -> Column:
+    """Positions of the node and its ancestors that are of one of the kinds (by default, that fit), nearest first."""
+    wanted = (lambda k: k.isin(*kinds)) if kinds else (lambda k: k > 0)
+    return F.filter(F.slice(n["up"], 1, levels), lambda p: wanted(F.get(fits, p)))
 
 
-def _nearest_or_widest(n: Column, fits: Column) -> Column:
-    """The nearest fitting node on the way up, else the tenth ancestor or the root."""
-    return node_at(F.coalesce(F.get(_climbed(n, fits, 10), F.lit(0)), F.element_at(n["up"], -1)))
+def _nearest_or_widest(n: Column, fits: Column, rule: CardRule) -> Column:
+    """The nearest fitting node on the way up, else the last one in reach."""
+    above = F.try_element_at(F.slice(n["up"], 1, rule.levels + 1), F.lit(-1))
+    return node_at(F.coalesce(F.get(_climbed(n, fits, rule.levels), F.lit(0)), above))
 
 
-def _card_with_actions(n: Column, fits: Column) -> Column:
-    """The nearest fitting ancestor that shows a card's actions, else the widest fitting one."""
-    acting = F.get(_climbed(n, fits, 9, 2), F.lit(0))
-    widest = F.try_element_at(_climbed(n, fits, 9), F.lit(-1))
-    return node_at(F.coalesce(acting, widest, F.get(n["up"], F.lit(1)), n["pos"]))
+def _card_with_actions(n: Column, fits: Column, rule: CardRule) -> Column:
+    """The nearest fitting ancestor that shows a card's actions, else the widest fitting one; wide ones come after these,
+    the nearest first."""
+    nearest = lambda *kinds: F.get(_climbed(n, fits, rule.levels, *kinds), F.lit(0))
+    widest = F.try_element_at(_climbed(n, fits, rule.levels, 1, 2), F.lit(-1))
+    return node_at(F.coalesce(nearest(2), widest, nearest(4), nearest(3), F.get(n["up"], F.lit(1)), n["pos"]))
 
 
-def _card_with_price(n: Column, fits: Column) -> Column:
-    return node_at(F.coalesce(F.get(_climbed(n, fits, 8), F.lit(0)), F.get(n["up"], F.lit(7)), n["pos"]))
+def _card_with_price(n: Column, fits: Column, rule: CardRule) -> Column:
+    return node_at(F.coalesce(F.get(_climbed(n, fits, rule.levels), F.lit(0)), F.get(n["up"], F.lit(rule.levels - 1)), n["pos"]))
 
 
 def _texts(n: Column, test: Callable[[Column], Column], keep: Callable[[Column], Column]) -> Column:
@@ -415,29 +437,34 @@ def _is_tile(n: Column) -> Column:
     return class_is(n, "product-tile") & class_is(n, "js-product-card")
 
 
-def _itself(n: Column, _: Column) -> Column:
+def _itself(n: Column, _: Column, __: CardRule) -> Column:
     return n
 
 
-def _judged(fits: Callable[[Column], Column]) -> Callable[[], Column]:
-    return lambda: F.transform("nodes", fits)
+def _judged(fits: Callable[[Column, CardRule], Column]) -> Callable[[CardRule], Column]:
+    return lambda rule: F.transform("nodes", lambda n: fits(n, rule))
 
 
-def _boxes() -> Column:
+def _boxes(_: CardRule) -> Column:
     return F.filter("nodes", lambda n: class_is(n, "pdp-link"))
 
 
-# Per retailer: which nodes start a card, what the page's nodes are judged by, how to climb to the card from there,
-# what to read from it, and what makes the card count.
+# How far each rule climbs, the shortest text of a card, and where the choice of the widest ends.
 CARD_RULES = {
-    "soriana": (_is_tile, _boxes, _itself, _tile, lambda c: F.lit(True)),
-    "walmart": (_links("walmart"), _judged(_fits_labelled), _nearest_or_widest, _labelled, lambda c: _money(c["text"])),
-    "chedraui": (_links("chedraui"), _judged(_fits_selected), _nearest_or_widest, _selected, lambda c: _money(c["text"])),
-    "farmacias-guadalajara": (
+    "soriana": CardRule(_is_tile, _boxes, _itself, _tile, lambda c: F.lit(True)),
+    "walmart": CardRule(
+        _links("walmart"), _judged(_fits_labelled), _nearest_or_widest, _labelled, lambda c: _money(c["text"]), levels=10, shortest=21
+    ),
+    "chedraui": CardRule(
+        _links("chedraui"), _judged(_fits_selected), _nearest_or_widest, _selected, lambda c: _money(c["text"]), levels=10, shortest=21
+    ),
+    "farmacias-guadalajara": CardRule(
         _links("farmacias-guadalajara"), _judged(_fits_with_actions), _card_with_actions, _with_actions,
-        lambda c: c["text"].rlike(R.MONEY_AMOUNT) & c["product"].isNotNull(),
+        lambda c: c["text"].rlike(R.MONEY_AMOUNT) & c["product"].isNotNull(), levels=9, shortest=15, widest=3000,
+    ),
+    "farmacias-san-pablo": CardRule(
+        _coded_or_linked, _judged(_fits_with_price), _card_with_price, _with_price, lambda c: c["text"] != "", levels=8
     ),
-    "farmacias-san-pablo": (_coded_or_linked, _judged(_fits_with_price), _card_with_price, _with_price, lambda c: c["text"] != ""),
 }
 
 
@@ -455,25 +482,25 @@ def _first_links(nodes: Column) -> Column:
     return F.transform(F.array_sort(F.transform(firsts, lambda x: x["at"])), lambda at: F.get(nodes, at))
 
 
-def cards_in_nodes(nodes: DataFrame, retailer_id: str, keys: list[str]) -> DataFrame:
+def cards_in_nodes(nodes: DataFrame, retailer_id: str, keys: list[str], rule: CardRule | None = None) -> DataFrame:
     """Product cards of one retailer's parsed pages (see :func:`html_nodes`), in page order."""
-    starts, judged, climb, read, counts = CARD_RULES[retailer_id]
+    rule = rule or CARD_RULES[retailer_id]
     # Every value that a lambda names is bound: the optimiser would copy a column's expression into the lambda
     # and so compute it for each element.
-    links = F.filter("nodes", starts)
+    links = F.filter("nodes", rule.starts)
     if retailer_id in FIRST_LINK_ONLY:
         links = bound(links, _first_links)
 
     def read_all(found: Column) -> Column:
-        cards = F.transform(links, lambda n: bound(climb(n, found), lambda card: read(n, card, found)))
-        return F.filter(cards, counts)
+        cards = F.transform(links, lambda n: bound(rule.climb(n, found, rule), lambda card: rule.read(n, card, found)))
+        return F.filter(cards, rule.counts)
 
-    cards = nodes.select(*keys, bound(judged(), read_all).alias("cards"))
+    cards = nodes.select(*keys, bound(rule.judged(rule), read_all).alias("cards"))
     return cards.select(*keys, F.posexplode("cards").alias("position", "card")).select(*keys, "position", "card.*")
 
 
-def extract_cards(captures: DataFrame, retailer_id: str, keys: list[str]) -> DataFrame:
-    """Product cards of one retailer's pages, in page order.
+def extract_cards(captures: DataFrame, retailer_id: str, keys: list[str], rule: CardRule | None = None) -> DataFrame:
+    """Product cards of one retailer's pages, in page order, by the retailer's rule or another.
 
     Cards are built inside the page's row, so the node arrays are neither copied per card nor
     shuffled. The first card per link is kept by :func:`anaquel.operators.dedup.dedup_in_page`.
@@ -481,7 +508,9 @@ def extract_cards(captures: DataFrame, retailer_id: str, keys: list[str]) -> Dat
     up in every task. Pages of many retailers are parsed once and stored by retailer
     (:func:`anaquel.plans.extract.observations_from_pages`).
     """
-    return cards_in_nodes(html_nodes(captures.where(F.col("retailer_id") == retailer_id), keys), retailer_id, keys)
+    rule = rule or CARD_RULES[retailer_id]
+    pages = captures.where(F.col("retailer_id") == retailer_id)
+    return cards_in_nodes(html_nodes(pages, keys, max(LEVELS, rule.levels + 1)), retailer_id, keys, rule)
 
 
 def pickup_links(captures: DataFrame, keys: list[str], limit: int | None = None) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from anaquel import registry as R
@@ -9,6 +11,7 @@ from anaquel.operators import dedup as D
 from anaquel.operators import listing_html as H
 from anaquel.operators import payloads as Q
 from anaquel.operators.aggregates import slice_summary
+from anaquel.operators.slices import union_retailers
 from anaquel.plans.category_batch import category_batch
 from anaquel.plans.extract import cards_of_all, observations_from_pages, observations_from_payloads
 from anaquel.schema import CAPTURE
@@ -180,6 +183,46 @@ def deep_tile_links(spark, sf):
     return H.extract_cards(pages, "soriana", PAGE).select("page_id", "href", "product")
 
 
+# Two cards a page, each of over 3,000 characters and with its own price; the link stands twelve nodes deep in half of them.
+LONG_CARD = (
+    "'<div class=\"card\">' || repeat('<div>', {deep}) || '<a href=\"/' || page_id || '-' || k || '-{code}\" title=\"Producto ' || k || '\">Producto '"
+    " || k || '</a>' || repeat('</div>', {deep}) || '<p>' || repeat('detalle largo ', 300) || '</p><b>$' || (15 + k) || '.50</b>{action}</div>'"
+)
+
+
+def long_card_pages(spark, sf, code, action):
+    card = LONG_CARD.format(deep="case when page_id % 2 = 0 then 12 else 1 end", code=code, action=action)
+    html = f"'<main><p>Oferta del día</p>' || array_join(transform(sequence(1, 2), k -> {card}), '') || '</main>'"
+    return V.spread(V.table(spark, sf, "pages")).selectExpr("page_id", f"{html} as html")
+
+
+LONG_FORMS = {
+    "chedraui": ("0/p", ""), "farmacias-guadalajara": ("12345.html", "<button>Agregar</button>"), "walmart": ("0/ip/x", ""),
+}
+
+
+@query(
+    "extract_long_cards",
+    " union all ".join(
+        f"select page_id, '{r}' as retailer_id, '/' || page_id || '-' || k || '-{code}' as href, true as own_price, false as other_price, true as long_card "
+        "from pages, unnest(generate_series(1, 2)) as t(k)"
+        for r, (code, _) in LONG_FORMS.items()
+    ),
+)
+def extract_long_cards(spark, sf):
+    """Each product gets the price of its own card, however long the card is and however deep its link."""
+    parts = []
+    for retailer_id, (code, action) in LONG_FORMS.items():
+        pages = long_card_pages(spark, sf, code, action).withColumn("retailer_id", F.lit(retailer_id))
+        rule = replace(H.CARD_RULES[retailer_id], levels=20)
+        parts.append(H.extract_cards(pages, retailer_id, PAGE, rule).withColumn("retailer_id", F.lit(retailer_id)))
+    k = F.regexp_extract("href", r"^/\d+-(\d)", 1).cast("int")
+    holds = lambda number: F.contains("text", F.concat(F.lit("$"), (15 + number).cast("string"), F.lit(".50")))
+    return union_retailers(parts).select(
+        "page_id", "retailer_id", "href", holds(k).alias("own_price"), holds(3 - k).alias("other_price"), (F.length("text") > 3000).alias("long_card")
+    )
+
+
 @query(
     "twin_cards",
     "select page_id, repeat('igual ', 40) || k as text from pages, unnest(generate_series(1, 2)) as t(k)",
