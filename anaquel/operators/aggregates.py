@@ -14,8 +14,8 @@ def count_nonempty(c: str) -> Column:
     return F.count_if(~is_blank(F.col(c)))
 
 
-def slice_summary(df: DataFrame) -> DataFrame:
-    return df.groupBy(*SUMMARY_KEY).agg(
+def slice_summary(df: DataFrame, group: list[str] | None = None) -> DataFrame:
+    return df.groupBy(*(group or SUMMARY_KEY)).agg(
         F.count("*").alias("products"),
         F.count("sku").alias("sku_complete"),
         F.count("price_current").alias("price_complete"),

@@ -28,7 +28,7 @@ def test_stream_consolidate_equals_batches(spark, tmp_path):
     for b in batches:
         merge_batch(spark, expected, b)
         arrive(spark, tmp_path / "in", b)
-        writer = T.stream_consolidate(stream(spark, tmp_path / "in"), table, str(tmp_path / "staging"))
+        writer = T.stream_consolidate(stream(spark, tmp_path / "in"), table)
         T.run_to_end(writer, str(tmp_path / "state"))
     assert seen(scan_consolidated(spark, table)) == seen(scan_consolidated(spark, expected))
     assert len(seen(scan_consolidated(spark, table))) == 3

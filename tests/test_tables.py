@@ -1,7 +1,6 @@
 """Consolidation, dimensions, deduplication and quality on small literal tables."""
 
 import datetime as dt
-import shutil
 
 import pytest
 
@@ -81,42 +80,114 @@ def test_empty_batch_changes_nothing(spark, tmp_path):
     assert seen(scan_consolidated(spark, path)) == before
 
 
-def test_merge_is_idempotent_and_finishes_from_staging(spark, tmp_path, monkeypatch):
-    path, staging = str(tmp_path / "table"), str(tmp_path / "staging")
+def test_a_commit_that_dies_leaves_the_table(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
     merge_batch(spark, path, frame(spark, observation("c", "1", store_id="7"), observation("d", "2")))
-    batch = frame(spark, observation("c", "3"))
+    before, batch = seen(scan_consolidated(spark, path)), frame(spark, observation("c", "3", store_id="7"), observation("e", "4"))
+
+    def dies(*_):
+        raise OSError("lost")
+
     with monkeypatch.context() as crash:
-        crash.setattr(consolidated, "_remove", lambda *_: None)
-        merge_batch(spark, path, batch, staging)
-    after = seen(scan_consolidated(spark, path))
-    # The crash came while buckets were put in place, and has lost some.
-    (staged,) = (tmp_path / "staging").glob("*/buckets")
-    for bucket in staged.glob("*/*/*"):
-        shutil.rmtree(tmp_path / "table" / bucket.relative_to(staged))
-    merge_batch(spark, path, batch, staging)
-    assert seen(scan_consolidated(spark, path)) == after
-    assert list((tmp_path / "staging").iterdir()) == []
-    merge_batch(spark, path, batch, staging)
-    assert seen(scan_consolidated(spark, path)) == after
-
-
-def test_used_staging_folder_takes_the_new_batch(spark, tmp_path, monkeypatch):
-    path, staging = str(tmp_path / "table"), str(tmp_path / "staging")
-    monkeypatch.setattr(consolidated, "_remove", lambda *_: None)
-    merge_batch(spark, path, frame(spark, observation("c", "1", "viejo")), staging)
-    merge_batch(spark, path, frame(spark, observation("c", "2", "nuevo")), staging)
-    assert {r["product"] for r in scan_consolidated(spark, path).collect()} == {"nuevo"}
-
-
-def test_files_of_other_slices_stay(spark, tmp_path):
-    path = tmp_path / "table"
+        crash.setattr(consolidated, "_commit", dies)
+        with pytest.raises(OSError):
+            merge_batch(spark, path, batch)
+    assert seen(scan_consolidated(spark, path)) == before
+    assert len(list((tmp_path / "table" / "data").iterdir())) == 2
+    consolidated.vacuum(spark, path)
+    assert len(list((tmp_path / "table" / "data").iterdir())) == 1 and seen(scan_consolidated(spark, path)) == before
+    for _ in range(2):
+        merge_batch(spark, path, batch)
+        assert {r[3] for r in seen(scan_consolidated(spark, path))} == {"2", "3", "4"}
+
+
+def test_readers_see_one_version_whole(spark, tmp_path):
+    """A frame made before a merge and read after it holds the old table; a new one the new table."""
+    path = str(tmp_path / "table")
+    merge_batch(spark, path, frame(spark, *[observation(c, c + "1") for c in "abc"]))
+    old = scan_consolidated(spark, path)
+    merge_batch(spark, path, frame(spark, *[observation(c, c + "2") for c in "ab"]))
+    assert {r["sku"] for r in old.collect()} == {"a1", "b1", "c1"}
+    assert {r["sku"] for r in scan_consolidated(spark, path).collect()} == {"a2", "b2", "c1"}
+
+
+def test_the_second_of_two_writers_is_refused(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    merge_batch(spark, path, frame(spark, observation("c", "1")))
+    write = consolidated._write_version
+
+    def slowly(*args):
+        monkeypatch.setattr(consolidated, "_write_version", write)
+        merge_batch(spark, path, frame(spark, observation("d", "2")))
+        return write(*args)
+
+    monkeypatch.setattr(consolidated, "_write_version", slowly)
+    with pytest.raises(consolidated.CommitConflict):
+        merge_batch(spark, path, frame(spark, observation("c", "9")))
+    assert {r["sku"] for r in scan_consolidated(spark, path).collect()} == {"1", "2"}
+
+
+def test_old_versions_expire(spark, tmp_path):
+    path = str(tmp_path / "table")
+    for k in range(6):
+        merge_batch(spark, path, frame(spark, observation("c", str(k)), *([observation("d", "d")] if k == 0 else [])))
+    assert consolidated.commits(spark, path) == [5, 6]
+    # The first version still holds category d, the last two category c.
+    assert len(list((tmp_path / "table" / "data").iterdir())) == len(list((tmp_path / "table" / "summary").iterdir())) == 3
+    assert {r["sku"] for r in scan_consolidated(spark, path).collect()} == {"5", "d"}
+
+
+def summary_of(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_stored_summary_follows_the_table(spark, tmp_path):
+    path = str(tmp_path / "table")
+    assert summary_of(consolidated.scan_summary(spark, path)) == []
+    batches = [
+        [observation("c", str(k), store_id=str(k % 5), store=f"S{k % 2}", url=None if k % 3 else "u") for k in range(20)] + [observation("", "x")],
+        [observation("c", None, price=None, store_id="3"), observation("d", "1", city=None)],
+        [observation("c", "n", store_id=""), observation("", "y"), observation("c", "m", store_id=None, city="")],
+    ]
+    for rows in batches:
+        merge_batch(spark, path, frame(spark, *rows))
+        assert summary_of(consolidated.scan_summary(spark, path)) == summary_of(A.slice_summary(scan_consolidated(spark, path)))
+    write_consolidated(frame(spark, observation("z", "1")), path)
+    assert summary_of(consolidated.scan_summary(spark, path)) == [("Soriana", "z", CDMX, None, None, 1, 1, 1, 1)]
+
+
+def test_hot_category_grows_buckets(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    rows = lambda stores, sku: [observation("hot", f"{sku}-{s}", store_id=str(s)) for s in stores] + [observation("cold", sku)]
+    merge_batch(spark, path, frame(spark, *rows(range(64), "a")))
+    codes = lambda: {b.code for b in consolidated.current(spark, path)[1] if b.category_id == "hot"}
+    assert codes() == {"0-0"}
+    size = max(b.size for b in consolidated.current(spark, path)[1])
+    monkeypatch.setattr(consolidated, "BUCKET_BYTES", size // 5)
+    merge_batch(spark, path, frame(spark, *rows([1], "b")))
+    assert len(codes()) > 4 and scan_consolidated(spark, path).count() == 65
+    files = {b.code: b.version for b in consolidated.current(spark, path)[1] if b.category_id == "hot"}
+    monkeypatch.setattr(consolidated, "BUCKET_BYTES", size * 9)
+    merge_batch(spark, path, frame(spark, *rows([1], "c"), observation("hot", "new", store_id="999")))
+    after = {b.code: b.version for b in consolidated.current(spark, path)[1] if b.category_id == "hot"}
+    # At most two buckets were touched; all others keep their files.
+    assert 1 <= sum(files[c] != after[c] for c in files) <= 2 and set(files) <= set(after)
+    got = {r["sku"] for r in scan_consolidated(spark, path).where("category_id = 'hot'").collect()}
+    assert got == {"c-1", "new", *[f"a-{s}" for s in range(64) if s != 1]}
+
+
+def test_files_of_other_slices_stay(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    monkeypatch.setattr(consolidated, "BUCKET_BYTES", 1)
     slices = [observation("c", str(k), store_id=str(k)) for k in range(12)]
-    merge_batch(spark, str(path), frame(spark, *slices))
-    before = {f.relative_to(path) for f in path.rglob("part-*")}
-    merge_batch(spark, str(path), frame(spark, observation("c", "99", store_id="3")))
-    after = {f.relative_to(path) for f in path.rglob("part-*")}
-    assert len({f.parent for f in before - after}) == 1 and len(before & after) >= 1
-    assert scan_consolidated(spark, str(path)).count() == 12
+    for _ in range(2):
+        merge_batch(spark, path, frame(spark, *slices))
+    before = set(scan_consolidated(spark, path).inputFiles())
+    monkeypatch.setattr(consolidated, "BUCKET_BYTES", 1 << 30)
+    merge_batch(spark, path, frame(spark, observation("c", "99", store_id="3")))
+    after = set(scan_consolidated(spark, path).inputFiles())
+    assert len({f.rsplit("/", 1)[0] for f in before - after}) == 1 and len(before & after) >= 1
+    assert scan_consolidated(spark, path).count() == 12
 
 
 def test_runs_arrive_in_parts(spark, tmp_path):

@@ -10,14 +10,13 @@ from anaquel import registry as R
 from anaquel.operators import dedup as D
 from anaquel.operators import listing_html as H
 from anaquel.operators import payloads as Q
-from anaquel.operators.aggregates import slice_summary
 from anaquel.operators.slices import union_retailers
 from anaquel.plans.category_batch import category_batch
 from anaquel.plans.extract import cards_of_all, observations_from_pages, observations_from_payloads
 from anaquel.schema import CAPTURE
 from anaquel.session import materialise, work_dir
 from anaquel.sources.captures import conform
-from anaquel.sources.consolidated import merge_batch, scan_consolidated
+from anaquel.sources.consolidated import merge_batch, scan_summary
 from anaquel.sources.dims import dim_category, dim_location
 from workload import views as V
 from workload.registry import SQL, edge, query
@@ -323,7 +322,7 @@ def category_run(spark, sf):
     table = work_dir(spark, "category-run")
     batch, _ = category_batch(rows, dim_category(spark), dim_location(spark))
     merge_batch(spark, table, batch)
-    return slice_summary(scan_consolidated(spark, table))
+    return scan_summary(spark, table)
 
 
 # Counters in page text and markup.

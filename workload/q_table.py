@@ -15,7 +15,7 @@ from anaquel.plans.consolidate import consolidate
 from anaquel.schema import OBSERVATION_COLUMNS, SLICE, SUMMARY_KEY
 from anaquel.session import materialise, work_dir
 from anaquel.sources.captures import read_summary_csv, write_summary_csv
-from anaquel.sources.consolidated import merge_batch, scan_consolidated, write_consolidated
+from anaquel.sources.consolidated import merge_batch, scan_consolidated, scan_summary, write_consolidated
 from anaquel.sources.dims import dim_category, dim_location
 from workload import views as V
 from workload.registry import edge, query, text_time
@@ -399,12 +399,25 @@ def consolidate_summary(spark, sf):
 @query("consolidated_table", f"with {CONSOLIDATED_CTE} select {RESULT_SQL} from consolidated")
 def consolidated_table(spark, sf):
     """The same through the table: fresh start, one batch merged, read back."""
+    return edge(scan_consolidated(spark, merged_table(spark, sf)).select(*RESULT))
+
+
+def merged_table(spark, sf):
     existing, incoming = V.batches(spark, sf)
     path = work_dir(spark, "consolidated")
     # The first generation keeps its duplicates apart by key already.
     write_consolidated(consolidate(existing.where("false"), existing), path)
     merge_batch(spark, path, incoming)
-    return edge(scan_consolidated(spark, path).select(*RESULT))
+    return path
+
+
+@query(
+    "consolidated_table_summary",
+    f"with {CONSOLIDATED_CTE} select {', '.join(SUMMARY_KEY)}, {SUMMARY_SQL} from consolidated group by {', '.join(SUMMARY_KEY)}",
+)
+def consolidated_table_summary(spark, sf):
+    """The summary that commits keep beside the table."""
+    return scan_summary(spark, merged_table(spark, sf))
 
 
 @query(
