@@ -5,32 +5,29 @@ splitters between shards are found by rounds: probes are set between the bounds
 aggregate counts the exact bytes below every probe over all partitions, and the bounds close in until a
 probe is within ``tolerance`` of its goal. If the bounds meet at one text whose copies are more than that,
 the search goes on among the ids of that text; groups within the tolerance stay whole. Each round sends a
-few hundred sums to the driver, whatever the size of the table. Then rows move once, to their shard.
+few hundred sums to the driver, whatever the size of the table. Then whole rows move once, to their shard (``exchange``),
+and are written there in the order of their keys; sizes, checksums and slots are read from what was written.
 
-The law is ``bytes``. Slots count the rows of a shard from 0: rows are numbered within buckets of about
-``BUCKET`` rows, by hash of the text, and of the id for texts of very many copies, and buckets are summed
-up within the shard.
+The law is ``bytes``. Slots count the rows of a shard from 0, in that order: sums over ranges of rows (``common.running``).
 
 Null texts count as empty and equal to them. Null ids and repeated rows are placed like all others; rows that
-agree in text and id stay together, whatever their number. An empty table gives an empty table. Columns
-besides ``doc_id`` and ``text`` do not matter for the placing and go along in ``exchange``.
+agree in text and id stay together, whatever their number, but are dealt over many tasks. An empty table gives an empty
+table. Columns besides ``doc_id`` and ``text`` do not matter for the placing, may have any names, and go along in
+``exchange``.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_right
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from anaquel.llm.common import last_at_most
-from anaquel.session import materialise
+from anaquel.llm.common import last_at_most, running, unused
+from anaquel.session import materialise, work_dir
 
 LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
 PROBES = 16
-BUCKET = 4_000
-#: At most so many texts can have more than this share's reciprocal of all rows.
-HOT_TEXTS = 10_000
 
 Splitter = tuple[int, int]
 
@@ -120,54 +117,31 @@ def shard_of(found: list[Splitter], text_key: Column, id_key: Column) -> Column:
     return sum(passed, F.lit(0)).cast("int")
 
 
-def fraction(key: Column, parts: Column | int) -> Column:
-    """Which of ``parts`` equal stretches of its range a hash lies in."""
-    return F.floor((F.shiftright(key, 16).cast("double") / float(1 << 48) + 0.5) * parts).cast("long")
-
-
 def assign(docs: DataFrame, shards: int = 16, tolerance: float = 0.01) -> DataFrame:
-    """``doc_id``, ``size``, ``text_crc32``, ``law``, ``shard``, ``slot``, ``grown_shard`` of each document."""
+    """``doc_id``, ``size``, ``text_crc32``, ``law``, ``shard``, ``slot``, ``grown_shard`` of each document, as exchanged."""
     text_key, id_key = keys()
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        (F.octet_length(text_of()) + 1).cast("long").alias("size"),
-        F.crc32(text_of()).alias("text_crc32"),
-        text_key.alias("text_key"),
-        id_key.alias("id_key"),
-    )
-    rows = materialise(rows, "shard-rows")
-    found = splitters(rows, shards, tolerance)
-    placed = rows.withColumn("shard", shard_of(found, F.col("text_key"), F.col("id_key")))
-    n = rows.count()
-    many = max(BUCKET, n // HOT_TEXTS)
-    # Fewer than HOT_TEXTS rows, as each stands for more than that share of all.
-    hot = rows.groupBy("text_key").agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > many)
-    marked = placed.join(F.broadcast(hot), "text_key", "left")
-    within = F.when(F.col("copies").isNotNull(), fraction(F.col("id_key"), F.ceil(F.col("copies") / many))).otherwise(0)
-    bucketed = marked.select(
-        "doc_id", "size", "text_crc32", "text_key", "id_key", "shard",
-        F.when(F.col("copies").isNotNull(), F.col("text_key")).otherwise(0).alias("hot"),
-        fraction(F.col("text_key"), max(1, -(-n // many))).alias("stretch"),
-        within.alias("within"),
+    size = (F.octet_length(text_of()) + 1).cast("long")
+    rows = materialise(docs.select(text_key.alias("text_key"), id_key.alias("id_key"), size.alias("size")), "shard-rows")
+    moved, shard, at = exchange(docs, splitters(rows, shards, tolerance), work_dir(docs.sparkSession, "shards"))
+    placed = moved.select(
+        F.col("doc_id").cast("long").alias("doc_id"), size.alias("size"), F.crc32(text_of()).alias("text_crc32"),
+        F.col(shard).alias("shard"), F.col(at).alias("_at"), F.shiftright(at, 33).alias("_part"),
     )
-    bucketed = materialise(bucketed, "shard-buckets")
-    bucket = ["shard", "stretch", "hot", "within"]
-    counts = bucketed.groupBy(*bucket).agg(F.count(F.lit(1)).alias("held"))
-    earlier = Window.partitionBy("shard").orderBy(*bucket[1:]).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*bucket, F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("offset"))
-    number = F.row_number().over(Window.partitionBy(*bucket).orderBy("text_key", "id_key", "doc_id", "size"))
-    numbered = bucketed.withColumn("number", number).join(offsets, bucket)
-    return numbered.select(
+    return running(placed, "shard", {"slot": F.lit(1).cast("long")}).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-        (F.col("offset") + F.col("number") - 1).cast("long").alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"),
+        (F.col("slot") - 1).alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
     )
 
 
-def exchange(docs: DataFrame, found: list[Splitter], path: str) -> None:
-    """Move whole rows once, and write each shard as a folder of files in key order."""
+def exchange(docs: DataFrame, found: list[Splitter], path: str) -> tuple[DataFrame, str, str]:
+    """Move whole rows once, and write each shard as a folder of files in key order. Gives the written rows, and the names
+    of two columns beside those of ``docs``: the shard, and the row's place in the order of all (with gaps)."""
+    shard, at, text, key, tie = unused(docs, "shard", "place", "text_key", "id_key", "tie")
     text_key, id_key = keys()
-    keyed = docs.withColumn("_text", text_key).withColumn("_id", id_key)
-    keyed = keyed.withColumn("shard", shard_of(found, F.col("_text"), F.col("_id")))
-    moved = keyed.repartitionByRange("shard", "_text", "_id").sortWithinPartitions("shard", "_text", "_id")
-    moved.drop("_text", "_id").write.partitionBy("shard").parquet(path)
+    keyed = docs.withColumns({text: text_key, key: id_key, tie: F.monotonically_increasing_id()})
+    keyed = keyed.withColumn(shard, shard_of(found, F.col(text), F.col(key)))
+    order = [shard, text, key, tie]
+    moved = keyed.repartitionByRange(*order).sortWithinPartitions(*order).drop(text, key, tie)
+    moved = moved.withColumn(at, F.monotonically_increasing_id())
+    moved.write.partitionBy(shard).parquet(path)
+    return docs.sparkSession.read.schema(moved.schema).parquet(path), shard, at

@@ -234,7 +234,19 @@ def test_exchange(docs, tmp_path):
     text_key, id_key = sharding.keys()
     rows = docs.select(text_key.alias("text_key"), id_key.alias("id_key"), (F.octet_length(sharding.text_of()) + 1).cast("long").alias("size"))
     sharding.exchange(docs, sharding.splitters(rows, 3), f"file://{tmp_path}/shards")
-    assert docs.sparkSession.read.parquet(f"file://{tmp_path}/shards").count() == docs.count()
+    written = docs.sparkSession.read.parquet(f"file://{tmp_path}/shards")
+    # Every row moves whole, with the user's columns under their own names.
+    assert sorted(map(str, written.select(docs.columns).collect())) == sorted(map(str, docs.collect()))
+
+
+def test_shards_of_equal_rows(spark):
+    rows = spark.range(3_000).select(F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).alias("doc_id"), F.lit("same").alias("text"))
+    got = sharding.assign(rows, shards=4).collect()
+    assert len(got) == 3_000
+    for shard in {r["shard"] for r in got}:
+        mine = sorted(r["slot"] for r in got if r["shard"] == shard)
+        assert mine == list(range(len(mine)))
+    assert len({r["shard"] for r in got if r["doc_id"] == 1}) == 1
 
 
 def components(rows, words=3, percent=85):
