@@ -4,6 +4,7 @@ import datetime as dt
 
 
 from anaquel.schema import TRACKED
+from anaquel.sources.changes import add_changes, scan_changes, stretches
 from anaquel.sources.consolidated import merge_batch, scan_consolidated
 from anaquel.streaming import jobs as T
 from tests.test_tables import frame, observation, seen
@@ -56,6 +57,55 @@ def test_latest_price_over_batches(spark, tmp_path):
     assert got == {("1", 10.0, 1), ("2", 5.0, 1), ("1", 8.0, 3)}
 
 
+def test_changes_by_time_whatever_the_order_of_arrival(spark, tmp_path):
+    def sighting(sku, day, price):
+        return observation("c", sku, price=price, scrape_timestamp=dt.datetime(2026, 1, 1) + dt.timedelta(days=day))
+
+    batches = [
+        [sighting("1", 1, 10.0), sighting("1", 4, 12.0), sighting("1", 4, 11.0), sighting("2", 2, 5.0), sighting(None, 1, 3.0)],
+        [sighting("1", 3, 9.0), sighting("1", 4, 12.0), sighting("2", 9, 5.0), sighting("3", 1, None)],
+        [sighting("1", 1, 99.0), sighting("2", 30, 6.0), sighting("1", 30, 12.0), sighting(None, 28, 3.0)],
+        [sighting("1", 30, 12.0), sighting("2", 90, 7.0)],
+    ]
+    for b in batches:
+        arrive(spark, tmp_path / "in", frame(spark, *b))
+        out = T.stream_price_changes(stream(spark, tmp_path / "in"), "5 days", groups=3, forget_days=20)
+        T.run_to_end(out.writeStream.format("parquet").option("path", str(tmp_path / "out")), str(tmp_path / "state"))
+    price = lambda p: None if p is None else float(p)
+    got = [
+        (r["sku"], (r["scrape_timestamp"] - dt.datetime(2026, 1, 1)).days, price(r["previous_price"]), price(r["price_current"]))
+        for r in spark.read.parquet(str(tmp_path / "out")).collect()
+    ]
+    # Day 1 at 99.00 is too late; after 26 and 21 days products count as new; day 90 is still open.
+    assert sorted(got, key=repr) == sorted(
+        [
+            ("1", 1, None, 10.0), ("1", 3, 10.0, 9.0), ("1", 4, 9.0, 12.0), ("1", 30, None, 12.0),
+            ("2", 2, None, 5.0), ("2", 30, None, 6.0), (None, 1, None, 3.0), (None, 28, None, 3.0),
+        ],
+        key=repr,
+    )
+
+
+def test_change_folders_stay_few(spark, tmp_path):
+    path, newest = str(tmp_path / "changes"), {}
+    for n in [*range(18), 15, 17]:  # two batches are repeated
+        rows = [(k, f"{k}-{n}") for k in {n % 5, n % 7, None}]
+        newest.update({k: v for k, v in rows if n > 15 or k not in newest or int(newest[k].partition("-")[2]) < n})
+        add_changes(spark.createDataFrame(rows, "k int, v string").coalesce(1), path, n, ["k"])
+        assert len(stretches(spark, path)) <= 3 * 3
+    assert stretches(spark, path) == [(0, 15), (16, 16), (17, 17)]
+    assert {r["k"]: r["v"] for r in scan_changes(spark, path, ["k"]).collect()} == newest
+
+
+def test_unfinished_merge_is_not_read(spark, tmp_path):
+    path = str(tmp_path / "changes")
+    for n in range(2):
+        add_changes(spark.createDataFrame([(n, "v")], "k int, v string"), path, n, ["k"])
+    spark.createDataFrame([(9, "half", 1)], "k int, v string, batch long").write.parquet(f"{path}/0-1")
+    (tmp_path / "changes" / "0-1" / "_SUCCESS").unlink()
+    assert {r["k"] for r in scan_changes(spark, path, ["k"]).collect()} == {0, 1}
+
+
 def test_response_windows_drop_late_rows(spark, tmp_path):
     def responses(*hours):
         rows = [(dt.datetime(2026, 8, 18, h), 200, "https://x/Search-UpdateGrid", "abc", None) for h in hours]
