@@ -12,6 +12,7 @@ from anaquel.functions import money as M
 from anaquel.functions import text as X
 from anaquel.functions import urls as U
 from anaquel.operators import normalise as N
+from anaquel.operators.brand_index import match_brands
 from anaquel.operators.prices import extract_promotions, resolve_prices
 from anaquel.operators.screening import classify_blocks, classify_outcomes, verify_stores
 from anaquel.operators.shape import pickup_only, price_card_filter, product_link_filter
@@ -856,3 +857,63 @@ def usable_pages_query(spark, sf):
     pages = V.texts(spark, sf).selectExpr(*[f"{e} as {n}" for n, e in SESSION_PAGES.items()])
     usable = usable_pages(pages, dim_location(spark))
     return usable.select("doc_id", "retailer_id", "page_number", "page_method", "store_context_method")
+
+
+# Brands from a table. A theta join says the same; RE2 has no look-around, so the neighbours are spelled out.
+def theta_sql(ctes: str, select: str, on: str = "true") -> str:
+    escaped = r"regexp_replace(lower(brand), '([^\pL\pN_ ])', '\\\1', 'g')"
+    stands = rf"regexp_matches(lower(product), '(^|[^\pL\pN_])' || {escaped} || '($|[^\pL\pN_])')"
+    return (
+        f"with {ctes}, texts as (select distinct {select}product from named), "
+        f"hits as materialized (select {select and 'r.' + select}r.product, b.brand, b.priority from texts r join brands b "
+        f"on {on} and contains(lower(r.product), lower(b.brand))), "
+        f"firsts as (select {select}product, arg_min(brand, priority) as brand from hits where {stands} group by all) "
+    )
+
+
+MAKERS = {"brand": "c_name", "priority": "c_custkey"}
+MADE = {
+    "o_orderkey": "o_orderkey",
+    "product": "case o_orderkey % 5 when 0 then upper(c_name) || ' 90 ml' when 1 then 'Porta' || lower(c_name) when 2 then 'Caja (' || c_name || ') 2 pz' "
+    "when 3 then c_name || '0 y Customer#' || right(cast(1000000001 + o_custkey as string), 9) else 'Customer# sin marca' end",
+}
+
+
+def listed(columns: dict[str, str]) -> str:
+    return ", ".join(f"{e} as {n}" for n, e in columns.items())
+
+
+@query(
+    "brand_index_makers",
+    theta_sql(
+        f"named as (select {listed(MADE)} from orders join customer on o_custkey = c_custkey), brands as (select {listed(MAKERS)} from customer)", ""
+    )
+    + "select o_orderkey, n.product, f.brand as inferred from named n left join firsts f on f.product = n.product",
+)
+def brand_index_makers(spark, sf):
+    """A dictionary that grows with the tables: one word stands in all of its brands, the other in one."""
+    customers = V.table(spark, sf, "customer")
+    named = V.table(spark, sf, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    named = named.selectExpr(*[f"{e} as {n}" for n, e in MADE.items()])
+    return match_brands(named, customers.selectExpr(*[f"{e} as {n}" for n, e in MAKERS.items()]))
+
+
+BRAND_LISTS = [(r.retailer_id, i, b) for r in R.RETAILERS for i, b in enumerate(dict.fromkeys(r.brands))]
+
+
+@query(
+    "brand_index_retailers",
+    theta_sql(
+        f"{V.CARDS_CTE}, named as (select * from cards), brands(retailer_id, priority, brand) as (values "
+        + ", ".join(f"({V.quote(r)}, {i}, {V.quote(b)})" for r, i, b in BRAND_LISTS)
+        + ")",
+        "retailer_id, ",
+        "r.retailer_id = b.retailer_id",
+    )
+    + f"select {', '.join('n.' + k for k in KEY)}, n.product, f.brand as inferred from named n left join firsts f "
+    "on f.product = n.product and f.retailer_id = n.retailer_id",
+)
+def brand_index_retailers(spark, sf):
+    """Every retailer's own list as one table."""
+    brands = spark.createDataFrame(BRAND_LISTS, "retailer_id string, priority int, brand string")
+    return match_brands(V.cards(spark, sf), brands, by=("retailer_id",)).select(*KEY, "product", "inferred")
