@@ -728,11 +728,13 @@ def classify_block(spark, sf):
     return classify_blocks(V.texts(spark, sf)).select("doc_id", "retailer_id", "blocked")
 
 
-@query(
-    "classify_http",
-    f"with {V.TEXTS_CTE} select doc_id, case when status is null or (retailer_id = 'farmacias-del-ahorro' and status not between 200 and 299) "
-    "then 'NETWORK_UNAVAILABLE' when status >= 400 then 'ERROR' else 'OK' end as outcome from texts",
+OUTCOME_SQL = (
+    "case when status is null or (retailer_id = 'farmacias-del-ahorro' and status not between 200 and 299) "
+    "then 'NETWORK_UNAVAILABLE' when status >= 400 then 'ERROR' else 'OK' end"
 )
+
+
+@query("classify_http", f"with {V.TEXTS_CTE} select doc_id, {OUTCOME_SQL} as outcome from texts")
 def classify_http(spark, sf):
     return classify_outcomes(V.texts(spark, sf)).select("doc_id", "outcome")
 
