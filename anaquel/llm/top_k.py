@@ -7,9 +7,9 @@ Bounds are taken coarse to fine (one segment, then more), each time only for can
 bound left; products are computed exactly, in integers, for the survivors alone. The running k-th best
 product of a query is the threshold, and ties at it are never pruned, so results are exact.
 
-The queries are a stated set, matched with all rows in blocks: candidates are dealt evenly over cells of at
-most ``CELL`` rows, queries over blocks of at most ``QUERY_BLOCK`` rows, and a task sees one cell with one
-block. It hands on k rows per query; the k best of those are kept by a window.
+The queries are a stated set, matched with all rows in blocks: candidates are dealt by a hash of their place
+over cells of about ``CELL`` rows, queries over blocks of about ``QUERY_BLOCK`` rows, however the tables are split, and
+a task sees one cell with one block. It hands on k rows per query; the k best of those are kept by a window.
 
 Vectors that are null, or hold null or non-finite components, take no part. Vectors of different lengths are
 not compared. An empty vector has product 0 with other empty ones. A query is answered against all rows of
@@ -85,6 +85,11 @@ def whole_components(vector: Column, scale: int) -> Column:
     return F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("long"))
 
 
+def dealt_cell(cells: int) -> Column:
+    """A cell for each row of a written table, even whatever the rows hold and however many partitions they stand in."""
+    return F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(cells)).cast("int")
+
+
 def top_k(vectors: DataFrame, queries: Column, k: int = 10, scale: int = 1024, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``query_id``, ``rank`` from 1, ``vec_id``, ``score`` of the k best rows for each row where ``queries`` holds."""
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
@@ -94,7 +99,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 10, scale: int = 1024, k
     asking = materialise(rows.where("asks").groupBy("id").agg(F.min("v").alias("v")), "query-vectors")
     n, m = rows.count(), asking.count()
     cells, blocks = -(-n // CELL) or 1, -(-m // QUERY_BLOCK) or 1
-    dealt = rows.select("id", "v", F.size("v").alias("width"), (F.monotonically_increasing_id() % cells).cast("int").alias("cell"))
+    dealt = rows.select("id", "v", F.size("v").alias("width"), dealt_cell(cells).alias("cell"))
     dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asked = asking.select("id", "v", F.size("v").alias("width"), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"))
     asked = asked.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))))

@@ -19,6 +19,13 @@ def test_last_at_most(spark):
         assert r["at"] == sum(b <= r["id"] for b in bounds) - 1 and r["none"] == -1
 
 
+@pytest.mark.parametrize("partitions", [1, 7, 300])
+def test_cells_are_even_on_any_partitioning(spark, partitions):
+    rows = materialise(spark.range(2400).repartition(partitions), "cells")
+    sizes = [r["count"] for r in rows.groupBy(top_k.dealt_cell(8).alias("cell")).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1.3 * 300
+
+
 def whole(v):
     return [int(np.floor(1024 * float(np.float32(x)))) for x in v]
 
