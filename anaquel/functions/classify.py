@@ -79,14 +79,20 @@ def reported_products(log_text: Column) -> Column:
     return F.coalesce(first_match(log_text, R.REPORTED_PRODUCTS).try_cast("int"), F.lit(0))
 
 
+MARK = "\x1f"  # folded text holds none: it counts as white space
+
+
 def _near(text: Column, name: Column, hints: tuple[str, ...], reach: int) -> Column:
-    """A hint and the name within ``reach`` characters of each other, in either order."""
-    words = "|".join(hints)
-    quoted = F.concat(F.lit(r"\Q"), F.replace(name, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
-    either = F.concat(
-        F.lit(f"(?s)(?:{words}).{{0,{reach}}}"), quoted, F.lit("|"), quoted, F.lit(f".{{0,{reach}}}(?:{words})")
-    )
-    return F.rlike(text, either)
+    """A hint and the name within ``reach`` characters of each other, in either order.
+
+    The name differs from row to row, so its places are marked by plain replacement and the pattern stays constant. Marks
+    stand before the name where a hint precedes it, after it where one follows; the nearest mark decides. A mark may lie
+    inside a hint that another place of the name cuts into. Places of a name that overlap each other are taken from the left.
+    """
+    words = "|".join(f"{MARK}?".join(hint) for hint in hints)
+    before = F.replace(text, name, F.concat(F.lit(MARK), name)).rlike(f"(?s)(?:{words})[^{MARK}]{{0,{reach}}}{MARK}")
+    after = F.replace(text, name, F.concat(name, F.lit(MARK))).rlike(f"(?s){MARK}[^{MARK}]{{0,{reach}}}(?:{words})")
+    return before | after
 
 
 def _holds(text: Column, value: Column) -> Column:

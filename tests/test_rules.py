@@ -280,6 +280,12 @@ POLANCO = ("chedraui", "Chedraui Selecto México Polanco", "11500", "232")
         (TOREO, "", '{"pickupStore":{"id":"2344","name":"SC Toreo"},"postalCode":"11220"}', "browser_state"),
         (TOREO, "", '{"postalCode":"11220"}', None),
         (TOREO, "pickup" + " " * 3 + "x" * 101 + "sc toreo", "", None),
+        (TOREO, "sc toreo" + "x" * 100 + "pickup", "", "category_text"),
+        (TOREO, "sc toreo" + "x" * 101 + "pickup", "", None),
+        (TOREO, "recog" + "x" * 101 + "sc toreo y sc toreo" + "x" * 99 + "recog", "", "category_text"),
+        (("walmart", "Pickup Toreo", "", ""), "pickup toreo, pickup toreo", "", "category_text"),
+        (("walmart", "Pickup Toreo", "", ""), "hoy pickup toreo", "", None),
+        (("walmart", "kup (To.reo)", "", ""), "kup (to.reo) pickup (to.reo)", "", "category_text"),
         (POLANCO, "Recoger en Chedraui Selecto México Polanco 11500", "", "page_text"),
         (POLANCO, "", '{"storeName":"Selecto Polanco","storeId":"232"}', "browser_state"),
         (POLANCO, "Recoger en Chedraui Selecto México Santa Fe 01219", "", None),
