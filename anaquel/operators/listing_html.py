@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anaquel import registry as R
@@ -70,29 +70,61 @@ def category_key(html: Column) -> Column:
 
 
 # Structured data.
-_LD_FIELDS = (
-    "`@type`: string, name: string, brand: string, offers: string, gtin13: string, gtin12: string, gtin: string,"
-    " sku: string, mpn: string"
-)
-JSON_LD = f"array<struct<{_LD_FIELDS}, `@graph`: array<struct<{_LD_FIELDS}>>>>"
+def _listed(v: Column, path: str) -> Column:
+    """The elements of a list inside a variant; null where there is no list."""
+    return F.try_variant_get(v, path, "array<variant>")
 
 
-def json_ld_product(html: Column) -> Column:
-    """First product among a page's structured-data scripts; lists and @graph are looked into."""
-    names = ["@type", "name", "brand", "offers", *R.SKU_JSON_LD_KEYS]
+def json_ld_entries(script: Column) -> Column:
+    """Variants of all entries of a structured-data script in document order; none if it is no JSON.
+
+    Lists in lists and ``@graph`` in ``@graph`` are unrolled a layer at a time, to any depth. A script has at most as
+    many layers as opening brackets; steps after the last layer pass the entries on as they are.
+    """
+
+    def unread(v: Column) -> Column:
+        return F.struct(v.alias("v"), F.lit(False).alias("read"))
 
-    def entry(e: Column) -> Column:
-        return F.struct(*[e[n].alias(n.lstrip("@")) for n in names])
+    def unrolled(e: Column) -> Column:
+        graph = F.transform(_listed(e["v"], "$['@graph']"), unread)
+        itself = F.array(F.struct(e["v"].alias("v"), F.lit(True).alias("read")))
+        entry = F.concat(itself, F.coalesce(graph, F.array()))
+        return F.when(e["read"], F.array(e)).otherwise(F.coalesce(F.transform(_listed(e["v"], "$"), unread), entry))
 
-    def entries(script: Column) -> Column:
-        parsed = F.from_json(script, JSON_LD)
-        nested = F.transform(
-            parsed, lambda e: F.concat(F.array(entry(e)), F.coalesce(F.transform(e["@graph"], entry), F.array()))
+    def state(entries: Column) -> Column:
+        return bound(
+            entries, lambda es: F.struct(es.alias("entries"), F.exists(es, lambda e: ~e["read"]).alias("more"))
         )
-        return F.coalesce(F.flatten(nested), F.array())
 
-    found = F.flatten(F.transform(all_matches(html, JSON_LD_SCRIPT), entries))
-    return F.get(F.filter(found, lambda e: F.lower(e["type"]) == "product"), F.lit(0))
+    def step(held: Column, _: Column) -> Column:
+        layer = F.flatten(F.transform(held["entries"], unrolled))
+        return F.when(held["more"], state(layer)).otherwise(held)
+
+    layers = F.length(script) - F.length(F.replace(script, F.lit("["), F.lit("")))
+    start = F.struct(F.array(unread(F.try_parse_json(script))).alias("entries"), F.lit(True).alias("more"))
+    entries = F.aggregate(F.array_repeat(F.lit(0), layers), start, step)["entries"]
+    return F.filter(F.transform(entries, lambda e: e["v"]), lambda v: v.isNotNull())
+
+
+def json_ld_product(html: Column) -> Column:
+    """First product among a page's structured-data scripts; lists and ``@graph`` are looked into at any depth.
+
+    Where an object repeats a key, the last one counts (:func:`repeated_keys`).
+    """
+    names = ["name", "brand", "offers", *R.SKU_JSON_LD_KEYS]
+
+    def product(v: Column) -> Column:
+        return F.lower(F.try_variant_get(v, "$['@type']", "string")) == "product"
+
+    entries = F.flatten(F.transform(all_matches(html, JSON_LD_SCRIPT), json_ld_entries))
+    found = F.get(F.filter(entries, product), F.lit(0))
+    fields = lambda v: F.struct(*[F.try_variant_get(v, f"$.{n}", "string").alias(n) for n in names])
+    return bound(found, lambda v: F.when(v.isNotNull(), fields(v)))
+
+
+def repeated_keys(spark: SparkSession) -> None:
+    """Let JSON objects repeat a key when parsed to variants; the last one counts."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
 
 
 def json_ld_brand(ld: Column) -> Column:
@@ -102,6 +134,7 @@ def json_ld_brand(ld: Column) -> Column:
 
 
 def extract_json_ld(captures: DataFrame, keys: list[str]) -> DataFrame:
+    repeated_keys(captures.sparkSession)
     ld = F.col("_ld")
     return (
         captures.select(*keys, once(json_ld_product(F.col("html"))).alias("_ld"))
@@ -533,6 +566,7 @@ def pickup_links(captures: DataFrame, keys: list[str], limit: int | None = None)
 
 def product_details(captures: DataFrame, keys: list[str]) -> DataFrame:
     """Detail pages to raw product fields: structured data first, then markup, then text."""
+    repeated_keys(captures.sparkSession)
     marked = captures.withColumn("_ld", json_ld_product(F.col("html")))
     page = html_nodes(marked, [*keys, "_ld"])
     ld = F.col("_ld")

@@ -83,6 +83,11 @@ LD = '<script type="application/ld+json">{}</script>'
         (['{bad', '[{"@type":"Thing"},{"@type":"PRODUCT","name":"A","brand":{"name":"B"}}]'], "A", "B"),
         (['{"@graph":[{"@type":"WebPage"},{"@type":"Product","name":"A"}]}'], "A", None),
         (['{"@type":"Organization","name":"A"}'], None, None),
+        (['{"@graph":[{"@graph":[[{"@type":"Product","name":"A"}]]},{"@type":"Product","name":"C"}]}'], "A", None),
+        (['[[],[1,null,"x",{"@graph":{"@type":"Product"}}],{"@type":"product","name":"A","@graph":[{"@type":"Product"}]}]'], "A", None),
+        (["[" * 40 + '{"@type":"Product","name":"A","brand":{"name":"B"}}' + "]" * 40], "A", "B"),
+        (['{"@type":"Thing","@type":"Product","name":"A","name":"C"}'], "C", None),
+        (['{"@type":["Product"],"name":"A"}', "", "[]", "null", '"Product"'], None, None),
     ],
 )
 def test_json_ld(spark, scripts, product, brand):

@@ -420,6 +420,38 @@ def extract_json_ld(spark, sf):
     return H.extract_json_ld(details(spark, sf), KEY)
 
 
+# Structured data that nests: the product lies below as many lists and graphs as the line number says, after an entry of
+# another type, and before a second product and a broken script.
+def nested_columns() -> dict[str, str]:
+    product = "'{\"@type\":\"Product\",\"name\":\"' || p_name || '\",\"brand\":{\"name\":\"' || p_brand || '\"},\"mpn\":' || l_suppkey || '}'"
+    graph = "repeat('{\"@type\":\"WebPage\",\"@graph\":[{\"@type\":\"Thing\"},[', l_linenumber)"
+    script = "'<script type=\"application/ld+json\">' || {} || '</script>'"
+    later = script.format("'{\"@type\":\"Product\",\"name\":\"later\"}'")
+    return {
+        "run_id": "l_orderkey", "page_number": "l_linenumber", "position": "l_suppkey", "part_id": "l_partkey",
+        "p_name": "p_name", "p_brand": "p_brand",
+        "html": script.format("'{\"@graph\":[{\"@type\":\"Product\"'") + " || case when l_linenumber = 7 then '' else "
+        + script.format(f"{graph} || {product} || repeat(']]}}', l_linenumber)") + f" end || {later}",
+    }
+
+
+NESTED_CTE = (
+    "nested as (select " + ", ".join(f"{e} as {n}" for n, e in nested_columns().items())
+    + " from lineitem join part on l_partkey = p_partkey)"
+)
+
+
+@query(
+    "extract_nested_json_ld",
+    f"with {NESTED_CTE} select {KEYS}, case when page_number = 7 then 'later' else p_name end as product, "
+    "case when page_number < 7 then p_brand end as brand, "
+    "case when page_number < 7 then cast(position as string) end as sku, cast(null as varchar) as offer_price from nested",
+)
+def extract_nested_json_ld(spark, sf):
+    nested = V.line_parts(spark, sf).selectExpr(*[f"{e} as {n}" for n, e in nested_columns().items()])
+    return H.extract_json_ld(nested, KEY)
+
+
 DETAIL_PCT = "cast(round_even((1 - cast(now as double) / cast(usual as double)) * 100, 0) as int)"
 
 
