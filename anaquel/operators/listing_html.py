@@ -5,15 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anaquel import registry as R
 from anaquel.functions.brands import infer_brand
 from anaquel.functions.html import BOUNDARY, LEVELS, html_nodes
 from anaquel.functions.promotions import percent_computed
-from anaquel.functions.text import all_matches, blank_to_null, clean_text, first_match, once
+from anaquel.functions.text import all_matches, blank_to_null, bound, clean_text, first_match, once
 from anaquel.functions.urls import absolute_url, sku_detail
+from anaquel.functions.variants import listed, occurrences, repeated_keys, unrolled
 from anaquel.operators.prices import resolve_prices
 from anaquel.operators.shape import product_link
 
@@ -70,46 +71,28 @@ def category_key(html: Column) -> Column:
 
 
 # Structured data.
-def _listed(v: Column, path: str) -> Column:
-    """The elements of a list inside a variant; null where there is no list."""
-    return F.try_variant_get(v, path, "array<variant>")
-
-
 def json_ld_entries(script: Column) -> Column:
     """Variants of all entries of a structured-data script in document order; none if it is no JSON.
 
-    Lists in lists and ``@graph`` in ``@graph`` are unrolled a layer at a time, to any depth. A script has at most as
-    many layers as opening brackets; steps after the last layer pass the entries on as they are.
+    Lists in lists and ``@graph`` in ``@graph`` are looked into at any depth; each is a layer with a bracket of its own.
     """
 
     def unread(v: Column) -> Column:
         return F.struct(v.alias("v"), F.lit(False).alias("read"))
 
-    def unrolled(e: Column) -> Column:
-        graph = F.transform(_listed(e["v"], "$['@graph']"), unread)
-        itself = F.array(F.struct(e["v"].alias("v"), F.lit(True).alias("read")))
-        entry = F.concat(itself, F.coalesce(graph, F.array()))
-        return F.when(e["read"], F.array(e)).otherwise(F.coalesce(F.transform(_listed(e["v"], "$"), unread), entry))
-
-    def state(entries: Column) -> Column:
-        return bound(
-            entries, lambda es: F.struct(es.alias("entries"), F.exists(es, lambda e: ~e["read"]).alias("more"))
-        )
-
-    def step(held: Column, _: Column) -> Column:
-        layer = F.flatten(F.transform(held["entries"], unrolled))
-        return F.when(held["more"], state(layer)).otherwise(held)
+    def unroll(e: Column) -> Column:
+        graph = F.transform(listed(e["v"], "$['@graph']"), unread)
+        entry = F.concat(F.array(F.struct(e["v"].alias("v"), F.lit(True).alias("read"))), F.coalesce(graph, F.array()))
+        return F.coalesce(F.transform(listed(e["v"]), unread), entry)
 
-    layers = F.length(script) - F.length(F.replace(script, F.lit("["), F.lit("")))
-    start = F.struct(F.array(unread(F.try_parse_json(script))).alias("entries"), F.lit(True).alias("more"))
-    entries = F.aggregate(F.array_repeat(F.lit(0), layers), start, step)["entries"]
+    entries = unrolled(unread(F.try_parse_json(script)), occurrences(script, "["), unroll)
     return F.filter(F.transform(entries, lambda e: e["v"]), lambda v: v.isNotNull())
 
 
 def json_ld_product(html: Column) -> Column:
     """First product among a page's structured-data scripts; lists and ``@graph`` are looked into at any depth.
 
-    Where an object repeats a key, the last one counts (:func:`repeated_keys`).
+    Where an object repeats a key, the last one counts (:func:`anaquel.functions.variants.repeated_keys`).
     """
     names = ["name", "brand", "offers", *R.SKU_JSON_LD_KEYS]
 
@@ -122,11 +105,6 @@ def json_ld_product(html: Column) -> Column:
     return bound(found, lambda v: F.when(v.isNotNull(), fields(v)))
 
 
-def repeated_keys(spark: SparkSession) -> None:
-    """Let JSON objects repeat a key when parsed to variants; the last one counts."""
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-
-
 def json_ld_brand(ld: Column) -> Column:
     """Brand as text, or as the name of a brand object."""
     is_object = F.startswith(ld["brand"], F.lit("{"))
@@ -150,11 +128,6 @@ def extract_json_ld(captures: DataFrame, keys: list[str]) -> DataFrame:
 
 
 # Node arrays.
-def bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once, however often it is named."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _raw(n: Column) -> Column:
     return F.array_join(F.slice("pieces", n["start"] + 1, n["stop"] - n["start"]), "")
 

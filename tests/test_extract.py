@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from anaquel.functions.html import parse_page
+from anaquel.operators import drift as D
 from anaquel.operators import listing_html as H
 from anaquel.operators import payloads as Q
 from anaquel.plans.extract import observations_from_pages
@@ -152,3 +153,42 @@ def test_product_search(spark):
     assert (a["records_filtered"], a["brand"], float(a["price_current"]), float(a["price_regular"])) == (382, "Suavitel", 50.0, 74.0)
     assert a["store_context_verified"] and "productSearchV3" in a["store_context_method"] and a["pickup_available"]
     assert (float(b["price_current"]), float(b["price_regular"]), b["promotion"]) == (8.0, 9.0, "Precio promocional")
+
+
+def test_payload_fields_and_drift(spark):
+    texts = ['{"a":{"b":[{"c":1},{"c":"x","d":[]}]},"e":true}', "{bad", "[[1.5,null]]", None, '{"a":1,"a":{"b":[]}}']
+    pages_ = spark.createDataFrame([(k // 2, k, t) for k, t in enumerate(texts)], "run int, page int, payload string")
+    rows = {}
+    for r in D.payload_fields(pages_, ["page"]).collect():
+        rows.setdefault(r["page"], set()).add((r["path"], r["kind"]))
+    assert rows == {
+        0: {("a.b[].c", "number"), ("a.b[].c", "text"), ("a.b[].d", "nothing"), ("e", "boolean")},
+        1: {(None, None)}, 2: {("[][]", "number"), ("[][]", "nothing")}, 3: {(None, None)}, 4: {("a.b", "nothing")},
+    }
+    found = D.payload_drift(pages_, ["run"], {"a.b[].c": "number", "e": "text", "f": "text"}).collect()
+    assert {tuple(r) for r in found} == {
+        (0, None, None, "broken", 1), (0, "a.b[].c", "text", "kind", 1), (0, "a.b[].d", "nothing", "unknown", 1),
+        (0, "e", "boolean", "kind", 1), (0, "f", None, "missing", 1),
+        (1, None, None, "broken", 1), (1, "[][]", "number", "unknown", 1), (1, "[][]", "nothing", "unknown", 1),
+        (1, "a.b[].c", None, "missing", 1), (1, "e", None, "missing", 1), (1, "f", None, "missing", 1),
+        (2, "a.b", "nothing", "unknown", 1), (2, "a.b[].c", None, "missing", 1), (2, "e", None, "missing", 1),
+        (2, "f", None, "missing", 1),
+    }
+
+
+def test_read_payloads_keeps_every_row(spark):
+    texts = [
+        '{"items":[{"sku":7,"price":"1.50"},{"sku":"8","cost":{"now":2}},{"sku":"9","price":"n/d"},{"price":1},5]}',
+        '{"list":[{"sku":{"id":1},"price":3},{"sku":"s","price":null,"cost":{"now":4}}]}', '{"items":[]}', '{"x":1}', "{bad", None,
+    ]
+    rule = D.PayloadRule(("$.items", "$.list"), {"sku": ("$.sku",), "price": ("$.price", "$.cost.now")}, {"price": "decimal(12,2)"}, ("sku",))
+    rows = D.read_payloads(spark.createDataFrame(list(enumerate(texts)), "page int, payload string"), ["page"], rule).collect()
+    got = {(r["page"], r["position"]): (r["sku"], None if r["price"] is None else float(r["price"]), r["reject_reason"]) for r in rows}
+    assert got == {
+        (0, 0): ("7", 1.5, None), (0, 1): ("8", 2.0, None), (0, 2): ("9", None, "unfit price"),
+        (0, 3): (None, 1.0, "missing sku"), (0, 4): (None, None, "missing sku"),
+        (1, 0): (None, 3.0, "unfit sku"), (1, 1): ("s", 4.0, None),
+        (2, None): (None, None, "no items"), (3, None): (None, None, "no items"),
+        (4, None): (None, None, "broken payload"), (5, None): (None, None, "broken payload"),
+    }
+    assert {r["page"]: r["raw"] for r in rows if r["position"] is None} == {2: '{"items":[]}', 3: '{"x":1}', 4: "{bad", 5: None}

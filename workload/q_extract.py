@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from anaquel import registry as R
 from anaquel.operators import dedup as D
+from anaquel.operators import drift
 from anaquel.operators import listing_html as H
 from anaquel.operators import payloads as Q
 from anaquel.operators.slices import union_retailers
@@ -630,3 +631,68 @@ PAYLOAD_COLUMNS = "sku, brand, price_current, price_regular, promotion, url"
 def payloads_to_observations(spark, sf):
     rows = observations_from_payloads(search(spark, sf), ranges(spark, sf), SEARCH_KEY)
     return edge(rows.select("retailer", *PAYLOAD_COLUMNS.split(", ")))
+
+
+# Payloads that drift: a third of the runs as expected, a third with a renamed title and a nested price, a third with prices
+# as text with a sign and a broken first page. Third lines have no sku.
+def drifting_columns() -> dict[str, str]:
+    price = f"cast({V.CURRENT} as string)"
+    sku = "case when l_linenumber = 3 then '' else '\"sku\":' || l_suppkey || ',' end"
+    plain = f"'\"ecommTitle\":\"' || p_name || '\",\"currentPrice\":' || {price}"
+    renamed = f"'\"title\":\"' || p_name || '\",\"price\":{{\"now\":' || {price} || '}}'"
+    signed = f"'\"ecommTitle\":\"' || p_name || '\",\"currentPrice\":\"$' || {price} || '\"'"
+    way = "l_orderkey % 3"
+    return {
+        "run_id": "l_orderkey", "page_number": "l_linenumber", "position_in_run": "l_suppkey", "part_id": "l_partkey",
+        "p_name": "p_name", "now": V.CURRENT, "way": way,
+        "payload": f"case when {way} = 2 and l_linenumber = 1 then '{{\"catalog\":' else '{{\"catalog\":{{\"content\":[{{' || {sku} || "
+        f"case {way} when 0 then {plain} when 1 then {renamed} else {signed} end || '}}],\"pagination\":{{\"total\":1}}}}}}' end",
+    }
+
+
+DRIFTING_CTE = (
+    "drifting as (select " + ", ".join(f"{e} as {n}" for n, e in drifting_columns().items())
+    + " from lineitem join part on l_partkey = p_partkey)"
+)
+ITEM = "catalog.content[]."
+EXPECTED_PATHS = {
+    f"{ITEM}sku": "number", f"{ITEM}ecommTitle": "text", f"{ITEM}currentPrice": "number", "catalog.pagination.total": "number",
+}
+DRIFTING_RULE = drift.PayloadRule(
+    ("$.catalog.content",),
+    {"sku": ("$.sku",), "product": ("$.ecommTitle", "$.title"), "price": ("$.currentPrice", "$.price.now")},
+    {"price": "decimal(12,2)"},
+    ("sku", "product", "price"),
+)
+
+
+def drifting(spark, sf):
+    return V.line_parts(spark, sf).selectExpr(*[f"{e} as {n}" for n, e in drifting_columns().items()])
+
+
+@query(
+    "payload_drift",
+    f"with {DRIFTING_CTE}, readable as (select run_id, way, count(*) as n, count(*) filter (page_number <> 3) as skus from drifting "
+    "where way < 2 or page_number > 1 group by all) "
+    f"select run_id, '{ITEM}title' as path, 'text' as kind, 'unknown' as problem, n as pages from readable where way = 1 "
+    f"union all select run_id, '{ITEM}price.now', 'number', 'unknown', n from readable where way = 1 "
+    f"union all select run_id, '{ITEM}ecommTitle', null, 'missing', n from readable where way = 1 "
+    f"union all select run_id, '{ITEM}currentPrice', null, 'missing', n from readable where way = 1 "
+    f"union all select run_id, '{ITEM}sku', null, 'missing', n from readable where skus = 0 "
+    f"union all select run_id, '{ITEM}currentPrice', 'text', 'kind', n from readable where way = 2 "
+    "union all select run_id, null, null, 'broken', count(*) from drifting where way = 2 and page_number = 1 group by run_id",
+)
+def payload_drift(spark, sf):
+    return drift.payload_drift(drifting(spark, sf), ["run_id"], EXPECTED_PATHS)
+
+
+@query(
+    "read_drifting_payloads",
+    f"with {DRIFTING_CTE}, marked as (select *, way = 2 and page_number = 1 as broken from drifting) select {', '.join(SEARCH_KEY)}, "
+    "case when not broken then 0 end as position, case when not broken and page_number <> 3 then cast(position_in_run as string) end as sku, "
+    "case when not broken then p_name end as product, case when way < 2 then cast(now as double) end as price, "
+    "case when broken then 'broken payload' when page_number = 3 then 'missing sku' when way = 2 then 'unfit price' end as reject_reason from marked",
+)
+def read_drifting_payloads(spark, sf):
+    read = drift.read_payloads(drifting(spark, sf), SEARCH_KEY, DRIFTING_RULE)
+    return edge(read.drop("raw"))
