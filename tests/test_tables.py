@@ -14,6 +14,7 @@ from anaquel.plans.quality_report import quality_report
 from anaquel.schema import OBSERVATION, OBSERVATION_COLUMNS, TRACKED
 from anaquel.sources import consolidated
 from anaquel.sources.consolidated import merge_batch, scan_consolidated, write_consolidated
+from anaquel.sources import known_keys
 from anaquel.sources.dims import dim_category, dim_location
 
 
@@ -348,3 +349,43 @@ def test_hot_key_comes_out_whole(spark):
     gone = J.replace_slice(rows, rows.where("category_id = 'hot'"))
     assert gone.count() == 20_000
     assert J.known_sku_filter(rows, rows.where("sku = 'hot'"), ["category_id"]).count() == 20_000
+
+
+def test_unseen_skus_by_filter(spark, tmp_path, monkeypatch):
+    """The filters change what is read, never what is found: new, old, unfiltered and split buckets, nulls, repeats."""
+    path = str(tmp_path / "table")
+    stores = [None, "s1", "s2"]
+    hot = [observation("hot", str(k), store_id=stores[k % 3]) for k in range(3000)]
+    merge_batch(spark, path, frame(spark, *hot, observation("old", "1"), observation("old", None)))
+    assert known_keys.unseen_skus(spark, str(tmp_path / "none"), frame(spark, hot[0])).count() == 1
+    batch = frame(
+        spark, *[observation("hot", str(k), store_id="s1") for k in range(0, 6000, 3)], observation("hot", "3", store_id=""),
+        *[observation("old", sku) for sku in ("1", "2", "2", None, "")], observation("fresh", "1"), observation("none", "1"),
+        observation(None, "1"),
+    )
+
+    def both():
+        want = J.known_sku_filter(batch, scan_consolidated(spark, path))
+        got = known_keys.unseen_skus(spark, path, batch)
+        assert got.columns == batch.columns
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+        buckets = consolidated.current(spark, path)[1]
+        return known_keys._marked(spark, path, batch, buckets).where("_maybe").count(), got.count()
+
+    assert both()[0] == batch.count() - 2 - 1  # no filter yet: only categories that are not there are clear
+    known_keys.refresh_known_keys(spark, path)
+    maybe, new = both()
+    assert maybe - (batch.count() - new) < 0.05 * batch.count()
+    merge_batch(spark, path, frame(spark, observation("fresh", "1"), observation(None, "1")))
+    both()
+    monkeypatch.setattr(consolidated, "BUCKET_BYTES", 2000)
+    merge_batch(spark, path, frame(spark, *hot[:50]))
+    known_keys.refresh_known_keys(spark, path)
+    maybe, new = both()
+    assert maybe - (batch.count() - new) < 0.05 * batch.count()
+    for _ in range(3):
+        merge_batch(spark, path, frame(spark, observation("fresh", "1")))
+    known_keys.refresh_known_keys(spark, path)
+    kept = {b.version for b in consolidated.current(spark, path)[1]}
+    assert kept <= {p.name[8:] for p in (tmp_path / "table" / "keys").iterdir()} <= {p.name[8:] for p in (tmp_path / "table" / "data").iterdir()}
+    both()

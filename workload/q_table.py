@@ -17,6 +17,7 @@ from anaquel.session import materialise, work_dir
 from anaquel.sources.captures import read_summary_csv, write_summary_csv
 from anaquel.sources.consolidated import merge_batch, scan_consolidated, scan_summary, write_consolidated
 from anaquel.sources.dims import dim_category, dim_location
+from anaquel.sources.known_keys import refresh_known_keys, unseen_skus
 from workload import views as V
 from workload.registry import edge, query, text_time
 
@@ -202,6 +203,21 @@ def known_sku_filter(spark, sf):
     return edge(J.known_sku_filter(incoming, existing, ["retailer", "category_id", "city"]).select(*RESULT))
 
 
+@query(
+    "unseen_skus_by_filter",
+    f"with {V.BATCHES_CTE} select {RESULT_SQL} from incoming i where not exists (select 1 from existing e "
+    "where e.retailer is not distinct from i.retailer and e.category_id is not distinct from i.category_id "
+    "and e.city is not distinct from i.city and e.store_id is not distinct from i.store_id and e.sku is not distinct from i.sku)",
+)
+def unseen_skus_by_filter(spark, sf):
+    """The same through the table and the filters beside it."""
+    existing, incoming = V.batches(spark, sf)
+    path = work_dir(spark, "known")
+    write_consolidated(consolidate(existing.where("false"), existing), path)
+    refresh_known_keys(spark, path)
+    return edge(unseen_skus(spark, path, incoming).select(*RESULT))
+
+
 @query(
     "detail_or_card",
     f"with {V.LISTING_CTE}, k as (select *, retailer || '/' || category_id || '/' || page_number || '/' || coalesce(store_id, '-') as s "
